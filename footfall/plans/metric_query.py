@@ -1,8 +1,8 @@
 """Governed metric queries as lazy DataFrames.
 
-A query names metrics and dimensions. Names are resolved to columns, and per
-table the answer is one aggregation: dimensions are joined many-to-one before
-it, ratios are divided after it.
+A query names metrics and dimensions. Names are resolved to columns; each table
+involved is scanned once and aggregated, dimensions of other tables are joined
+to the aggregated rows, and ratios are divided last.
 """
 
 from __future__ import annotations
@@ -21,8 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.columns import safe_ratio, start_of
-from footfall.operators.event_facts import left_join_spreading_nulls
-from footfall.plans.semantics import TIME_GRAINS, Definitions, Measure, SemanticModel
+from footfall.plans.semantics import TIME_GRAINS, Definitions, SemanticModel
 from footfall.sources.writers import DEFAULT_ROWS, clamp_rows, to_rows
 
 _TEMPLATE = re.compile(r"\{\{\s*(?:Time)?Dimension\(\s*'([^']+)'\s*(?:,\s*'(\w+)'\s*)?\)\s*\}\}")
@@ -46,6 +45,59 @@ class _Input:
     where: str | None = None
 
 
+@dataclass(frozen=True)
+class _Part:
+    """How one input is aggregated in steps: partial values, merged, finished."""
+
+    alias: str
+    kind: str  # sum, count, average or distinct
+    value: str
+    when: str | None
+    where: str | None
+
+    def _columns(self) -> tuple[str, ...]:
+        names = {"sum": ("sum",), "count": ("n",), "average": ("sum", "n"), "distinct": ("hit",)}[self.kind]
+        return tuple(f"{self.alias}_{n}" for n in names)
+
+    def partials(self, condition: Column | None, tracked: bool) -> list[Column]:
+        value = F.col(f"{self.alias}_in")
+        if condition is not None:
+            value = F.when(condition, value)
+        made = {"sum": F.sum(value), "n": F.count(value), "hit": F.max(value.isNotNull())}
+        out = [made[name.rpartition("_")[2]].alias(name) for name in self._columns()]
+        if tracked:
+            seen = F.lit(True) if condition is None else condition
+            out.append(F.bool_or(seen).alias(f"{self.alias}_seen"))
+        return out
+
+    def limited_to(self, condition: Column, tracked: bool) -> dict[str, Column]:
+        """The partial values, kept only where a filter on the group's own columns holds."""
+        names = [*self._columns(), *([f"{self.alias}_seen"] if tracked else [])]
+        return {name: F.when(condition, F.col(name)) for name in names}
+
+    def merged(self, tracked: bool, counting: bool = False) -> list[Column]:
+        out = []
+        for name in self._columns():
+            if name.endswith("_hit"):
+                out.append(F.count_if(name).alias(f"{self.alias}_n") if counting else F.bool_or(name).alias(name))
+            else:
+                out.append(F.sum(name).alias(name))
+        if tracked:
+            out.append(F.bool_or(f"{self.alias}_seen").alias(f"{self.alias}_seen"))
+        return out
+
+    def final(self, tracked: bool, grouped: bool) -> Column:
+        """A filtered count is NULL, not 0, in a group without a row that passes."""
+        if self.kind == "sum":
+            return F.col(f"{self.alias}_sum")
+        n = F.col(f"{self.alias}_n")
+        if self.kind == "average":
+            return safe_ratio(F.col(f"{self.alias}_sum"), n)
+        if tracked:
+            return F.when(F.col(f"{self.alias}_seen"), F.coalesce(n, F.lit(0)))
+        return n if grouped else F.coalesce(n, F.lit(0))
+
+
 def as_list(names: str | Iterable[str] | None) -> list[str]:
     if not names:
         return []
@@ -239,129 +291,123 @@ class MetricLayer:
         self, model: SemanticModel, clock: str | None, inputs: dict[_Input, str], groups: list[str],
         start: Any, end: Any, where: str | None,
     ) -> DataFrame:
-        filters = {leaf: plain_filter(leaf.where) for leaf in inputs}
-        wanted = {*groups, *names_in(where)}.union(*(names_in(f) for f in filters.values()))
-        rows = self._exposed(model, clock, wanted, [self.definitions.measures[x.measure] for x in inputs])
+        """All inputs of one table under one clock: one scan, one row per group.
+
+        When dimensions of other models are involved, rows are first combined
+        per foreign key and own dimension, and only the combined rows are
+        joined. A user with a third of all events is then a handful of rows
+        before the join, as are the events without a session.
+        """
+        parts = [self._part(model, leaf, alias) for leaf, alias in inputs.items()]
+        named = names_in(where).union(*(names_in(p.where) for p in parts))
+        own = {n for n in {*groups, *named} if self._is_own(model, n)}
+        foreign = {*groups, *named} - own
+        distinct = {p.value for p in parts if p.kind == "distinct"}
+        if len(distinct) > 1:
+            raise NotImplementedError("distinct measures over different columns of one table in one query")
+        entity = ["__entity"] if distinct else []
+
+        rows = self._own_rows(model, clock, own, foreign, parts, distinct)
         if start:
             rows = rows.where(F.col("metric_time") >= F.lit(str(start)).cast("date"))
         if end:
             rows = rows.where(F.col("metric_time") <= F.lit(str(end)).cast("date"))
-        if where:
-            rows = rows.where(F.expr(where))
-        if all(filters.values()):
-            # a group exists only through rows that some input takes
-            rows = rows.where(F.expr(" or ".join(f"({f})" for f in dict.fromkeys(filters.values()))))
-        keep = {leaf: F.expr(f) if f else None for leaf, f in filters.items()}
-        spread = {
-            self.definitions.measures[x.measure].expr for x in inputs
-            if self._kind(model, self.definitions.measures[x.measure]) == "count_distinct"
-        }
-        if not spread:
-            return self._flat(model, rows, inputs, keep, groups)
-        if len(spread) == 1:
-            return self._via_entity(model, rows, inputs, keep, groups)
-        raise NotImplementedError("distinct measures over different columns of one table in one query")
-
-    @staticmethod
-    def _kind(model: SemanticModel, measure: Measure) -> str:
+        if where and names_in(where) <= own:
+            rows, where = rows.where(F.expr(where)), None
+        early = {p for p in parts if p.where and names_in(p.where) <= own}
+        # a group exists only through rows that some input takes
+        drop_untaken = bool(groups) and all(p.where for p in parts)
+        if drop_untaken and len(early) == len(parts):
+            rows = rows.where(F.expr(" or ".join(dict.fromkeys(f"({p.where})" for p in parts))))
+            drop_untaken = False
+        tracked = {p for p in parts if p.where and groups and (drop_untaken or p.kind != "sum")}
+
+        def first(p: _Part) -> list[Column]:
+            condition = F.expr(p.where) if p in early else None
+            return p.partials(condition, p in tracked)
+
+        if not foreign:
+            merged = rows.groupBy(*groups, *entity).agg(*[c for p in parts for c in first(p)])
+        else:
+            late = [p for p in parts if p.where and p not in early]
+            needed = own & ({*groups, *names_in(where)}.union(*(names_in(p.where) for p in late)))
+            links = [c for c in rows.columns if c.startswith("__fk_")]
+            few = rows.groupBy(*sorted(needed), *links, *entity).agg(*[c for p in parts for c in first(p)])
+            wide = self._with_foreign(model, few, foreign)
+            if where:
+                wide = wide.where(F.expr(where))
+            for p in late:
+                wide = wide.withColumns(p.limited_to(F.expr(p.where), p in tracked))
+            merged = wide.groupBy(*groups, *entity).agg(*[c for p in parts for c in p.merged(p in tracked)])
+        if entity:
+            # any number of distinct counts over one column: its values are
+            # unique per group by now, so they only need counting
+            merged = merged.groupBy(*groups).agg(
+                *[c for p in parts for c in p.merged(p in tracked, counting=True)]
+            )
+        if drop_untaken:
+            merged = merged.where(reduce(lambda x, y: x | y, [F.col(f"{p.alias}_seen") for p in parts]))
+        return merged.select(*groups, *[p.final(p in tracked, bool(groups)).alias(p.alias) for p in parts])
+
+    def _part(self, model: SemanticModel, leaf: _Input, alias: str) -> _Part:
         """A distinct count of a model's own key is a count: the key is unique by
         construction (and by check) and joins are many-to-one."""
-        if measure.agg == "count_distinct" and measure.expr == model.key:
-            return "count"
-        return measure.agg
+        m = self.definitions.measures[leaf.measure]
+        kind = {"count_distinct": "distinct"}.get(m.agg, m.agg)
+        if kind == "distinct" and m.expr == model.key:
+            kind = "count"
+        return _Part(alias, kind, m.expr, m.when, plain_filter(leaf.where))
 
-    def _exposed(
-        self, model: SemanticModel, clock: str | None, wanted: set[str], measures: list[Measure]
+    def _is_own(self, model: SemanticModel, name: str) -> bool:
+        stem, _ = _split_grain(name)
+        return stem == "metric_time" or self.definitions.dimension(model, stem)[0] is model
+
+    def _dimension_column(self, model: SemanticModel, name: str) -> tuple[SemanticModel, Column]:
+        stem, grain = _split_grain(name)
+        owner, dim = self.definitions.dimension(model, stem)
+        column = F.expr(dim.sql)
+        return owner, start_of(grain, column) if grain else column
+
+    def _own_rows(
+        self, model: SemanticModel, clock: str | None, own: set[str], foreign: set[str],
+        parts: list[_Part], distinct: set[str],
     ) -> DataFrame:
         """The table reduced to the wanted dimensions (by public name), the time
-        column and the measure inputs: nothing else can be named in a filter."""
-        own, foreign = {}, {}
-        for name in sorted(wanted):
+        column, the keys to join on and the measure inputs: nothing else can be
+        named in a filter."""
+        columns: dict[str, Column] = {}
+        for name in sorted(own):
             stem, grain = _split_grain(name)
             if stem == "metric_time":
-                own[name] = start_of(grain, F.expr(clock)) if grain else F.expr(clock)
-                continue
-            owner, dim = self.definitions.dimension(model, stem)
-            column = start_of(grain, F.expr(dim.sql)) if grain else F.expr(dim.sql)
-            if owner is model:
-                own[name] = column
+                columns[name] = start_of(grain, F.expr(clock)) if grain else F.expr(clock)
             else:
-                foreign.setdefault(owner.entity, {})[name] = column
+                columns[name] = self._dimension_column(model, name)[1]
         if clock:
-            own["metric_time"] = F.expr(clock)
-        values = {}
-        for m in measures:
-            value = F.expr(m.expr)
-            values[f"__v_{m.name}"] = F.when(F.expr(m.when), value) if m.when else value
-            if self._kind(model, m) == "count_distinct":
-                values["__entity"] = value
-        links = {f"__fk_{f.name}": F.col(f.column) for f in model.foreign if f.name in foreign}
-        if any(f.nullable for f in model.foreign if f.name in foreign):
-            links["__pk"] = F.col(model.key)
-        rows = self.tables[model.table].select(
-            *[c.alias(n) for n, c in {**own, **values, **links}.items()]
-        )
+            columns["metric_time"] = F.expr(clock)
+        for f in model.foreign:
+            if any(n.startswith(f"{f.name}__") for n in foreign):
+                columns[f"__fk_{f.name}"] = F.col(f.column)
+        for p in parts:
+            value = F.expr(p.value)
+            columns[f"{p.alias}_in"] = F.when(F.expr(p.when), value) if p.when else value
+        for value in distinct:
+            columns["__entity"] = F.expr(value)
+        return self.tables[model.table].select(*[c.alias(n) for n, c in columns.items()])
+
+    def _with_foreign(self, model: SemanticModel, rows: DataFrame, foreign: set[str]) -> DataFrame:
+        """Many-to-one joins on the entity keys, with only the wanted columns."""
         for f in model.foreign:
-            if f.name not in foreign:
+            names = sorted(n for n in foreign if n.startswith(f"{f.name}__"))
+            if not names:
                 continue
             target = self.definitions.by_entity[f.name]
             side = self.tables[target.table].select(
-                F.col(target.key).alias("__key"), *[c.alias(n) for n, c in foreign[f.name].items()]
+                F.col(target.key).alias("__key"),
+                *[self._dimension_column(model, n)[1].alias(n) for n in names],
             )
-            if f.nullable:
-                rows = left_join_spreading_nulls(rows, side, f"__fk_{f.name}", "__key", F.col("__pk"))
-            else:
-                rows = rows.join(side, rows[f"__fk_{f.name}"] == side["__key"], "left").drop("__key")
+            rows = rows.join(side, rows[f"__fk_{f.name}"] == side["__key"], "left").drop("__key")
         return rows
 
-    def _flat(
-        self, model: SemanticModel, rows: DataFrame, inputs: dict[_Input, str],
-        keep: dict[_Input, Column | None], groups: list[str],
-    ) -> DataFrame:
-        out = []
-        for leaf, alias in inputs.items():
-            measure, condition = self.definitions.measures[leaf.measure], keep[leaf]
-            value = F.col(f"__v_{leaf.measure}")
-            if condition is not None:
-                value = F.when(condition, value)
-            kind = self._kind(model, measure)
-            column = {"sum": F.sum, "count": F.count, "average": F.avg}[kind](value)
-            if kind == "count" and condition is not None and groups:
-                column = F.when(F.count_if(condition) > 0, column)
-            out.append(column.alias(alias))
-        return rows.groupBy(*groups).agg(*out)
-
-    def _via_entity(
-        self, model: SemanticModel, rows: DataFrame, inputs: dict[_Input, str],
-        keep: dict[_Input, Column | None], groups: list[str],
-    ) -> DataFrame:
-        """Any number of distinct counts over one column: first one row per group
-        and value, then count. Rows are never multiplied per distinct count, and
-        a value with very many rows is combined before it is shuffled."""
-        first, second = [], []
-        for leaf, alias in inputs.items():
-            measure, condition = self.definitions.measures[leaf.measure], keep[leaf]
-            value = F.col(f"__v_{leaf.measure}")
-            if condition is not None:
-                value = F.when(condition, value)
-            kind, part, seen = self._kind(model, measure), f"__p{alias}", f"__s{alias}"
-            if kind == "count_distinct":
-                first.append(F.max(value.isNotNull()).alias(part))
-                total = F.count_if(part)
-            elif kind == "average":
-                first += [F.sum(value).alias(part), F.count(value).alias(f"{part}_n")]
-                total = F.try_divide(F.sum(part).cast("double"), F.sum(f"{part}_n").cast("double"))
-            else:
-                first.append((F.sum if kind == "sum" else F.count)(value).alias(part))
-                total = F.sum(part)
-                if kind == "count" and not groups:
-                    total = F.coalesce(total, F.lit(0))
-            if condition is not None and groups and kind.startswith("count"):
-                first.append(F.bool_or(condition).alias(seen))
-                total = F.when(F.bool_or(seen), total)
-            second.append(total.alias(alias))
-        return rows.groupBy(*groups, "__entity").agg(*first).groupBy(*groups).agg(*second)
-
     # -- J15 -------------------------------------------------------------------
 
     def _onto_spine(

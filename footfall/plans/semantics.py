@@ -43,7 +43,6 @@ class Measure:
 class ForeignEntity:
     name: str
     column: str
-    nullable: bool = False
 
 
 @dataclass(frozen=True)

@@ -8,6 +8,7 @@ derived once per application and kept as Parquet, see ``shared_marts``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import partial
@@ -19,7 +20,7 @@ from footfall.config import EngineConfig
 from footfall.functions.columns import param_float
 from footfall.operators import event_facts, funnel, gaps, sessions, staging, users
 from footfall.plans import reports
-from footfall.plans.checks import CHECKS, run_checks, row_counts
+from footfall.plans.checks import CHECKS, NON_EMPTY, row_counts, run_checks
 from footfall.plans.layer import metric_layer
 from footfall.plans.marts import Marts, TableFolder, shared_marts, shared_root
 from footfall.plans.models import MODELS
@@ -143,7 +144,7 @@ def _partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = staging.stage_events(raw_events(spark, sf_dir, cfg))
     root = shared_root(spark)
     if root is not None:
-        staged = TableFolder(spark, f"{root}/by-day-{abs(hash(sf_dir))}", cfg).keep("stg_events", staged)
+        staged = TableFolder(spark, f"{root}/footfall-by-day-{uuid.uuid4().hex}", cfg).keep("stg_events", staged)
     days = staged.where(F.col("event_date").between("2024-01-08", "2024-01-14"))
     return days.groupBy("event_date", "event_name").agg(F.count("*").alias("n_events"))
 
@@ -239,6 +240,6 @@ def queries() -> dict[str, Query]:
         out[name] = partial(lambda args, spark, sf_dir: comparable(star_layer(spark, sf_dir).query(**args)), arguments)
     for n, kind in enumerate(("not_null", "unique", "accepted_values", "relationships", "accepted_range", "expression_is_true"), 1):
         out[f"k{n:02d}_{kind}"] = _check_kind(kind)
-    out["k07_non_empty"] = on_marts(lambda m: run_checks(m).where("kind = 'non_empty'"))
+    out["k07_non_empty"] = on_marts(lambda m: run_checks(m, NON_EMPTY))
     out["k_all_checks"] = on_marts(run_checks, W2)
     return out

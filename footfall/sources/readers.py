@@ -36,16 +36,17 @@ def read_feature_catalogue(spark: SparkSession, path: str | None = None) -> Data
     """Event -> feature mapping with declared types.
 
     Without a path the shipped mapping is used. No broadcast hint is given at
-    the joins: Spark broadcasts it because its size statistic is under
-    ``spark.sql.autoBroadcastJoinThreshold`` and would sort-merge a larger one.
+    the joins: both forms carry a size statistic, so Spark broadcasts them while
+    they are under ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges a
+    larger one.
     """
     if path is not None:
         return spark.read.schema(FEATURE_SCHEMA).csv(path, header=True)
-    rows = [
-        (event, feature, f"{'Used' if chosen else 'Was shown'} {feature.replace('_', ' ')}", chosen)
+    rows = ", ".join(
+        f"('{event}', '{feature}', '{'Used' if chosen else 'Was shown'} {feature.replace('_', ' ')}', {chosen})"
         for event, feature, chosen in FEATURE_EVENTS
-    ]
-    return spark.createDataFrame(rows, FEATURE_SCHEMA)
+    )
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(FEATURE_SCHEMA.names)})")
 
 
 def time_spine(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from footfall.plans.checks import CHECKS, NON_EMPTY_ID, Check
+from footfall.plans.checks import CHECKS, NON_EMPTY, Check
 from footfall.plans.models import MODELS
 from footfall.plans.reports import REPORT_VIEWS
 from footfall.queries import HALF_HOUR, MEASURE_IDS, METRIC_ORDER, METRIC_QUERIES, SHOWN_BY
@@ -70,7 +70,7 @@ def _check_sql(c: Check) -> str:
 def _checks(cfg, kind: str | None = None) -> str:
     chosen = [c for c in CHECKS if kind in (None, c.kind)]
     if kind in (None, "non_empty"):
-        chosen += [Check(NON_EMPTY_ID, t, None, "non_empty") for t in dict.fromkeys(c.table for c in CHECKS)]
+        chosen += NON_EMPTY
     return with_tables(cfg, " UNION ALL ".join(_check_sql(c) for c in chosen))
 
 
