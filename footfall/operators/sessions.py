@@ -44,19 +44,27 @@ def _per_block(events: DataFrame, cfg: EngineConfig) -> DataFrame:
         F.count_if(_named("page_view")).alias("page_views"),
         F.sum(F.coalesce("engagement_time_msec", F.lit(0))).alias("msec"),
         F.bool_or("is_session_engaged_event").alias("engaged"),
-        F.count_if(_named("purchase")).alias("purchases"),
         F.sum(revenue).alias("revenue"),
-        # Attributes of the first event; the key makes ties repeatable
+        *steps,
+    )
+
+
+def _first_values(events: DataFrame) -> DataFrame:
+    """Attributes of the first event, and the first page there is.
+
+    Text cannot be aggregated in a hash table's fixed slots, so these go through
+    one sort-based pass and leave the numbers above to a hash-based one.
+    """
+    return events.groupBy(*SESSION).agg(
+        # the key makes ties repeatable
         F.min(F.struct("event_at", "event_name", "event_key", *_ATTRIBUTES)).alias("first_event"),
-        # The first event that has a page at all
         F.min(F.when(F.col("page_location").isNotNull(), F.struct("event_at", "page_location"))).alias("landing"),
-        *steps,
     )
 
 
 def _distincts(events: DataFrame) -> DataFrame:
-    """A04 and distinct pages; a narrow pass of its own, so the wide row above
-    is not multiplied by the distinct rewrite."""
+    """A04 and distinct pages; a narrow pass of its own, so the other columns
+    are not multiplied by the distinct rewrite."""
     bought = F.when(_named("purchase"), F.col("transaction_id"))
     return events.groupBy(*SESSION).agg(
         F.count_distinct("page_location").alias("distinct_pages_viewed"),
@@ -82,14 +90,12 @@ def session_core(events: DataFrame, cfg: EngineConfig) -> DataFrame:
         F.sum("msec").alias("msec"),
         F.bool_or("engaged").alias("engaged"),
         F.count_if("after_gap").alias("inactivity_gaps"),
-        F.sum("purchases").alias("purchase_events"),
         F.sum("revenue").alias("session_revenue_usd"),
-        F.min("first_event").alias("first_event"),
-        F.min("landing").alias("landing"),
         *[F.min(f"step{i}_at").alias(f"step{i}_at") for i in range(1, n + 1)],
         *[F.sum(f"step{i}_n").alias(f"step{i}_n") for i in range(1, n + 1)],
     )
-    joined = merged.join(_distincts(events), SESSION, "left")
+    # both sides of each join have a session once, on the partitioning they already have
+    joined = merged.join(_first_values(events), SESSION, "left").join(_distincts(events), SESSION, "left")
 
     def count_of(step: str) -> Column:
         return F.col(f"step{cfg.funnel_steps.index(step) + 1}_n")
@@ -129,7 +135,7 @@ def session_core(events: DataFrame, cfg: EngineConfig) -> DataFrame:
         "inactivity_gaps",
         (F.col("inactivity_gaps") > 0).alias("is_split_by_inactivity_rule"),
         *[(count_of(s) > 0).alias(f"has_{s}") for s in ("view_item", "add_to_cart", "begin_checkout", "purchase")],
-        "purchase_events",
+        count_of("purchase").alias("purchase_events"),
         F.coalesce("transactions", F.lit(0)).alias("transactions"),
         "session_revenue_usd",
         *[F.col(f"first_event.{c}").alias(c) for c in _ATTRIBUTES],

@@ -21,7 +21,7 @@ from footfall.operators.sessions import (
 )
 from footfall.operators.staging import stage_events
 from footfall.operators.users import dim_users
-from footfall.sources.readers import read_feature_catalogue, time_spine
+from footfall.sources.readers import in_window, read_events, read_feature_catalogue, time_spine
 from footfall.sources.writers import TABLE_LAYOUT, materialize
 
 PUBLIC_TABLES = (
@@ -45,7 +45,7 @@ class Marts:
         catalogue: DataFrame | None = None, keep: Keep = lambda name, df: df,
     ):
         self.spark, self.cfg = spark, cfg
-        self._raw, self._catalogue, self._keep = raw, catalogue, keep
+        self.raw, self._catalogue, self._keep = raw, catalogue, keep
         self._tables: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -58,7 +58,7 @@ class Marts:
 
     # shared relations
     def _stg_events(self) -> DataFrame:
-        return self._keep("stg_events", stage_events(self._raw))
+        return self._keep("stg_events", stage_events(self.raw))
 
     def _session_core(self) -> DataFrame:
         return self._keep("session_core", session_core(self["stg_events"], self.cfg))
@@ -127,14 +127,19 @@ class TableFolder:
 # -- tables shared by the queries of one application ----------------------------
 
 _LOCAL_FOLDERS: list[tempfile.TemporaryDirectory] = []
+_EXPORTS: dict[tuple, str | None] = {}
 _SHARED: dict[tuple, Marts] = {}
 
 
-def shared_root(spark: SparkSession) -> str | None:
-    """The folder the cluster names for such tables; local runs may make their own."""
+def shared_folder(spark: SparkSession) -> str | None:
+    """A new directory in the folder the cluster names; local runs may make their own.
+
+    None on a cluster that names no folder: a directory of one machine is of no
+    use to the others, so relations then stay lazy.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named.rstrip("/")
+        return f"{named.rstrip('/')}/footfall-{uuid.uuid4().hex}"
     if spark.conf.get("spark.master", "").startswith("local"):
         folder = tempfile.TemporaryDirectory(prefix="footfall-")
         _LOCAL_FOLDERS.append(folder)
@@ -146,24 +151,29 @@ def source_state(spark: SparkSession, path: str) -> tuple:
     """Number, size and newest change of the files behind ``path``; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     row = files.agg(F.count("path"), F.sum("length"), F.max("modificationTime")).first()
-    return tuple(str(v) for v in row)
+    return (path, *(str(v) for v in row))
 
 
 def shared_marts(
-    spark: SparkSession, source: str, raw: Callable[[], DataFrame], cfg: EngineConfig
+    spark: SparkSession, source: str, export: Callable[[], DataFrame], cfg: EngineConfig
 ) -> Marts:
     """Marts that every query of this application over the same source reads.
 
-    A relation is written the first time a query needs it and read from then on,
-    for as long as the source files stay the same. Without a shared folder on a
-    cluster the relations simply stay lazy.
+    ``export`` gives the source in the event export's layout; it is written by
+    day once, and each window reads only its own days. A relation is written
+    the first time a query needs it and read from then on, for as long as the
+    source files stay the same.
     """
-    key = (spark.conf.get("spark.app.id"), source, source_state(spark, source), cfg)
-    if key not in _SHARED:
-        root = shared_root(spark)
-        if root is None:
-            _SHARED[key] = Marts(spark, raw(), cfg)
-        else:
-            folder = TableFolder(spark, f"{root}/footfall-{uuid.uuid4().hex}", cfg)
-            _SHARED[key] = Marts(spark, raw(), cfg, keep=folder.keep)
-    return _SHARED[key]
+    at = (spark.conf.get("spark.app.id"), *source_state(spark, source))
+    if at not in _EXPORTS:
+        folder = shared_folder(spark)
+        _EXPORTS[at] = folder and f"{folder}/export"
+        if folder:
+            materialize(export(), _EXPORTS[at], partition_by="event_date")
+    path = _EXPORTS[at]
+    if path is None:
+        return Marts(spark, in_window(export(), cfg), cfg)
+    if (*at, cfg) not in _SHARED:
+        keep = TableFolder(spark, shared_folder(spark), cfg).keep
+        _SHARED[(*at, cfg)] = Marts(spark, read_events(spark, path, cfg), cfg, keep=keep)
+    return _SHARED[(*at, cfg)]

@@ -8,7 +8,6 @@ derived once per application and kept as Parquet, see ``shared_marts``.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import partial
@@ -22,7 +21,7 @@ from footfall.operators import event_facts, funnel, gaps, sessions, staging, use
 from footfall.plans import reports
 from footfall.plans.checks import CHECKS, NON_EMPTY, row_counts, run_checks
 from footfall.plans.layer import metric_layer
-from footfall.plans.marts import Marts, TableFolder, shared_marts, shared_root
+from footfall.plans.marts import Marts, TableFolder, shared_folder, shared_marts
 from footfall.plans.models import MODELS
 from footfall.plans.star_schema import star_layer
 from footfall.sources.driver_tables import W1, W2, raw_events
@@ -105,9 +104,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def marts_of(spark: SparkSession, sf_dir: str, cfg: EngineConfig) -> Marts:
-    return shared_marts(
-        spark, f"{sf_dir}/events.parquet", lambda: raw_events(spark, sf_dir, cfg), cfg
-    )
+    return shared_marts(spark, f"{sf_dir}/events.parquet", lambda: raw_events(spark, sf_dir), cfg)
 
 
 def on_marts(build: Callable[[Marts], DataFrame], cfg: EngineConfig = W1) -> Query:
@@ -138,13 +135,12 @@ def _score_by_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged events written by day, one day's directory range read back."""
-    cfg = replace(W1, enable_partitioning=True)
-    staged = staging.stage_events(raw_events(spark, sf_dir, cfg))
-    root = shared_root(spark)
-    if root is not None:
-        staged = TableFolder(spark, f"{root}/footfall-by-day-{uuid.uuid4().hex}", cfg).keep("stg_events", staged)
+def _partitioned(m: Marts) -> DataFrame:
+    """Staged events written by day, a range of days read back."""
+    cfg = replace(m.cfg, enable_partitioning=True)
+    staged, folder = staging.stage_events(m.raw), shared_folder(m.spark)
+    if folder is not None:
+        staged = TableFolder(m.spark, folder, cfg).keep("stg_events", staged)
     days = staged.where(F.col("event_date").between("2024-01-08", "2024-01-14"))
     return days.groupBy("event_date", "event_name").agg(F.count("*").alias("n_events"))
 
@@ -166,8 +162,8 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         # sources and staging
         "s01_window_scan": on_marts(lambda m: m["stg_events"].groupBy("event_date").agg(F.count("*").alias("n_events")), W2),
-        "s04_partitioned_write": _partitioned,
-        "p01_staging": on_marts(lambda m: staging.stage_events(m._raw)),
+        "s04_partitioned_write": on_marts(_partitioned),
+        "p01_staging": on_marts(lambda m: staging.stage_events(m.raw)),
         "p04_param_float": _score_by_event,
         # sessions
         "c01_sessions": on_marts(_sessions),

@@ -7,13 +7,14 @@ projection that real exports do.
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.config import EngineConfig
-from footfall.sources.readers import in_window, pin_utc
+from footfall.sources.readers import pin_utc
+from footfall.sources.schema import PARAMS
 
 # Two windows: the first closes every cohort, the second leaves some open.
 W1 = EngineConfig(date(2024, 1, 3), date(2024, 2, 5), session_gap_minutes=1440)
@@ -63,43 +64,37 @@ def _param(key: str, **values: Column) -> Column:
     return F.struct(F.lit(key).alias("key"), F.struct(*parts).cast(_PARAM_VALUE).alias("value"))
 
 
+def _params_if(condition: Column, *params: Column) -> Column:
+    return F.when(condition, F.array(*params)).otherwise(F.array().cast(PARAMS))
+
+
 def _label(prefix: str, modulus: int) -> Column:
     return F.concat(F.lit(prefix), (F.col("user_id") % modulus).cast("string"))
 
 
-def raw_events(spark: SparkSession, sf_dir: str, cfg: EngineConfig | None = None) -> DataFrame:
-    """Driver events in the export layout; with ``cfg`` only the days of its window.
-
-    First touch is taken over the whole table, before the window is applied.
-    The window is also put on ``ts`` itself so that it reaches the Parquet scan.
-    """
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All driver events in the export layout. First touch is taken over the whole table."""
     flat = _flat_events(spark, sf_dir)
     touch = flat.groupBy("user_pseudo_id").agg(F.min("ts").alias("first_ts"))
-    if cfg is not None:
-        end = cfg.window_end + timedelta(days=1)
-        flat = flat.where(
-            (F.col("ts") >= F.lit(cfg.window_start).cast("timestamp_ntz"))
-            & (F.col("ts") < F.lit(end).cast("timestamp_ntz"))
-        )
     k, value = F.col("k"), F.col("value")
     session = F.when(k < 97, F.expr("datediff(cast(ts as date), date'1970-01-01') div 4"))
     is_purchase = F.col("event_type") == "purchase"
     page = F.when(k % 7 != 0, F.concat(F.lit("/p/"), (k % 20).cast("string")))
-    params = F.array_compact(
-        F.array(
-            F.when(session.isNotNull(), _param("ga_session_id", int_value=session)),
-            F.when(session.isNotNull(), _param("ga_session_number", int_value=session - 4930)),
-            F.when(page.isNotNull(), _param("page_location", string_value=page)),
-            # a repeated key, as the export may carry; the first one counts
-            F.when(page.isNotNull() & (k % 10 == 0), _param("page_location", string_value=F.lit("/again"))),
-            _param("engagement_time_msec", int_value=F.floor(value * 1000)),
-            F.when(value >= 50, _param("session_engaged", string_value=F.lit("1"))),
-            F.when(k % 2 == 0, _param("score", double_value=k.cast("double")))
-            .otherwise(_param("score", float_value=k.cast("double") + 0.5)),
-        )
+    params = F.concat(
+        _params_if(
+            session.isNotNull(), _param("ga_session_id", int_value=session),
+            _param("ga_session_number", int_value=session - 4930),
+        ),
+        _params_if(page.isNotNull(), _param("page_location", string_value=page)),
+        # a repeated key, as the export may carry; the first one counts
+        _params_if(page.isNotNull() & (k % 10 == 0), _param("page_location", string_value=F.lit("/again"))),
+        _params_if(F.lit(True), _param("engagement_time_msec", int_value=F.floor(value * 1000))),
+        _params_if(value >= 50, _param("session_engaged", string_value=F.lit("1"))),
+        _params_if(k % 2 == 0, _param("score", double_value=k.cast("double"))),
+        _params_if(k % 2 == 1, _param("score", float_value=k.cast("double") + 0.5)),
     )
     joined = flat.join(touch, "user_pseudo_id", "left")
-    raw = joined.select(
+    return joined.select(
         F.date_format("ts", "yyyyMMdd").alias("event_date"),
         F.unix_micros(F.col("ts").cast("timestamp")).alias("event_timestamp"),
         _event_name().alias("event_name"),
@@ -133,10 +128,6 @@ def raw_events(spark: SparkSession, sf_dir: str, cfg: EngineConfig | None = None
         ).alias("ecommerce"),
         F.when(
             is_purchase,
-            F.transform(
-                F.sequence(F.lit(1), 1 + k % 3),
-                lambda i: F.struct(F.concat(F.lit("sku"), i.cast("string")).alias("item_id")),
-            ),
+            F.array_repeat(F.struct(F.lit("sku").alias("item_id")), 1 + k % 3),
         ).alias("items"),
     )
-    return raw if cfg is None else in_window(raw, cfg)
