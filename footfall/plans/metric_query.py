@@ -335,7 +335,7 @@ class MetricLayer:
             few = rows.groupBy(*sorted(needed), *links, *entity).agg(*[c for p in parts for c in first(p)])
             wide = self._with_foreign(model, few, foreign)
             if where:
-                wide = wide.where(F.expr(where))
+                wide = wide.alias("exposed").where(F.expr(where))
             for p in late:
                 wide = wide.withColumns(p.limited_to(F.expr(p.where), p in tracked))
             merged = wide.groupBy(*groups, *entity).agg(*[c for p in parts for c in p.merged(p in tracked)])
@@ -392,7 +392,9 @@ class MetricLayer:
             columns[f"{p.alias}_in"] = F.when(F.expr(p.when), value) if p.when else value
         for value in distinct:
             columns["__entity"] = F.expr(value)
-        return self.tables[model.table].select(*[c.alias(n) for n, c in columns.items()])
+        rows = self.tables[model.table].select(*[c.alias(n) for n, c in columns.items()])
+        # without the alias Spark looks for a missing column below the projection
+        return rows.alias("exposed")
 
     def _with_foreign(self, model: SemanticModel, rows: DataFrame, foreign: set[str]) -> DataFrame:
         """Many-to-one joins on the entity keys, with only the wanted columns."""
