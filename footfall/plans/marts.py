@@ -32,6 +32,10 @@ PUBLIC_TABLES = (
 Keep = Callable[[str, DataFrame], DataFrame]
 
 
+def _lazy(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
 class Marts:
     """The tables of one source and window, each composed when first asked for.
 
@@ -42,7 +46,7 @@ class Marts:
 
     def __init__(
         self, spark: SparkSession, raw: DataFrame, cfg: EngineConfig,
-        catalogue: DataFrame | None = None, keep: Keep = lambda name, df: df,
+        catalogue: DataFrame | None = None, keep: Keep = _lazy,
     ):
         self.spark, self.cfg = spark, cfg
         self.raw, self._catalogue, self._keep = raw, catalogue, keep
@@ -155,7 +159,7 @@ def source_state(spark: SparkSession, path: str) -> tuple:
 
 
 def shared_marts(
-    spark: SparkSession, source: str, export: Callable[[], DataFrame], cfg: EngineConfig
+    spark: SparkSession, source: str, export: Callable[[Keep], DataFrame], cfg: EngineConfig
 ) -> Marts:
     """Marts that every query of this application over the same source reads.
 
@@ -169,10 +173,11 @@ def shared_marts(
         folder = shared_folder(spark)
         _EXPORTS[at] = folder and f"{folder}/export"
         if folder:
-            materialize(export(), _EXPORTS[at], partition_by="event_date")
+            rows = export(TableFolder(spark, folder, cfg).keep)
+            materialize(rows, _EXPORTS[at], partition_by="event_date")
     path = _EXPORTS[at]
     if path is None:
-        return Marts(spark, in_window(export(), cfg), cfg)
+        return Marts(spark, in_window(export(_lazy), cfg), cfg)
     if (*at, cfg) not in _SHARED:
         keep = TableFolder(spark, shared_folder(spark), cfg).keep
         _SHARED[(*at, cfg)] = Marts(spark, read_events(spark, path, cfg), cfg, keep=keep)

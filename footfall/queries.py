@@ -104,7 +104,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def marts_of(spark: SparkSession, sf_dir: str, cfg: EngineConfig) -> Marts:
-    return shared_marts(spark, f"{sf_dir}/events.parquet", lambda: raw_events(spark, sf_dir), cfg)
+    return shared_marts(spark, f"{sf_dir}/events.parquet", partial(raw_events, spark, sf_dir), cfg)
 
 
 def on_marts(build: Callable[[Marts], DataFrame], cfg: EngineConfig = W1) -> Query:
@@ -206,8 +206,8 @@ def queries() -> dict[str, Query]:
         "c17_funnel_gap": on_marts(reports.funnel_gap),
         "a14_row_counts": on_marts(lambda m: row_counts({t: m[t] for t in (
             "stg_events", "int_sessions", "fct_events", "dim_users", "fct_sessions", "fct_funnel")})),
-        "j14_orphan_users": on_marts(lambda m: m["fct_events"].join(m["dim_users"], "user_pseudo_id", "left_anti")
-                                     .groupBy("user_pseudo_id").agg(F.count("*").alias("n_events")), W2),
+        "j14_orphan_users": on_marts(lambda m: m["fct_events"].groupBy("user_pseudo_id").agg(
+            F.count("*").alias("n_events")).join(m["dim_users"], "user_pseudo_id", "left_anti"), W2),
         "j15_calendar_fill": on_marts(lambda m: metric_layer(m).query(
             "sessions,revenue,d7_retention_rate", group_by="metric_time", start_time="2023-12-25",
             end_time="2024-02-10", fill_spine=True)),

@@ -7,6 +7,7 @@ projection that real exports do.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,10 +73,16 @@ def _label(prefix: str, modulus: int) -> Column:
     return F.concat(F.lit(prefix), (F.col("user_id") % modulus).cast("string"))
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All driver events in the export layout. First touch is taken over the whole table."""
+def raw_events(
+    spark: SparkSession, sf_dir: str, keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df
+) -> DataFrame:
+    """All driver events in the export layout. First touch is taken over the whole table.
+
+    ``keep`` may write the first touches before they are joined. The join then
+    shuffles both sides, which lets AQE split the events of a very busy user.
+    """
     flat = _flat_events(spark, sf_dir)
-    touch = flat.groupBy("user_pseudo_id").agg(F.min("ts").alias("first_ts"))
+    touch = keep("first_touch", flat.groupBy("user_pseudo_id").agg(F.min("ts").alias("first_ts")))
     k, value = F.col("k"), F.col("value")
     session = F.when(k < 97, F.expr("datediff(cast(ts as date), date'1970-01-01') div 4"))
     is_purchase = F.col("event_type") == "purchase"

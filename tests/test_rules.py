@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from footfall.config import EngineConfig
 from footfall.operators.gaps import assign_gap_sessions, gap_sessions
 from footfall.plans.checks import run_checks
-from footfall.plans.marts import Marts
+from footfall.plans.marts import Marts, TableFolder
 from footfall.sources.readers import in_window
 from tests.rows import event, export, param
 
@@ -56,9 +56,10 @@ ROWS = [
 
 
 @pytest.fixture(scope="module")
-def marts(spark):
+def marts(spark, tmp_path_factory):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return Marts(spark, in_window(export(spark, ROWS), CFG), CFG)
+    keep = TableFolder(spark, str(tmp_path_factory.mktemp("marts")), CFG).keep
+    return Marts(spark, in_window(export(spark, ROWS), CFG), CFG, keep=keep)
 
 
 @pytest.fixture(scope="module")
@@ -222,9 +223,9 @@ def test_activation_window_is_a_setting(spark):
     assert users.where("user_pseudo_id = 'u12'").first().is_activated is True
 
 
-def test_empty_source_fails_only_the_non_empty_check(spark):
+def test_empty_source_fails_only_the_non_empty_check(spark, tmp_path):
     cfg = EngineConfig(date(2010, 1, 1), date(2010, 1, 2))
-    empty = Marts(spark, in_window(export(spark, ROWS), cfg), cfg)
+    empty = Marts(spark, in_window(export(spark, ROWS), cfg), cfg, keep=TableFolder(spark, str(tmp_path), cfg).keep)
     failed = [(r.kind, r.table) for r in run_checks(empty).where(~F.col("passed")).collect()]
     assert {k for k, _ in failed} == {"non_empty"}
     assert {t for _, t in failed} == {"stg_events", "int_sessions", "fct_events", "dim_users", "fct_sessions", "fct_funnel"}
