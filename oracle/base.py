@@ -255,5 +255,5 @@ def with_tables(cfg: EngineConfig, select: str) -> str:
 
 
 def table_sql(cfg: EngineConfig, table: str, columns: list[str], doubles: tuple[str, ...] = ()) -> str:
-    cols = ", ".join(f"round({c}, 4) AS {c}" if c in doubles else c for c in columns)
+    cols = ", ".join(f"round({c}, 7) AS {c}" if c in doubles else c for c in columns)
     return with_tables(cfg, f"SELECT {cols} FROM {table}")

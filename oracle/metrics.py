@@ -154,9 +154,9 @@ def metric_sql(
         parts = ((m, None),) if measures else _inputs_of(m)
         names = [inputs.setdefault(p, f"i{len(inputs)}") for p in parts]
         if len(names) == 2:
-            shown.append(f"round({names[0]}.v / nullif(cast({names[1]}.v AS DOUBLE), 0), 4) AS {m}")
+            shown.append(f"round({names[0]}.v / nullif(cast({names[1]}.v AS DOUBLE), 0), 7) AS {m}")
         elif parts[0][0] in DOUBLES:
-            shown.append(f"round({names[0]}.v, 4) AS {m}")
+            shown.append(f"round({names[0]}.v, 7) AS {m}")
         else:
             shown.append(f"{names[0]}.v AS {m}")
     subqueries = [f"{a} AS ({_input(x, f, groups, where, start, end)})" for (x, f), a in inputs.items()]

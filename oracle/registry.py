@@ -179,7 +179,7 @@ FROM flat GROUP BY 1""",
   count(*) AS purchase_events, count(DISTINCT transaction_id) AS global_transactions
 FROM stg_events WHERE event_name = 'purchase'"""),
         "c17_funnel_gap": with_tables(
-            W1, """SELECT step_name, permissive, strict, round((permissive - strict) / nullif(strict, 0), 4) AS gap
+            W1, """SELECT step_name, permissive, strict, round((permissive - strict) / nullif(strict, 0), 7) AS gap
 FROM (SELECT step_name, count(*) FILTER (WHERE is_reached) AS permissive,
              count(*) FILTER (WHERE is_reached_in_sequence) AS strict FROM fct_funnel GROUP BY 1)"""),
         "a14_row_counts": with_tables(W1, " UNION ALL ".join(
@@ -190,15 +190,15 @@ FROM (SELECT step_name, count(*) FILTER (WHERE is_reached) AS permissive,
             " (SELECT 1 FROM dim_users u WHERE u.user_pseudo_id = e.user_pseudo_id) GROUP BY 1"),
         "j15_calendar_fill": with_tables(W1, """SELECT d.date_day AS metric_time,
   (SELECT count(*) FROM fct_sessions WHERE session_date = d.date_day) AS sessions,
-  round(coalesce((SELECT sum(purchase_revenue_usd) FROM fct_events WHERE event_date = d.date_day), 0), 4) AS revenue,
-  (SELECT round(count(*) FILTER (WHERE is_retained_d7) / nullif(cast(count(*) AS DOUBLE), 0), 4) FROM dim_users
+  round(coalesce((SELECT sum(purchase_revenue_usd) FROM fct_events WHERE event_date = d.date_day), 0), 7) AS revenue,
+  (SELECT round(count(*) FILTER (WHERE is_retained_d7) / nullif(cast(count(*) AS DOUBLE), 0), 7) FROM dim_users
    WHERE first_seen_date = d.date_day AND NOT is_left_censored AND has_full_d7_window) AS d7_retention_rate
 FROM time_spine d WHERE d.date_day BETWEEN DATE '2023-12-25' AND DATE '2024-02-10'"""),
         "r01_kpi": metric_sql(W1, ["activation_rate", "d7_retention_rate", "session_depth", "feature_adoption_rate"]),
         "r02_weekly_cohorts": metric_sql(
             W2, ["activation_rate", "d1_retention_rate", "d7_retention_rate"], ["metric_time__week"]),
         "r03_strict_funnel": with_tables(W1, """SELECT step_number, step_name, sessions,
-  round(sessions / nullif(cast(lag(sessions) OVER (ORDER BY step_number) AS DOUBLE), 0), 4) AS share_of_previous
+  round(sessions / nullif(cast(lag(sessions) OVER (ORDER BY step_number) AS DOUBLE), 0), 7) AS share_of_previous
 FROM (SELECT step_number, step_name, count(*) FILTER (WHERE is_reached_in_sequence) AS sessions
       FROM fct_funnel GROUP BY 1, 2)"""),
         "r04_feature_adoption": metric_sql(W1, [
@@ -206,9 +206,9 @@ FROM (SELECT step_number, step_name, count(*) FILTER (WHERE is_reached_in_sequen
         "r05_mobile_retention": metric_sql(
             W1, ["d7_retention_rate", "d7_eligible_users"], ["metric_time__month"], "user__first_device_category = 'mobile'"),
         "r06_event_inventory": with_tables(
-            W1, "SELECT event_name, count(*) AS events, round(count(*) / (SELECT count(*) FROM stg_events)::DOUBLE, 4)"
+            W1, "SELECT event_name, count(*) AS events, round(count(*) / (SELECT count(*) FROM stg_events)::DOUBLE, 7)"
             " AS share FROM stg_events GROUP BY 1"),
-        "r07_definition_gaps": with_tables(W1, """SELECT finding, round(cast(value AS DOUBLE), 4) AS value FROM (
+        "r07_definition_gaps": with_tables(W1, """SELECT finding, round(cast(value AS DOUBLE), 7) AS value FROM (
   SELECT 'engaged_share_client' AS finding, avg(is_engaged_session::INT) AS value FROM int_sessions
   UNION ALL SELECT 'engaged_share_derived', avg(is_engaged_session_derived::INT) FROM int_sessions
   UNION ALL SELECT 'sessions_split_by_gap', count(*) FILTER (WHERE inactivity_gaps > 0) FROM int_sessions
@@ -225,7 +225,7 @@ FROM (SELECT step_number, step_name, count(*) FILTER (WHERE is_reached_in_sequen
         "r08_window_sensitivity": with_tables(W1, " UNION ALL ".join(f"""
 SELECT cast({n} AS BIGINT) AS window_days, count(*) AS eligible_users,
        count(*) FILTER (WHERE days_to_first_purchase BETWEEN 0 AND {n}) AS activated_users,
-       round(count(*) FILTER (WHERE days_to_first_purchase BETWEEN 0 AND {n}) / nullif(count(*)::DOUBLE, 0), 4) AS activation_rate
+       round(count(*) FILTER (WHERE days_to_first_purchase BETWEEN 0 AND {n}) / nullif(count(*)::DOUBLE, 0), 7) AS activation_rate
 FROM dim_users WHERE NOT is_left_censored AND date_diff('day', first_seen_date, DATE '{W1.window_end}') >= {n}"""
                                                                 for n in (7, 30))),
     }
