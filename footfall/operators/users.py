@@ -35,15 +35,10 @@ def user_behaviour(events: DataFrame, catalogue: DataFrame) -> DataFrame:
 def _per_day(core: DataFrame) -> DataFrame:
     """Sessions combined per user and day, so a user's rows are bounded by the
     number of days in the window before they meet in one task."""
-    first = F.struct(
-        "session_started_at", "session_key", "first_touch_source", "first_touch_medium",
-        "first_touch_campaign", "device_category", "operating_system", "country", "landing_page",
-    )
     return core.groupBy("user_pseudo_id", "session_date").agg(
         F.min("session_started_at").alias("first_started"),
         F.max("session_started_at").alias("last_started"),
         F.min("session_first_touch_at").alias("first_touch"),
-        F.min(first).alias("first_session"),
         F.count("*").alias("n_sessions"),
         F.count_if("is_engaged_session").alias("n_engaged"),
         F.sum("events_in_session").alias("n_events"),
@@ -55,13 +50,25 @@ def _per_day(core: DataFrame) -> DataFrame:
     )
 
 
+def _first_session(core: DataFrame) -> DataFrame:
+    """Attributes of each user's first session. Text needs sort-based
+    aggregation, so it is kept apart from the numbers."""
+    attributes = (
+        "first_touch_source", "first_touch_medium", "first_touch_campaign", "device_category",
+        "operating_system", "country", "landing_page",
+    )
+    return core.groupBy("user_pseudo_id").agg(
+        F.min(F.struct("session_started_at", "session_key", *attributes)).alias("first_session")
+    )
+
+
 def _returned(first_day: int, last_day: int) -> Column:
     """Day 0 never counts."""
     return F.bool_or(F.col("day").between(first_day, last_day))
 
 
 def session_rollup(core: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Everything a user's sessions say about the user."""
+    """The numbers a user's sessions add up to."""
     by_user = Window.partitionBy("user_pseudo_id")
     days = _per_day(core).withColumn(
         "day", days_between(F.min("session_date").over(by_user), F.col("session_date"))
@@ -70,7 +77,6 @@ def session_rollup(core: DataFrame, cfg: EngineConfig) -> DataFrame:
         F.min("first_started").alias("first_seen_at"),
         F.min("first_touch").alias("first_touch_at"),
         F.max("last_started").alias("last_seen_at"),
-        F.min("first_session").alias("first_session"),
         F.sum("n_sessions").alias("sessions"),
         F.sum("n_engaged").alias("engaged_sessions"),
         F.count("*").alias("active_days"),
@@ -108,7 +114,8 @@ def dim_users(core: DataFrame, events: DataFrame, catalogue: DataFrame, cfg: Eng
         "first_landing_page": "landing_page",
     }
     return (
-        rollup.join(user_behaviour(events, catalogue), "user_pseudo_id", "left")
+        rollup.join(_first_session(core), "user_pseudo_id", "left")
+        .join(user_behaviour(events, catalogue), "user_pseudo_id", "left")
         .withColumns(
             {
                 "first_seen_date": first_day,

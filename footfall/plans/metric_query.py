@@ -102,7 +102,11 @@ def as_list(names: str | Iterable[str] | None) -> list[str]:
     if not names:
         return []
     parts = names.split(",") if isinstance(names, str) else names
-    return [p.strip() for p in parts if p.strip()]
+    return list(dict.fromkeys(p.strip() for p in parts if p.strip()))
+
+
+def _day(value: str | date | None) -> date | None:
+    return value if value is None or isinstance(value, date) else date.fromisoformat(value)
 
 
 def plain_filter(text: str | None) -> str | None:
@@ -216,6 +220,7 @@ class MetricLayer:
         """
         names, groups = as_list(metrics), as_list(group_by)
         self.check_metrics(names)
+        start_time, end_time = _day(start_time), _day(end_time)
         leaves: dict[_Input, str] = {}
         parts: dict[str, tuple[str, ...]] = {}
         for name in names:
@@ -264,7 +269,7 @@ class MetricLayer:
         return df if limit is None else df.limit(clamp_rows(limit))
 
     def _aggregate(
-        self, leaves: dict[_Input, str], groups: list[str], start: Any, end: Any, where: str | None,
+        self, leaves: dict[_Input, str], groups: list[str], start: date | None, end: date | None, where: str | None,
         metrics: Sequence[str],
     ) -> DataFrame:
         where = plain_filter(where)
@@ -289,7 +294,7 @@ class MetricLayer:
 
     def _one_scan(
         self, model: SemanticModel, clock: str | None, inputs: dict[_Input, str], groups: list[str],
-        start: Any, end: Any, where: str | None,
+        start: date | None, end: date | None, where: str | None,
     ) -> DataFrame:
         """All inputs of one table under one clock: one scan, one row per group.
 
@@ -309,9 +314,9 @@ class MetricLayer:
 
         rows = self._own_rows(model, clock, own, foreign, parts, distinct)
         if start:
-            rows = rows.where(F.col("metric_time") >= F.lit(str(start)).cast("date"))
+            rows = rows.where(F.col("metric_time") >= F.lit(start))
         if end:
-            rows = rows.where(F.col("metric_time") <= F.lit(str(end)).cast("date"))
+            rows = rows.where(F.col("metric_time") <= F.lit(end))
         if where and names_in(where) <= own:
             rows, where = rows.where(F.expr(where)), None
         early = {p for p in parts if p.where and names_in(p.where) <= own}
@@ -413,16 +418,16 @@ class MetricLayer:
     # -- J15 -------------------------------------------------------------------
 
     def _onto_spine(
-        self, wide: DataFrame, groups: list[str], start: Any, end: Any, filled: list[str]
+        self, wide: DataFrame, groups: list[str], start: date | None, end: date | None, filled: list[str]
     ) -> DataFrame:
         """Opt-in: one row per day (or week, ...) of the calendar, empty ones as 0."""
         if self._spine is None or len(groups) != 1 or _split_grain(groups[0])[0] != "metric_time":
             raise ValueError("fill_spine needs a calendar and metric_time as the only group")
         days = self._spine()
         if start:
-            days = days.where(F.col("date_day") >= F.lit(str(start)).cast("date"))
+            days = days.where(F.col("date_day") >= F.lit(start))
         if end:
-            days = days.where(F.col("date_day") <= F.lit(str(end)).cast("date"))
+            days = days.where(F.col("date_day") <= F.lit(end))
         grain = _split_grain(groups[0])[1] or "day"
         dates = days.select(start_of(grain, F.col("date_day")).alias(groups[0])).distinct()
         return dates.join(wide, groups[0], "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in filled})
@@ -435,15 +440,18 @@ class MetricLayer:
     ) -> dict[str, Any]:
         """M01 with rows, refusals as data, and governance on every answer."""
         names = as_list(metrics)
+        if not names:
+            raise ValueError("name at least one metric")
         try:
             df = self.query(names, group_by, start_time or None, end_time or None, where or None, order_by)
             rows, more = to_rows(df, limit)
         except Refused as refusal:
             return refusal.payload
-        except (AnalysisException, ParseException) as problem:
+        except (AnalysisException, ParseException, ValueError) as problem:
             return {
                 "ok": False, "metrics": names, "error": str(problem)[:4000],
-                "hint": "filters may only name dimensions valid for these metrics",
+                "hint": "filters name dimensions valid for these metrics, bounds are ISO dates,"
+                " sort fields are result columns",
                 "governance": self.governance(names),
             }
         return {

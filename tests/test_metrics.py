@@ -71,6 +71,18 @@ def test_raw_columns_cannot_be_filtered_on(layer):
     assert answer["ok"] is False and answer["governance"]
 
 
+def test_bad_arguments_are_answered_not_raised(layer):
+    for bad in ({"start_time": "last week"}, {"order_by": "nonsense"}, {"where": "session__country ="}):
+        answer = layer.answer("sessions", **bad)
+        assert answer["ok"] is False and answer["error"] and answer["governance"]
+    with pytest.raises(ValueError):
+        layer.answer("")
+
+
+def test_repeated_names_count_once(layer):
+    assert layer.query("sessions, sessions", "session__country,session__country").columns == ["session__country", "sessions"]
+
+
 def test_answer_carries_rows_and_governance(layer):
     answer = layer.answer(
         "d7_retention_rate,d7_eligible_users", group_by="metric_time__month",

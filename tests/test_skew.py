@@ -15,6 +15,7 @@ from footfall.operators.gaps import assign_gap_sessions, gap_sessions
 from footfall.operators.sessions import enrich_sessions, session_core
 from footfall.operators.staging import stage_events
 from footfall.plans.layer import metric_layer
+from footfall.sources.writers import materialize
 from tests.rows import _EPOCH, event, export
 
 MINUTE = 60_000_000
@@ -163,6 +164,16 @@ def test_hot_user_is_split_in_the_session_join(forced_skew, tmp_path):
     assert joined.count() == 30_000
 
 
+def test_hot_day_is_written_by_several_tasks(forced_skew, tmp_path):
+    rows = forced_skew.range(0, 30_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "20240101").otherwise(F.concat(F.lit("202402"), (F.col("id") % 20 + 10).cast("string"))).alias("event_date"),
+        F.sha2(F.col("id").cast("string"), 512).alias("payload"),
+    )
+    materialize(rows, str(tmp_path / "t"), partition_by="event_date", cluster_by=["payload"])
+    assert len(list((tmp_path / "t" / "event_date=20240101").glob("*.parquet"))) > 2
+    assert forced_skew.read.parquet(str(tmp_path / "t")).count() == 30_000
+
+
 def test_metric_rows_are_combined_before_dimension_joins(forced_skew):
     from footfall.queries import marts_of
     from footfall.sources.driver_tables import W1
