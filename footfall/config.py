@@ -18,19 +18,17 @@ FEATURE_EVENTS = (
     ("click", "outbound_click", True),
 )
 
+# Fixed value: feature adoption counts days 0 to 7, whatever the activation window is.
+ADOPTION_WINDOW_DAYS = 7
+
 
 @dataclass(frozen=True)
 class EngineConfig:
-    """Observation window and the thresholds the metrics depend on.
-
-    ``adoption_window_days`` is separate from ``activation_window_days``: the
-    adoption rule is fixed at seven days whatever the activation rule says.
-    """
+    """Observation window and the thresholds the metrics depend on."""
 
     window_start: date = date(2020, 11, 1)
     window_end: date = date(2021, 1, 31)
     activation_window_days: int = 7
-    adoption_window_days: int = 7
     session_gap_minutes: int = 30
     engaged_min_seconds: int = 10
     engaged_min_page_views: int = 2

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.config import EngineConfig
+from footfall.config import ADOPTION_WINDOW_DAYS, EngineConfig
 from footfall.functions.columns import days_between
 from footfall.sources.schema import PUBLIC_COLUMNS
 
@@ -57,7 +57,7 @@ def fct_events(
             **zero_filled,
             **false_filled,
             "has_full_d7_window": days_between(F.col("user_first_seen_date"), F.lit(cfg.window_end))
-            >= cfg.adoption_window_days,
+            >= ADOPTION_WINDOW_DAYS,
             "funnel_step_number": number,
             "funnel_step_name": name,
             "is_user_initiated_feature": F.coalesce("is_user_initiated", F.lit(False)),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -51,11 +52,13 @@ class Marts:
         self.spark, self.cfg = spark, cfg
         self.raw, self._catalogue, self._keep = raw, catalogue, keep
         self._tables: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._tables:
-            self._tables[name] = getattr(self, f"_{name}")()
-        return self._tables[name]
+        with self._lock:  # a table is written once, also when queries run side by side
+            if name not in self._tables:
+                self._tables[name] = getattr(self, f"_{name}")()
+            return self._tables[name]
 
     def public(self) -> dict[str, DataFrame]:
         return {name: self[name] for name in PUBLIC_TABLES}
@@ -133,6 +136,7 @@ class TableFolder:
 _LOCAL_FOLDERS: list[tempfile.TemporaryDirectory] = []
 _EXPORTS: dict[tuple, str | None] = {}
 _SHARED: dict[tuple, Marts] = {}
+_SHARED_LOCK = threading.Lock()
 
 
 def shared_folder(spark: SparkSession) -> str | None:
@@ -169,16 +173,17 @@ def shared_marts(
     source files stay the same.
     """
     at = (spark.conf.get("spark.app.id"), *source_state(spark, source))
-    if at not in _EXPORTS:
-        folder = shared_folder(spark)
-        _EXPORTS[at] = folder and f"{folder}/export"
-        if folder:
-            rows = export(TableFolder(spark, folder, cfg).keep)
-            materialize(rows, _EXPORTS[at], partition_by="event_date")
-    path = _EXPORTS[at]
-    if path is None:
-        return Marts(spark, in_window(export(_lazy), cfg), cfg)
-    if (*at, cfg) not in _SHARED:
-        keep = TableFolder(spark, shared_folder(spark), cfg).keep
-        _SHARED[(*at, cfg)] = Marts(spark, read_events(spark, path, cfg), cfg, keep=keep)
-    return _SHARED[(*at, cfg)]
+    with _SHARED_LOCK:
+        if at not in _EXPORTS:
+            folder = shared_folder(spark)
+            if folder:
+                rows = export(TableFolder(spark, folder, cfg).keep)
+                materialize(rows, f"{folder}/export", partition_by="event_date")
+            _EXPORTS[at] = folder and f"{folder}/export"
+        path = _EXPORTS[at]
+        if path is None:
+            return Marts(spark, in_window(export(_lazy), cfg), cfg)
+        if (*at, cfg) not in _SHARED:
+            keep = TableFolder(spark, shared_folder(spark), cfg).keep
+            _SHARED[(*at, cfg)] = Marts(spark, read_events(spark, path, cfg), cfg, keep=keep)
+        return _SHARED[(*at, cfg)]

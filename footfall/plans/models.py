@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from footfall.config import ADOPTION_WINDOW_DAYS
 from footfall.plans.semantics import Dimension, ForeignEntity, Measure, SemanticModel
 
 
@@ -101,7 +102,7 @@ EVENTS = SemanticModel(
         Measure("event_users", "count_distinct", "user_pseudo_id", description="Users with any event."),
         Measure(
             "feature_adopters_7d", "count_distinct", "user_pseudo_id",
-            when="is_user_initiated_feature and days_since_first_session between 0 and 7"
+            when=f"is_user_initiated_feature and days_since_first_session between 0 and {ADOPTION_WINDOW_DAYS}"
             " and not is_left_censored and has_full_d7_window",
             time="user_first_seen_date",
             conditioned_on=("event__is_user_initiated_feature", "event__feature_name", "event__event_name"),

@@ -205,7 +205,7 @@ fct_events AS (
     coalesce(s.is_first_session, false) AS is_first_session,
     coalesce(s.is_engaged_session, false) AS is_engaged_session,
     coalesce(s.is_left_censored, false) AS is_left_censored,
-    date_diff('day', s.user_first_seen_date, {bound(cfg)}) >= {cfg.adoption_window_days} AS has_full_d7_window,
+    date_diff('day', s.user_first_seen_date, {bound(cfg)}) >= 7 AS has_full_d7_window,
     cast(p.step_number AS BIGINT) AS funnel_step_number, p.step_name AS funnel_step_name,
     c.feature_name, coalesce(c.is_user_initiated, false) AS is_user_initiated_feature,
     e.device_category, e.operating_system, e.browser, e.platform, e.country, e.region, e.city,

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from footfall.plans import catalogue, reports
 from footfall.plans.layer import PRODUCT_ANALYTICS, metric_layer
-from footfall.plans.metric_query import Refused, names_in, plain_filter
+from footfall.plans.metric_definitions import METRICS
+from footfall.plans.metric_query import MetricLayer, Refused, names_in, plain_filter
+from footfall.plans.models import MODELS
+from footfall.plans.semantics import Definitions, Metric
 from footfall.plans.star_schema import star_layer
 from footfall.queries import marts_of
 from footfall.sources.driver_tables import W1, W2
@@ -188,6 +191,31 @@ def test_listing(spark, layer):
     assert {r.measure for r in lineage.where("metric = 'average_order_value'").collect()} == {"session_revenue", "transactions"}
 
 
+MOBILE = "user__first_device_category = 'mobile'"
+
+
+def _mobile(name, measure):
+    return Metric(name, name, "user", name, name, "-", "-", "-", measure=measure, where=MOBILE)
+
+
+def test_metric_filter_on_another_models_dimension(marts):
+    """Such filters are applied to the combined rows, after the join."""
+    custom = (_mobile("mobile_sessions", "sessions"), _mobile("mobile_revenue", "session_revenue"),
+              _mobile("mobile_event_users", "event_users"), _mobile("mobile_base", "adoption_base_users"))
+    layer = MetricLayer(Definitions(MODELS, METRICS + custom), marts)
+    names = "mobile_sessions,mobile_revenue,mobile_event_users,mobile_base"
+    plain = layer.query_measures("sessions,session_revenue,event_users,adoption_base_users", where=MOBILE).first()
+    assert tuple(layer.query(names).first()) == pytest.approx(tuple(plain))
+    for group in ("user__first_country", "user__first_device_category"):
+        got = sorted(layer.query(names, group).collect(), key=str)
+        want = sorted(layer.query_measures("sessions,session_revenue,event_users,adoption_base_users", group, where=MOBILE).collect(), key=str)
+        assert [tuple(r)[:2] for r in got] == [tuple(r)[:2] for r in want] and len(got) > 0
+        assert [r[3:] for r in got] == [r[3:] for r in want]
+    both = layer.query("mobile_sessions,sessions", "user__first_device_category").collect()
+    counts = {r[0]: r.mobile_sessions for r in both}
+    assert counts["desktop"] is None and counts["mobile"] > 0
+
+
 def test_report_views(spark, marts):
     reports.register_report_views(marts)
     a = spark.table("d7_users").agg(F.count("*"), F.count_if("is_retained_d7")).first()
