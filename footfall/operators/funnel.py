@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.config import EngineConfig
 from footfall.functions.columns import surrogate_key, whole_seconds_between
 from footfall.sources.schema import PUBLIC_COLUMNS
 
 
-def fct_funnel(wide_sessions: DataFrame) -> DataFrame:
+def fct_funnel(wide_sessions: DataFrame, cfg: EngineConfig) -> DataFrame:
     """One row per session and step, reached or not.
 
     The sessions carry their step reach, so this is one narrow explode: no
@@ -22,15 +23,17 @@ def fct_funnel(wide_sessions: DataFrame) -> DataFrame:
     )
     prefix = F.slice("reached_flags", F.lit(1), F.col("step_index") + 1)
     first_reached = F.col("step.first_reached_at")
+    number = (F.col("step_index") + 1).cast("bigint")
+    names = F.array(*[F.lit(name) for name in cfg.funnel_steps])
     return steps.withColumns(
         {
-            "step_number": F.col("step.step_number"),
-            "step_name": F.col("step.step_name"),
+            "step_number": number,
+            "step_name": F.get(names, F.col("step_index")),
             "first_reached_at": first_reached,
             "step_event_count": F.col("step.step_event_count"),
             "is_reached": first_reached.isNotNull(),
             "is_reached_in_sequence": F.forall(prefix, lambda x: x),
             "seconds_from_session_start": whole_seconds_between(F.col("session_started_at"), first_reached),
-            "funnel_key": surrogate_key([F.col("session_key"), F.col("step.step_number")]),
+            "funnel_key": surrogate_key([F.col("session_key"), number]),
         }
     ).select(*PUBLIC_COLUMNS["fct_funnel"])

@@ -75,7 +75,7 @@ def _distincts(events: DataFrame) -> DataFrame:
 def session_core(events: DataFrame, cfg: EngineConfig) -> DataFrame:
     """One row per client session id; events without one are left out.
 
-    ``step_reach`` holds, per funnel step, when it was first fired and how often.
+    ``step_reach`` holds, per funnel step in order, when it was first fired and how often.
     """
     events = events.where(F.col("ga_session_id").isNotNull())
     blocks = _per_block(events, cfg).withColumn("after_gap", opens_after_gap(SESSION, cfg))
@@ -103,13 +103,8 @@ def session_core(events: DataFrame, cfg: EngineConfig) -> DataFrame:
     duration = whole_seconds_between(F.col("session_started_at"), F.col("session_ended_at"))
     reach = F.array(
         *[
-            F.struct(
-                F.lit(i).cast("bigint").alias("step_number"),
-                F.lit(step).alias("step_name"),
-                F.col(f"step{i}_at").alias("first_reached_at"),
-                F.col(f"step{i}_n").alias("step_event_count"),
-            )
-            for i, step in enumerate(cfg.funnel_steps, 1)
+            F.struct(F.col(f"step{i}_at").alias("first_reached_at"), F.col(f"step{i}_n").alias("step_event_count"))
+            for i in range(1, n + 1)
         ]
     )
     return joined.select(

@@ -89,7 +89,7 @@ class Marts:
         return fct_sessions(self["sessions_enriched"])
 
     def _fct_funnel(self) -> DataFrame:
-        return fct_funnel(with_filled_flags(self["sessions_enriched"]))
+        return fct_funnel(with_filled_flags(self["sessions_enriched"]), self.cfg)
 
     def _feature_catalogue(self) -> DataFrame:
         return self._catalogue if self._catalogue is not None else read_feature_catalogue(self.spark)

@@ -183,7 +183,7 @@ def queries() -> dict[str, Query]:
             "event_key", "user_pseudo_id", "gap_session_number")),
         "c04_engagement": on_marts(lambda m: m["int_sessions"].groupBy(
             "is_engaged_session", "is_engaged_session_derived").agg(F.count("*").alias("n_sessions"))),
-        "c05_funnel_dense": on_marts(lambda m: funnel.fct_funnel(sessions.with_filled_flags(m["sessions_enriched"]))),
+        "c05_funnel_dense": on_marts(lambda m: funnel.fct_funnel(sessions.with_filled_flags(m["sessions_enriched"]), m.cfg)),
         "c06_cohort_anchor": on_marts(_columns("int_sessions", "session_key", "user_first_seen_at", "user_first_seen_date",
                                                "days_since_first_session", "is_first_session")),
         "c07_left_censoring": on_marts(_columns("dim_users", "user_pseudo_id", "first_touch_at", "is_left_censored")),

@@ -42,7 +42,7 @@ def test_no_python_and_no_cross_join(spark, name):
 
 
 def test_funnel_adds_no_shuffle(marts):
-    text = plan(fct_funnel(with_filled_flags(marts["sessions_enriched"])))
+    text = plan(fct_funnel(with_filled_flags(marts["sessions_enriched"]), W1))
     assert "Exchange" not in text and "Join" not in text and "Window" not in text
 
 
