@@ -6,18 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import decontaminate, language, minhash, packing, quality, secret_scan
+from footfall.llm import (
+    chat_format,
+    decontaminate,
+    fingerprints,
+    language,
+    minhash,
+    packing,
+    quality,
+    secret_scan,
+    suffix_dedup,
+    token_counts,
+)
 from footfall.llm.tables import table
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.report(table(spark, sf_dir, "documents"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_next(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -34,14 +57,22 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(table(spark, sf_dir, "documents"))
 
 
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_calls(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
+        op1_suffix_array_dedup,
         op2_secret_scans,
+        op3_token_counts,
         op4_benchmark_decontamination,
+        op5_document_fingerprints,
         op6_quality_classifier,
         op7_packing,
         op8_minhash_near_dedup,
         op9_language_id,
+        op10_chat_formatting,
     ]
     return {f.__name__: f for f in named}
 
