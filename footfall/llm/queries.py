@@ -75,7 +75,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_chat_formatting,
     ]
     return {f.__name__: f for f in named}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
