@@ -32,7 +32,7 @@ class EngineConfig:
     session_gap_minutes: int = 30
     engaged_min_seconds: int = 10
     engaged_min_page_views: int = 2
-    enable_partitioning: bool = False
+    enable_partitioning: bool = True
     funnel_steps: tuple[str, ...] = FUNNEL_STEPS
 
     @property

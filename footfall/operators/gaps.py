@@ -69,14 +69,18 @@ def gap_sessions(events: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 
 def assign_gap_sessions(events: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """C03 on events: adds ``gap_session_number`` to every event with a user.
+    """C03 on events: adds ``gap_session_number``; NULL for events without a user.
 
     The lookup is keyed by user *and* block, so one busy user is spread over
-    as many keys as that user has blocks.
+    as many keys as that user has blocks; events without a user are spread by
+    their own keys, which match nothing.
     """
-    numbered = _user_blocks(events, cfg).select("user_pseudo_id", "block", "gap_session_number")
-    return (
-        events.withColumn("block", block_of(F.col("event_at"), cfg))
-        .join(numbered, ["user_pseudo_id", "block"])
-        .drop("block")
+    numbered = _user_blocks(events, cfg).select(
+        F.col("user_pseudo_id").alias("__user"), F.col("block").alias("__block"), "gap_session_number"
     )
+    block = block_of(F.col("event_at"), cfg)
+    place = F.when(F.col("user_pseudo_id").isNotNull(), block).otherwise(F.xxhash64("event_key"))
+    known = F.coalesce("user_pseudo_id", F.lit(""))
+    keyed = events.withColumns({"__place": place, "__known": known})
+    same = (F.col("__known") == F.col("__user")) & (F.col("__place") == F.col("__block")) & F.col("user_pseudo_id").isNotNull()
+    return keyed.join(numbered, same, "left").drop("__user", "__block", "__place", "__known")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.plans.metric_query import MetricLayer, as_list
+from footfall.plans.metric_query import MetricLayer, Refused, as_list
 from footfall.plans.semantics import Definitions
 
 
@@ -38,10 +40,18 @@ def list_metrics(spark: SparkSession, definitions: Definitions, search: str = ""
     )
 
 
-def describe_metric(spark: SparkSession, layer: MetricLayer, name: str) -> DataFrame:
-    """The one row of a metric; an unknown name is refused."""
-    layer.check_metrics([name])
-    return metric_catalogue(spark, layer.definitions).where(F.col("name") == name)
+def _refusal(layer: MetricLayer, names: list[str]) -> dict[str, Any] | None:
+    """An unknown name is answered with the payload of its refusal, not raised."""
+    try:
+        layer.check_metrics(names)
+    except Refused as refusal:
+        return refusal.payload
+    return None
+
+
+def describe_metric(spark: SparkSession, layer: MetricLayer, name: str) -> DataFrame | dict[str, Any]:
+    """The one row of a metric; an unknown name is refused as data."""
+    return _refusal(layer, [name]) or metric_catalogue(spark, layer.definitions).where(F.col("name") == name)
 
 
 def governance(spark: SparkSession, layer: MetricLayer, metrics: str) -> DataFrame:
@@ -75,9 +85,9 @@ def list_semantic_models(spark: SparkSession, definitions: Definitions) -> DataF
     )
 
 
-def list_dimensions(spark: SparkSession, layer: MetricLayer, metrics: str) -> DataFrame:
-    """M16."""
-    return spark.createDataFrame([(d,) for d in layer.dimensions_of(metrics)], "dimension string")
+def list_dimensions(spark: SparkSession, layer: MetricLayer, metrics: str) -> DataFrame | dict[str, Any]:
+    """M16; unknown names are refused as data."""
+    return _refusal(layer, as_list(metrics)) or spark.createDataFrame([(d,) for d in layer.dimensions_of(metrics)], "dimension string")
 
 
 def metric_lineage(spark: SparkSession, definitions: Definitions) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+
 from footfall.plans.marts import Marts
 from footfall.plans.metric_definitions import METRICS
 from footfall.plans.metric_query import MetricLayer
@@ -11,5 +15,6 @@ from footfall.plans.semantics import Definitions
 PRODUCT_ANALYTICS = Definitions(MODELS, METRICS)
 
 
-def metric_layer(marts: Marts) -> MetricLayer:
-    return MetricLayer(PRODUCT_ANALYTICS, marts, spine=lambda: marts["time_spine"])
+def metric_layer(marts: Marts, spine: Callable[[], DataFrame] | None = None) -> MetricLayer:
+    """spine: a calendar other than the shared one."""
+    return MetricLayer(PRODUCT_ANALYTICS, marts, spine=spine or (lambda: marts["time_spine"]))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import threading
 import uuid
+from collections import defaultdict
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from footfall.config import EngineConfig
 from footfall.operators.event_facts import fct_events
@@ -22,8 +23,8 @@ from footfall.operators.sessions import (
 )
 from footfall.operators.staging import stage_events
 from footfall.operators.users import dim_users
-from footfall.sources.readers import in_window, read_events, read_feature_catalogue, time_spine
-from footfall.sources.writers import TABLE_LAYOUT, materialize
+from footfall.sources.readers import in_window, read_export, read_feature_catalogue, time_spine
+from footfall.sources.writers import TABLE_LAYOUT, delete_at_end, delete_folder, materialize
 
 PUBLIC_TABLES = (
     "stg_events", "int_sessions", "fct_events", "dim_users", "fct_sessions", "fct_funnel",
@@ -52,14 +53,23 @@ class Marts:
         self.spark, self.cfg = spark, cfg
         self.raw, self._catalogue, self._keep = raw, catalogue, keep
         self._tables: dict[str, DataFrame] = {}
-        self._lock = threading.RLock()
+        self._locks: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
+        self._guard = threading.Lock()
 
     def __getitem__(self, name: str) -> DataFrame:
-        with self._lock:  # a table is written once, also when queries run side by side
+        with self._guard:
+            lock = self._locks[name]
+        with lock:  # a table is written once, also when queries run side by side; others are not held up
             if name not in self._tables:
                 self._tables[name] = getattr(self, f"_{name}")()
             return self._tables[name]
 
+    def planned(self) -> Marts:
+        """The same tables without writing any: those already there, the others as lazy plans."""
+        lazy = Marts(self.spark, self.raw, self.cfg, self._catalogue)
+        lazy._tables = dict(self._tables)
+        return lazy
+
     def public(self) -> dict[str, DataFrame]:
         return {name: self[name] for name in PUBLIC_TABLES}
 
@@ -110,10 +120,18 @@ def build_marts(
     if out is None:
         return Marts(spark, raw, cfg, catalogue).public()
     folder = TableFolder(spark, out, cfg)
-    tables = Marts(spark, raw, cfg, catalogue, folder.keep).public()
-    return {
-        name: df if name in folder.kept else folder.keep(name, df) for name, df in tables.items()
-    }
+    marts = Marts(spark, raw, cfg, catalogue, folder.keep)
+
+    def finished(name: str) -> DataFrame:
+        df = marts[name]
+        return df if name in folder.kept else folder.keep(name, df)
+
+    marts["sessions_enriched"]  # what the other tables have in common, in order
+    with ThreadPoolExecutor(len(PUBLIC_TABLES)) as pool:  # these do not depend on each other
+        tables = dict(zip(PUBLIC_TABLES, pool.map(finished, PUBLIC_TABLES), strict=True))
+    for name in folder.kept - set(PUBLIC_TABLES):
+        delete_folder(spark, f"{folder.root}/{name}")
+    return tables
 
 
 class TableFolder:
@@ -133,57 +151,62 @@ class TableFolder:
 
 # -- tables shared by the queries of one application ----------------------------
 
-_LOCAL_FOLDERS: list[tempfile.TemporaryDirectory] = []
-_EXPORTS: dict[tuple, str | None] = {}
+_EXPORTS: dict[tuple, DataFrame] = {}
 _SHARED: dict[tuple, Marts] = {}
 _SHARED_LOCK = threading.Lock()
 
 
 def shared_folder(spark: SparkSession) -> str | None:
-    """A new directory in the folder the cluster names; local runs may make their own.
-
-    None on a cluster that names no folder: a directory of one machine is of no
-    use to the others, so relations then stay lazy.
-    """
+    """A new directory in the folder that ``spark.checkpoint.dir`` names, deleted when the application ends;
+    None where it names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return f"{named.rstrip('/')}/footfall-{uuid.uuid4().hex}"
-    if spark.conf.get("spark.master", "").startswith("local"):
-        folder = tempfile.TemporaryDirectory(prefix="footfall-")
-        _LOCAL_FOLDERS.append(folder)
-        return folder.name
-    return None
+    if not named:
+        return None
+    return delete_at_end(spark, f"{named.rstrip('/')}/footfall-{uuid.uuid4().hex}")
+
+
+def shared_keep(spark: SparkSession, cfg: EngineConfig) -> Keep:
+    """How shared relations are kept, the same on every master: written where a shared folder is named, else
+    persisted by the engine (lost parts are computed again)."""
+    folder = shared_folder(spark)
+    if folder:
+        return TableFolder(spark, folder, cfg).keep
+    return lambda name, df: df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def source_state(spark: SparkSession, path: str) -> tuple:
-    """Number, size and newest change of the files behind ``path``; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    row = files.agg(F.count("path"), F.sum("length"), F.max("modificationTime")).first()
-    return (path, *(str(v) for v in row))
+def source_version(spark: SparkSession, path: str) -> tuple:
+    """When the file or directory at ``path`` last changed, and its length: one look, no listing, no job."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    status = where.getFileSystem(context._jsc.hadoopConfiguration()).getFileStatus(where)
+    return status.getModificationTime(), status.getLen()
 
 
 def shared_marts(
-    spark: SparkSession, source: str, export: Callable[[Keep], DataFrame], cfg: EngineConfig
+    spark: SparkSession, source: str, export: Callable[[Keep], DataFrame], cfg: EngineConfig, version: object = None
 ) -> Marts:
     """Marts that every query of this application over the same source reads.
 
-    ``export`` gives the source in the event export's layout; it is written by
-    day once, and each window reads only its own days. A relation is written
-    the first time a query needs it and read from then on, for as long as the
-    source files stay the same.
+    ``export`` gives the source in the event export's layout, laid out by day
+    once where a shared folder is named, so that each window reads only its own
+    days. A relation is kept the first time a query needs it. ``version`` tells
+    states of the source apart; by default the change time of its path. Stores
+    that give a directory none need it from the caller. Marts of an older
+    version are dropped.
     """
-    at = (spark.conf.get("spark.app.id"), *source_state(spark, source))
+    home = (spark.conf.get("spark.app.id"), source)
+    at = (*home, version if version is not None else source_version(spark, source))
     with _SHARED_LOCK:
+        for old in [k for k in (*_EXPORTS, *_SHARED) if k[:2] == home and k[:3] != at]:
+            _EXPORTS.pop(old, None)
+            _SHARED.pop(old, None)
         if at not in _EXPORTS:
-            folder = shared_folder(spark)
+            keep = shared_keep(spark, cfg)
+            rows, folder = export(keep), shared_folder(spark)
             if folder:
-                rows = export(TableFolder(spark, folder, cfg).keep)
                 materialize(rows, f"{folder}/export", partition_by="event_date")
-            _EXPORTS[at] = folder and f"{folder}/export"
-        path = _EXPORTS[at]
-        if path is None:
-            return Marts(spark, in_window(export(_lazy), cfg), cfg)
+                rows = read_export(spark, f"{folder}/export")
+            _EXPORTS[at] = rows
         if (*at, cfg) not in _SHARED:
-            keep = TableFolder(spark, shared_folder(spark), cfg).keep
-            _SHARED[(*at, cfg)] = Marts(spark, read_events(spark, path, cfg), cfg, keep=keep)
+            _SHARED[(*at, cfg)] = Marts(spark, in_window(_EXPORTS[at], cfg), cfg, keep=shared_keep(spark, cfg))
         return _SHARED[(*at, cfg)]

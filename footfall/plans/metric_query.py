@@ -7,8 +7,6 @@ to the aggregated rows, and ratios are divided last.
 
 from __future__ import annotations
 
-import contextlib
-import io
 import re
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
@@ -22,11 +20,11 @@ from pyspark.sql import functions as F
 
 from footfall.functions.columns import safe_ratio, start_of
 from footfall.plans.semantics import TIME_GRAINS, Definitions, SemanticModel
-from footfall.sources.writers import DEFAULT_ROWS, clamp_rows, to_rows
+from footfall.sources.writers import DEFAULT_ROWS, MAX_ROWS, to_rows
 
 _TEMPLATE = re.compile(r"\{\{\s*(?:Time)?Dimension\(\s*'([^']+)'\s*(?:,\s*'(\w+)'\s*)?\)\s*\}\}")
 _NAME = re.compile(r"\b[A-Za-z]\w*__\w+\b|\bmetric_time\b")
-_QUOTED = re.compile(r"'(?:[^']|'')*'")
+_QUOTED = re.compile(r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*\"""", re.S)
 
 
 class Refused(ValueError):
@@ -214,9 +212,10 @@ class MetricLayer:
         where: str | None = None, order_by: str | Sequence[str] = (), limit: int | None = None,
         fill_spine: bool = False,
     ) -> DataFrame:
-        """Metrics as columns, one row per group. Nothing runs until it is read.
+        """Metrics as columns, one row per group. The query itself runs when it is read; shared tables it
+        needs that are not there yet are built first.
 
-        ``limit`` is clamped to 1..500; without it all rows are in the result.
+        ``limit`` is a positive number of rows; without it all rows are in the result.
         """
         names, groups = as_list(metrics), as_list(group_by)
         self.check_metrics(names)
@@ -266,7 +265,11 @@ class MetricLayer:
             order.append(F.col(name).desc_nulls_last() if field.startswith("-") else F.col(name).asc_nulls_first())
         if order:
             df = df.orderBy(*order)
-        return df if limit is None else df.limit(clamp_rows(limit))
+        if limit is None:
+            return df
+        if limit < 1:
+            raise ValueError(f"limit must be positive, not {limit}")
+        return df.limit(limit)
 
     def _aggregate(
         self, leaves: dict[_Input, str], groups: list[str], start: date | None, end: date | None, where: str | None,
@@ -283,8 +286,8 @@ class MetricLayer:
             clock = (measure.time or model.time) if timed else None
             by_scan.setdefault((model.name, clock), {})[leaf] = alias
         answers = [
-            self._one_scan(self.definitions.models[model], clock, inputs, groups, start, end, where)
-            for (model, clock), inputs in by_scan.items()
+            self._one_scan(self.definitions.models[model], clock, some, groups, start, end, where)
+            for (model, clock), inputs in by_scan.items() for some in self._by_distinct_column(model, inputs)
         ]
         if len(answers) == 1:
             return answers[0]
@@ -292,6 +295,16 @@ class MetricLayer:
         stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), answers)
         return stacked.groupBy(*groups).agg(*[F.max(a).alias(a) for a in leaves.values()])
 
+    def _by_distinct_column(self, model: str, inputs: dict[_Input, str]) -> list[dict[_Input, str]]:
+        """Distinct counts over different columns need different combined rows, hence a scan each; everything
+        else goes with the first."""
+        by_column: dict[str | None, dict[_Input, str]] = {}
+        for leaf, alias in inputs.items():
+            part = self._part(self.definitions.models[model], leaf, alias)
+            by_column.setdefault(part.value if part.kind == "distinct" else None, {})[leaf] = alias
+        plain, scans = by_column.pop(None, {}), list(by_column.values())
+        return [{**plain, **scans[0]}, *scans[1:]] if scans else [plain]
+
     def _one_scan(
         self, model: SemanticModel, clock: str | None, inputs: dict[_Input, str], groups: list[str],
         start: date | None, end: date | None, where: str | None,
@@ -308,8 +321,6 @@ class MetricLayer:
         own = {n for n in {*groups, *named} if self._is_own(model, n)}
         foreign = {*groups, *named} - own
         distinct = {p.value for p in parts if p.kind == "distinct"}
-        if len(distinct) > 1:
-            raise NotImplementedError("distinct measures over different columns of one table in one query")
         entity = ["__entity"] if distinct else []
 
         rows = self._own_rows(model, clock, own, foreign, parts, distinct)
@@ -424,32 +435,41 @@ class MetricLayer:
         if self._spine is None or len(groups) != 1 or _split_grain(groups[0])[0] != "metric_time":
             raise ValueError("fill_spine needs a calendar and metric_time as the only group")
         days = self._spine()
-        if start:
+        if start and end:  # both given: these days, whatever the calendar holds
+            span = F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))
+            days = days.sparkSession.range(1).select(F.explode(span).alias("date_day"))
+        elif start:
             days = days.where(F.col("date_day") >= F.lit(start))
-        if end:
+        elif end:
             days = days.where(F.col("date_day") <= F.lit(end))
         grain = _split_grain(groups[0])[1] or "day"
-        dates = days.select(start_of(grain, F.col("date_day")).alias(groups[0])).distinct()
-        return dates.join(wide, groups[0], "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in filled})
+        dates = days.select(start_of(grain, F.col("date_day")).alias("__day")).distinct()
+        # days beyond the calendar and rows without a day stay
+        both = dates.join(wide, F.col("__day").eqNullSafe(F.col(groups[0])), "full")
+        return both.withColumns({groups[0]: F.coalesce(groups[0], "__day"), **{c: F.coalesce(c, F.lit(0)) for c in filled}}).drop("__day")
 
     # -- answers for people ----------------------------------------------------
 
     def answer(
         self, metrics: str, group_by: str = "", start_time: str = "", end_time: str = "",
-        where: str = "", order_by: str = "", limit: int = DEFAULT_ROWS,
+        where: str = "", order_by: str = "", limit: int = DEFAULT_ROWS, at_most: int = MAX_ROWS,
     ) -> dict[str, Any]:
-        """M01 with rows, refusals as data, and governance on every answer."""
+        """M01 with rows, refusals as data, and governance on every answer.
+
+        Rows are brought to the caller, so ``limit`` is bounded by ``at_most``; ``truncated`` says whether more
+        exist, and ``query`` gives them all.
+        """
         names = as_list(metrics)
         if not names:
             raise ValueError("name at least one metric")
         try:
             df = self.query(names, group_by, start_time or None, end_time or None, where or None, order_by)
-            rows, more = to_rows(df, limit)
+            rows, more = to_rows(df, limit, at_most)
         except Refused as refusal:
             return refusal.payload
         except (AnalysisException, ParseException, ValueError) as problem:
             return {
-                "ok": False, "metrics": names, "error": str(problem)[:4000],
+                "ok": False, "metrics": names, "error": str(problem),
                 "hint": "filters name dimensions valid for these metrics, bounds are ISO dates,"
                 " sort fields are result columns",
                 "governance": self.governance(names),
@@ -461,9 +481,19 @@ class MetricLayer:
             "governance": self.governance(names), "warnings": self.warnings(names, group_by),
         }
 
-    def explain(self, metrics: str | Sequence[str], group_by: str | Sequence[str] = (), **options: Any) -> str:
-        """How Spark would compute the query, without running it."""
-        text = io.StringIO()
-        with contextlib.redirect_stdout(text):
-            self.query(metrics, group_by, **options).explain("formatted")
-        return text.getvalue()
+    def explain(self, metrics: str | Sequence[str], group_by: str | Sequence[str] = (), **options: Any) -> dict[str, Any]:
+        """How Spark would compute the query, with governance; refusals as data. Starts no job: tables that
+        are not there yet are planned, not built."""
+        names = as_list(metrics)
+        planned = getattr(self.tables, "planned", None)
+        layer = MetricLayer(self.definitions, planned() if planned else self.tables, self._spine)
+        try:
+            query = layer.query(names, group_by, **options)._jdf.queryExecution()
+        except Refused as refusal:
+            return refusal.payload
+        except (AnalysisException, ParseException, ValueError) as problem:
+            return {"ok": False, "metrics": names, "error": str(problem), "governance": self.governance(names)}
+        return {
+            "ok": True, "metrics": names, "group_by": as_list(group_by),
+            "plan": query.toString(), "governance": self.governance(names), "warnings": self.warnings(names, group_by),
+        }

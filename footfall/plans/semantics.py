@@ -105,6 +105,10 @@ class Definitions:
         self.measures = {x.name: x for m in self.models.values() for x in m.measures}
         self.model_of = {x.name: m for m in self.models.values() for x in m.measures}
         self.by_entity = {m.entity: m for m in self.models.values() if m.key}
+        for m in self.metrics.values():
+            nested = [x for x in m.inputs() if m.type == "ratio" and (x not in self.metrics or not self.metrics[x].measure)]
+            if nested:
+                raise ValueError(f"both sides of the ratio {m.name} must be simple metrics, not {', '.join(nested)}")
 
     def dimension(self, model: SemanticModel, name: str) -> tuple[SemanticModel, Dimension] | None:
         """``entity__dimension`` as seen from ``model``: the owning model and the dimension."""
@@ -127,17 +131,11 @@ class Definitions:
                 names |= {f"{f.name}__{d.name}" for d in self.by_entity[f.name].dimensions}
         return names
 
-    def models_behind(self, metric: str, seen: frozenset[str] = frozenset()) -> set[str]:
-        """The models a metric is finally computed from; a reference loop ends the walk."""
-        if metric in seen or metric not in self.metrics:
-            return set()
-        m = self.metrics[metric]
-        if m.measure:
-            return {self.model_of[m.measure].name}
-        return {x for part in m.inputs() for x in self.models_behind(part, seen | {metric})}
-
     def measures_behind(self, metric: str) -> set[str]:
-        m = self.metrics[metric]
-        if m.measure:
-            return {m.measure}
-        return {x for part in m.inputs() for x in self.measures_behind(part)}
+        """The measures a metric is computed from: its own, or those of both sides of a ratio."""
+        sides = [self.metrics[name] for name in self.metrics[metric].inputs()] if self.metrics[metric].type == "ratio" else [self.metrics[metric]]
+        return {side.measure for side in sides}
+
+    def models_behind(self, metric: str) -> set[str]:
+        """The models that own these measures."""
+        return {self.model_of[measure].name for measure in self.measures_behind(metric)}

@@ -36,6 +36,7 @@ ORDERS = SemanticModel(
         Measure("orders", "count_distinct", "o_orderkey"),
         Measure("order_value", "sum", "cast(o_totalprice as decimal(12,2))"),
         Measure("buyers", "count_distinct", "o_custkey"),
+        Measure("order_statuses", "count_distinct", "o_orderstatus"),
         Measure("large_order_buyers", "count_distinct", "o_custkey", when="o_totalprice > 200000"),
     ),
 )
@@ -66,6 +67,7 @@ METRICS = (
     _metric("orders", "session", measure="orders"),
     _metric("order_value", "session", measure="order_value"),
     _metric("buyers", "user", measure="buyers"),
+    _metric("order_statuses", "session", measure="order_statuses"),
     _metric("large_order_buyers", "user", measure="large_order_buyers"),
     _metric("lines", "event", measure="lines"),
     _metric("net_revenue", "event", measure="net_revenue"),

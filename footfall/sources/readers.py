@@ -27,9 +27,14 @@ def in_window(events: DataFrame, cfg: EngineConfig) -> DataFrame:
     return events.where(F.col("event_date").between(cfg.window_start_text, cfg.window_end_text))
 
 
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    """The nested event export, as one Parquet directory for all days."""
+    return pin_utc(spark).read.schema(EVENT_SCHEMA).parquet(path)
+
+
 def read_events(spark: SparkSession, path: str, cfg: EngineConfig) -> DataFrame:
-    """The nested event export, as one Parquet directory for all days."""
-    return in_window(pin_utc(spark).read.schema(EVENT_SCHEMA).parquet(path), cfg)
+    """The export's days inside the window."""
+    return in_window(read_export(spark, path), cfg)
 
 
 def read_feature_catalogue(spark: SparkSession, path: str | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from footfall.plans.checks import CHECKS, NON_EMPTY, Check
 from footfall.plans.models import MODELS
 from footfall.plans.reports import REPORT_VIEWS
-from footfall.queries import HALF_HOUR, MEASURE_IDS, METRIC_ORDER, METRIC_QUERIES, SHOWN_BY
+from footfall.queries import ALL, HALF_HOUR, MEASURE_IDS, METRIC_ORDER, METRIC_QUERIES, SHOWN_BY
 from footfall.sources.driver_tables import W1, W2
 from footfall.sources.schema import PUBLIC_COLUMNS
 from oracle.base import stg_events, table_sql, with_tables
@@ -80,7 +80,8 @@ def _metric_query(arguments: dict, cfg) -> str:
         where = where.replace("{{ Dimension('", "").replace("') }}", "")
     tail = ""
     if "limit" in arguments:
-        tail = f"ORDER BY sessions DESC, session__landing_page NULLS FIRST LIMIT {arguments['limit']}"
+        order = [f"{f[1:]} DESC NULLS LAST" if f[0] == "-" else f"{f} NULLS FIRST" for f in arguments["order_by"].split(",")]
+        tail = f"ORDER BY {', '.join(order)} LIMIT {arguments['limit']}"
     return metric_sql(
         cfg, arguments["metrics"].split(","), [g for g in arguments.get("group_by", "").split(",") if g],
         where, arguments.get("start_time"), arguments.get("end_time"), tail,
@@ -107,6 +108,10 @@ l AS (SELECT cast(date_trunc('month', l_shipdate) AS DATE) AS g, count(*) AS lin
 SELECT g AS metric_time__month, orders, buyers, round(big / nullif(buyers, 0), 4) AS large_buyer_share,
        round(net, 4) AS net_revenue, round(lines / nullif(orders, 0), 4) AS lines_per_order
 FROM o FULL JOIN l USING (g)""",
+    "m_two_distincts": """
+SELECT cast(date_trunc('month', o_orderdate) AS DATE) AS metric_time__month, count(DISTINCT o_custkey) AS buyers,
+       count(DISTINCT o_custkey) FILTER (WHERE o_totalprice > 200000) AS large_order_buyers,
+       count(DISTINCT o_orderstatus) AS order_statuses, count(*) AS orders FROM orders GROUP BY 1""",
     "m_star_lines": f"""
 SELECT l_returnflag AS event__return_flag, l_linestatus AS event__line_status, count(*) AS lines,
        round(cast(sum({_NET}) AS DOUBLE), 4) AS net_revenue, round(avg(l_quantity), 4) AS avg_quantity,
@@ -125,7 +130,7 @@ def oracle_sql() -> dict[str, str]:
         "s04_partitioned_write": with_tables(
             W1, "SELECT event_date, event_name, count(*) AS n_events FROM stg_events"
             " WHERE event_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' GROUP BY 1, 2"),
-        "p01_staging": _table(W1, "stg_events"),
+        "p01_staging": _table(ALL, "stg_events"),
         "p04_param_float": f"""WITH {stg_events(W1)}
 SELECT CASE event_type
          WHEN 'view' THEN CASE WHEN k < 60 THEN 'session_start' WHEN k < 80 THEN 'page_view' ELSE 'view_promotion' END
@@ -138,15 +143,15 @@ FROM flat GROUP BY 1""",
         "c01_sessions": _table(W1, "int_sessions"),
         "c01_sessions_w2": _table(W2, "int_sessions"),
         "c02_gap_disagreement": with_tables(
-            W1, "SELECT session_key, inactivity_gaps, is_split_by_inactivity_rule FROM int_sessions"),
+            ALL, "SELECT session_key, inactivity_gaps, is_split_by_inactivity_rule FROM int_sessions"),
         "c02_gap_half_hour": with_tables(
             HALF_HOUR, "SELECT session_key, inactivity_gaps, is_split_by_inactivity_rule FROM int_sessions"),
-        "c03_gap_sessions": _gap_sessions(W1),
+        "c03_gap_sessions": _gap_sessions(ALL),
         "c03_gap_sessions_half_hour": _gap_sessions(HALF_HOUR),
         "c03_gap_session_events": f"WITH {stg_events(HALF_HOUR)},{_gap_events(HALF_HOUR)}\n"
         "SELECT event_key, user_pseudo_id, gap_session_number FROM numbered",
         "c04_engagement": with_tables(
-            W1, "SELECT is_engaged_session, is_engaged_session_derived, count(*) AS n_sessions"
+            ALL, "SELECT is_engaged_session, is_engaged_session_derived, count(*) AS n_sessions"
             " FROM int_sessions GROUP BY 1, 2"),
         "c05_funnel_dense": _table(W1, "fct_funnel"),
         "c06_cohort_anchor": with_tables(
@@ -173,20 +178,20 @@ FROM flat GROUP BY 1""",
         "c15_user_mart": _table(W1, "dim_users"),
         "c15_user_mart_w2": _table(W2, "dim_users"),
         "c16_transaction_counts": with_tables(
-            W1, """SELECT
+            ALL, """SELECT
   (SELECT cast(sum(purchase_events) AS BIGINT) FROM int_sessions) AS session_purchase_events,
   (SELECT cast(sum(transactions) AS BIGINT) FROM int_sessions) AS session_scoped_transactions,
   count(*) AS purchase_events, count(DISTINCT transaction_id) AS global_transactions
 FROM stg_events WHERE event_name = 'purchase'"""),
         "c17_funnel_gap": with_tables(
-            W1, """SELECT step_name, permissive, strict, round((permissive - strict) / nullif(strict, 0), 7) AS gap
+            ALL, """SELECT step_name, permissive, strict, round((permissive - strict) / nullif(strict, 0), 7) AS gap
 FROM (SELECT step_name, count(*) FILTER (WHERE is_reached) AS permissive,
              count(*) FILTER (WHERE is_reached_in_sequence) AS strict FROM fct_funnel GROUP BY 1)"""),
-        "a14_row_counts": with_tables(W1, " UNION ALL ".join(
+        "a14_row_counts": with_tables(ALL, " UNION ALL ".join(
             f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {t}" for t in (
                 "stg_events", "int_sessions", "fct_events", "dim_users", "fct_sessions", "fct_funnel"))),
         "j14_orphan_users": with_tables(
-            W2, "SELECT user_pseudo_id, count(*) AS n_events FROM fct_events e WHERE NOT EXISTS"
+            ALL, "SELECT user_pseudo_id, count(*) AS n_events FROM fct_events e WHERE NOT EXISTS"
             " (SELECT 1 FROM dim_users u WHERE u.user_pseudo_id = e.user_pseudo_id) GROUP BY 1"),
         "j15_calendar_fill": with_tables(W1, """SELECT d.date_day AS metric_time,
   (SELECT count(*) FROM fct_sessions WHERE session_date = d.date_day) AS sessions,
@@ -194,6 +199,17 @@ FROM (SELECT step_name, count(*) FILTER (WHERE is_reached) AS permissive,
   (SELECT round(count(*) FILTER (WHERE is_retained_d7) / nullif(cast(count(*) AS DOUBLE), 0), 7) FROM dim_users
    WHERE first_seen_date = d.date_day AND NOT is_left_censored AND has_full_d7_window) AS d7_retention_rate
 FROM time_spine d WHERE d.date_day BETWEEN DATE '2023-12-25' AND DATE '2024-02-10'"""),
+        "j15_fill_outside_calendar": with_tables(W1, """SELECT d.day AS metric_time,
+  (SELECT count(*) FROM fct_sessions WHERE session_date = d.day) AS sessions,
+  round(coalesce((SELECT sum(purchase_revenue_usd) FROM fct_events WHERE event_date = d.day), 0), 7) AS revenue
+FROM (SELECT date_day AS day FROM time_spine WHERE date_day BETWEEN DATE '2023-12-25' AND DATE '2024-01-15'
+      UNION SELECT session_date FROM fct_sessions UNION SELECT event_date FROM fct_events) d"""),
+        "j15_fill_null_day": with_tables(W2, """SELECT d.day AS metric_time,
+  count(DISTINCT user_pseudo_id) FILTER (WHERE NOT is_left_censored AND has_full_d7_window
+    AND is_user_initiated_feature AND days_since_first_session BETWEEN 0 AND 7) AS feature_adopters_7d,
+  count(DISTINCT user_pseudo_id) FILTER (WHERE NOT is_left_censored AND has_full_d7_window) AS adoption_base_users
+FROM (SELECT date_day AS day FROM time_spine UNION SELECT user_first_seen_date FROM fct_events) d
+LEFT JOIN fct_events e ON e.user_first_seen_date IS NOT DISTINCT FROM d.day GROUP BY 1"""),
         "r01_kpi": metric_sql(W1, ["activation_rate", "d7_retention_rate", "session_depth", "feature_adoption_rate"]),
         "r02_weekly_cohorts": metric_sql(
             W2, ["activation_rate", "d1_retention_rate", "d7_retention_rate"], ["metric_time__week"]),
@@ -206,7 +222,7 @@ FROM (SELECT step_number, step_name, count(*) FILTER (WHERE is_reached_in_sequen
         "r05_mobile_retention": metric_sql(
             W1, ["d7_retention_rate", "d7_eligible_users"], ["metric_time__month"], "user__first_device_category = 'mobile'"),
         "r06_event_inventory": with_tables(
-            W1, "SELECT event_name, count(*) AS events, round(count(*) / (SELECT count(*) FROM stg_events)::DOUBLE, 7)"
+            ALL, "SELECT event_name, count(*) AS events, round(count(*) / (SELECT count(*) FROM stg_events)::DOUBLE, 7)"
             " AS share FROM stg_events GROUP BY 1"),
         "r07_definition_gaps": with_tables(W1, """SELECT finding, round(cast(value AS DOUBLE), 7) AS value FROM (
   SELECT 'engaged_share_client' AS finding, avg(is_engaged_session::INT) AS value FROM int_sessions
@@ -242,6 +258,7 @@ FROM dim_users WHERE NOT is_left_censored AND date_diff('day', first_seen_date,
     out.update(_STAR)
     kinds = ("not_null", "unique", "accepted_values", "relationships", "accepted_range", "expression_is_true", "non_empty")
     for n, kind in enumerate(kinds, 1):
-        out[f"k{n:02d}_{kind}"] = _checks(W1, kind)
-    out["k_all_checks"] = _checks(W2)
+        out[f"k{n:02d}_{kind}"] = _checks(ALL, kind)
+    out["k04_relationships_w2"] = _checks(W2, "relationships")
+    out["k_all_checks"] = _checks(ALL)
     return out

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from footfall.plans import catalogue, reports
 from footfall.plans.layer import PRODUCT_ANALYTICS, metric_layer
+from footfall.plans.marts import Marts
 from footfall.plans.metric_definitions import METRICS
 from footfall.plans.metric_query import MetricLayer, Refused, names_in, plain_filter
 from footfall.plans.models import MODELS
@@ -103,13 +104,44 @@ def test_truncation_flag_is_exact(layer):
 def test_order_and_limits(layer):
     rows = layer.query("sessions", "session__landing_page", order_by="-sessions", limit=3).collect()
     assert len(rows) == 3 and [r.sessions for r in rows] == sorted((r.sessions for r in rows), reverse=True)
-    assert layer.query("sessions", "session__landing_page", limit=0).count() == 1
+    with pytest.raises(ValueError):
+        layer.query("sessions", "session__landing_page", limit=0)
+    groups = "metric_time,session__landing_page,session__country,session__browser,session__operating_system"
+    everything = layer.query("sessions", groups).count()
+    assert layer.query("sessions", groups, limit=100_000).count() == everything > 300
     with pytest.raises(ValueError):
         layer.query("sessions", order_by="nonsense")
 
 
-def test_explain_runs_nothing_and_shows_the_plan(layer):
-    assert "Physical Plan" in layer.explain("activation_rate", "user__first_device_category")
+def test_explain_runs_nothing_and_shows_the_plan(spark, layer, marts):
+    kept = []
+    cold = metric_layer(Marts(spark, marts.raw, W1, keep=lambda name, df: kept.append(name) or df))
+    told = cold.explain("activation_rate,revenue", "user__first_device_category")
+    assert told["ok"] and "Physical Plan" in told["plan"] and told["governance"]["revenue"]["definition"]
+    assert kept == [] and not cold.tables._tables
+    assert cold.query("revenue").count() == 1 and kept
+
+
+def test_refusals_are_data_everywhere(spark, layer):
+    for told in (layer.explain("made_up"), catalogue.describe_metric(spark, layer, "made_up"), catalogue.list_dimensions(spark, layer, "made_up")):
+        assert told["refused"] is True and "made_up" in told["error"]
+    assert layer.explain("activation_rate", "event__event_name")["governance"]
+    assert layer.explain("sessions", where="session__country =")["ok"] is False
+
+
+def test_nested_ratios_are_refused_when_defined():
+    ratio = Metric("twice", "t", "user", "t", "t", "-", "-", "-", numerator="activation_rate", denominator="sessions")
+    with pytest.raises(ValueError, match="twice"):
+        Definitions(MODELS, (*METRICS, ratio))
+
+
+def test_distinct_counts_over_several_columns(spark):
+    star = star_layer(spark, SF)
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    want = orders.agg(F.count_distinct("o_custkey"), F.count_distinct("o_orderstatus"), F.count("*")).first()
+    assert tuple(star.query("buyers,order_statuses,orders").first()) == tuple(want)
+    assert star.answer("buyers,order_statuses", "session__priority")["ok"]
+    assert "Expand" not in star.query("buyers,order_statuses", "session__priority")._jdf.queryExecution().toString()
 
 
 def test_trap_is_reproduced_and_warned_about(layer):
@@ -169,6 +201,13 @@ def test_filter_text():
     assert plain_filter("{{ Dimension('user__x') }} = 'a__b'") == "user__x = 'a__b'"
     assert plain_filter("{{ TimeDimension('metric_time', 'week') }} > '2024-01-01'") == "metric_time__week > '2024-01-01'"
     assert names_in("user__x = 'a__b' and metric_time > '2024-01-01'") == {"user__x", "metric_time"}
+    assert names_in("""user__x = "a__b" and user__y in ("it's c__d", "e\\"f__g") and user__z = 'h\\'i__j'""") == {"user__x", "user__y", "user__z"}
+
+
+def test_double_quoted_literals(layer):
+    assert layer.query("sessions", where='session__device_category = "mobile__x"').first()[0] == 0
+    a, b = (layer.query("sessions", where=f"session__device_category = {q}mobile{q}").first()[0] for q in "'\"")
+    assert a == b > 0
 
 
 def test_time_filter_by_grain(layer):

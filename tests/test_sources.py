@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 from dataclasses import replace
 from datetime import date
 
@@ -8,8 +9,11 @@ from pyspark.sql import functions as F
 
 from footfall.config import EngineConfig
 from footfall.functions.columns import param_float, param_int, param_string, surrogate_key
+from footfall.operators.gaps import assign_gap_sessions
+from footfall.plans import marts as marts_module
+from footfall.plans.layer import metric_layer
 from footfall.plans.marts import PUBLIC_TABLES, build_marts, shared_folder, shared_marts
-from footfall.queries import comparable
+from footfall.queries import comparable, queries
 from footfall.sources import readers, writers
 from footfall.sources.driver_tables import W1, raw_events
 from footfall.sources.schema import PUBLIC_COLUMNS
@@ -57,7 +61,9 @@ def test_result_rows_are_bounded(spark):
     assert len(rows) == 10 and more is False
     rows, more = writers.to_rows(spark.range(1000), 10_000)
     assert len(rows) == 500 and more is True
-    assert writers.clamp_rows(-5) == 1
+    rows, more = writers.to_rows(spark.range(1000), 10_000, at_most=2000)
+    assert len(rows) == 1000 and more is False
+    assert len(writers.to_rows(spark.range(5), -5)[0]) == 1
 
 
 def test_csv_result(spark, tmp_path):
@@ -82,8 +88,8 @@ def test_key_tells_null_from_empty(spark):
 def test_full_refresh_to_tables(spark, tmp_path):
     raw = readers.in_window(raw_events(spark, "/root/testdata/sf0.001"), W1)
     lazy = build_marts(spark, raw, W1)
-    plain = build_marts(spark, raw, W1, out=str(tmp_path / "plain"))
-    by_day = build_marts(spark, raw, replace(W1, enable_partitioning=True), out=str(tmp_path / "by_day"))
+    plain = build_marts(spark, raw, replace(W1, enable_partitioning=False), out=str(tmp_path / "plain"))
+    by_day = build_marts(spark, raw, W1, out=str(tmp_path / "by_day"))
     assert set(lazy) == set(plain) == set(by_day) == set(PUBLIC_TABLES)
     for name, df in plain.items():
         assert df.columns == by_day[name].columns == PUBLIC_COLUMNS[name]
@@ -100,17 +106,14 @@ class _Conf(dict):
         return super().get(key, default)
 
 
-class _Session:
-    def __init__(self, **conf):
-        self.conf = _Conf({k.replace("_", "."): v for k, v in conf.items()})
+def test_shared_folder_is_the_one_the_session_names(spark, tmp_path):
+    class Session:
+        conf, sparkContext = _Conf({"spark.checkpoint.dir": f"file://{tmp_path}/"}), spark.sparkContext
 
-
-def test_shared_folder_is_the_one_the_cluster_names():
-    named = _Session(spark_checkpoint_dir="hdfs://x/ck/", spark_master="yarn")
-    first, second = shared_folder(named), shared_folder(named)
-    assert first.startswith("hdfs://x/ck/footfall-") and first != second
-    assert shared_folder(_Session(spark_master="yarn")) is None
-    assert shared_folder(_Session(spark_master="local[2]"))
+    first, second = shared_folder(Session), shared_folder(Session)
+    assert first.startswith(f"file://{tmp_path}/footfall-") and first != second
+    Session.conf = _Conf({"spark.master": "local[2]"})
+    assert shared_folder(Session) is None
 
 
 def test_changed_source_is_read_again(spark, tmp_path):
@@ -121,11 +124,84 @@ def test_changed_source_is_read_again(spark, tmp_path):
     assert first["stg_events"].count() == 1 and marts() is first
     export(spark, [event("b", "2020-11-01 10:00:00")]).write.mode("append").parquet(source)
     assert marts()["stg_events"].count() == 2
+    assert not any(k[:3] != list(marts_module._SHARED)[-1][:3] for k in marts_module._SHARED if k[1] == source)
 
 
-def test_without_shared_folder_the_tables_stay_lazy(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("footfall.plans.marts.shared_folder", lambda spark: None)
+def test_versions_may_come_from_the_caller(spark, tmp_path):
     source = str(tmp_path / "events")
     export(spark, [event("a", "2020-11-01 10:00:00")]).write.parquet(source)
-    lazy = shared_marts(spark, source, lambda keep: spark.read.parquet(source), EngineConfig())
-    assert lazy["int_sessions"].count() == 1
+    marts = lambda v: shared_marts(spark, source, lambda keep: spark.read.parquet(source), EngineConfig(), v)
+    one = marts(1)
+    assert marts(1) is one and marts(2) is not one
+
+
+BOTH_WAYS = ("p01_staging", "c01_sessions", "c03_gap_sessions", "c05_funnel_dense", "c13_event_enrichment", "c15_user_mart", "r02_weekly_cohorts", "m_multi_model", "m_time_bounds", "j15_calendar_fill", "k_all_checks")
+
+
+def test_written_and_persisted_tables_give_the_same_rows(spark, tmp_path, monkeypatch):
+    """Queries over tables in a shared folder and over tables that the engine keeps."""
+    sf, rows, shared = "/root/testdata/sf0.001", [], tmp_path / "shared"
+    for named in (True, False):
+        marts_module._SHARED.clear()
+        marts_module._EXPORTS.clear()
+        numbers = itertools.count()
+        folder = lambda spark: f"{shared}/footfall-{next(numbers)}" if named else None  # noqa: B023, E731
+        monkeypatch.setattr(marts_module, "shared_folder", folder)
+        rows.append({q: sorted(map(str, queries()[q](spark, sf).collect())) for q in BOTH_WAYS})
+        assert shared.exists()
+    written = {p.name for p in shared.glob("footfall-*/*")}
+    assert {"export", "stg_events", "session_core", "dim_users"} <= written
+    assert rows[0] == rows[1]
+    marts_module._SHARED.clear()
+    marts_module._EXPORTS.clear()
+
+
+def test_independent_tables_are_built_side_by_side(spark, tmp_path):
+    """A table that takes long does not hold up another one; helpers go when the build is done."""
+    import threading
+
+    raw = export(spark, [event("a", "2020-11-01 10:00:00")])
+    slow, others = threading.Event(), []
+
+    def keep(name, df):
+        others.append(name)
+        if name == "stg_events":
+            slow.wait(20)
+        return df
+
+    marts = marts_module.Marts(spark, raw, EngineConfig(), keep=keep)
+    held = threading.Thread(target=lambda: marts["stg_events"])
+    held.start()
+    assert marts["time_spine"].count() > 0 and held.is_alive()
+    slow.set()
+    held.join()
+    out = build_marts(spark, raw, EngineConfig(), out=str(tmp_path / "out"))
+    assert {p.name for p in (tmp_path / "out").iterdir()} == set(PUBLIC_TABLES) == set(out)
+    assert out["int_sessions"].count() == 1
+
+
+def test_calendar_beyond_its_end(spark):
+    """Filled results hold every row of the plain ones, also past the calendar and without a day."""
+    cfg = EngineConfig(date(2027, 3, 1), date(2027, 3, 20))
+    rows = [event("a", f"2027-03-{d:02d} 10:00:00", session=d) for d in (2, 3, 9)]
+    layer = metric_layer(marts_module.Marts(spark, export(spark, rows), cfg))
+    plain, filled = (layer.query("sessions", "metric_time", fill_spine=f).agg(F.sum("sessions")).first()[0] for f in (False, True))
+    assert plain == filled == 3
+    days = layer.query("sessions", "metric_time", "2027-03-01", "2027-03-10", fill_spine=True)
+    assert days.count() == 10
+
+
+def test_events_without_a_user_keep_their_place(spark):
+    raw = export(spark, [event("a", "2020-11-01 10:00:00"), event(None, "2020-11-01 10:00:00", session=None)])
+    staged = marts_module.Marts(spark, raw, EngineConfig())["stg_events"]
+    out = assign_gap_sessions(staged, EngineConfig()).collect()
+    assert sorted((r.user_pseudo_id or "", r.gap_session_number) for r in out) == [("", None), ("a", 1)]
+
+
+def test_day_partitions_are_pruned(spark, tmp_path):
+    raw = readers.in_window(raw_events(spark, "/root/testdata/sf0.001"), W1)
+    keep = marts_module.TableFolder(spark, str(tmp_path), W1).keep
+    layer = metric_layer(marts_module.Marts(spark, raw, W1, keep=keep))
+    got = layer.query("sessions,revenue", "metric_time", "2024-01-08", "2024-01-14")
+    scans = [line for line in plan(got).splitlines() if "PartitionFilters: [isnotnull(" in line]
+    assert len(scans) == 2 and got.count() == 7
