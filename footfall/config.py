@@ -8,16 +8,6 @@ from datetime import date
 # Funnel step names in funnel order (step number = position).
 FUNNEL_STEPS = ("session_start", "view_item", "add_to_cart", "begin_checkout", "purchase")
 
-# Event name, feature, is the event a deliberate user action?
-FEATURE_EVENTS = (
-    ("view_search_results", "site_search", True),
-    ("select_promotion", "promotions", True),
-    ("view_promotion", "promotions", False),
-    ("select_item", "product_list", True),
-    ("view_item_list", "product_list", False),
-    ("click", "outbound_click", True),
-)
-
 # Fixed value: feature adoption counts days 0 to 7, whatever the activation window is.
 ADOPTION_WINDOW_DAYS = 7
 

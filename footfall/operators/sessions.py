@@ -63,12 +63,15 @@ def _first_values(events: DataFrame) -> DataFrame:
 
 
 def _distincts(events: DataFrame) -> DataFrame:
-    """A04 and distinct pages; a narrow pass of its own, so the other columns
-    are not multiplied by the distinct rewrite."""
-    bought = F.when(_named("purchase"), F.col("transaction_id"))
-    return events.groupBy(*SESSION).agg(
-        F.count_distinct("page_location").alias("distinct_pages_viewed"),
-        F.count_distinct(bought).alias("transactions"),
+    """A04 and distinct pages; a narrow pass of its own. Only rows with a page and purchases with a transaction
+    are read, and both kinds are counted from one list of distinct values."""
+    bought = _named("purchase") & F.col("transaction_id").isNotNull()
+    values = (
+        events.where(F.col("page_location").isNotNull()).select(*SESSION, F.lit(True).alias("is_page"), F.col("page_location").alias("value"))
+    ).unionAll(events.where(bought).select(*SESSION, F.lit(False), "transaction_id"))
+    return values.distinct().groupBy(*SESSION).agg(
+        F.count_if("is_page").alias("distinct_pages_viewed"),
+        F.count_if(~F.col("is_page")).alias("transactions"),
     )
 
 

@@ -6,12 +6,52 @@ from footfall.config import ADOPTION_WINDOW_DAYS
 from footfall.plans.semantics import Dimension, ForeignEntity, Measure, SemanticModel
 
 
+# What each dimension tells, under whatever model it is offered.
+MEANING = {
+    "acquisition_campaign": "Campaign that brought the user's first session.",
+    "acquisition_medium": "Medium that brought the user's first session.",
+    "acquisition_source": "Source that brought the user's first session.",
+    "browser": "Browser of the first event.",
+    "country": "Country of the first event, by address.",
+    "device_category": "Desktop, mobile or tablet.",
+    "event_date": "Day of the event, UTC.",
+    "event_name": "What was logged.",
+    "feature_name": "Feature that the event belongs to, if any.",
+    "first_country": "Country of the user's first session.",
+    "first_device_category": "Kind of device of the user's first session.",
+    "first_operating_system": "System of the user's first session.",
+    "first_seen_date": "Day of the user's first session inside the window.",
+    "first_touch_medium": "Medium that the export attributes to the user.",
+    "funnel_step_name": "Funnel step that the event is, if any.",
+    "has_full_activation_window": "Were all days observed in which the user could become active?",
+    "has_full_d30_window": "Were thirty days after arrival observed?",
+    "has_full_d7_window": "Were seven days after arrival observed?",
+    "has_purchase": "Did the session include a purchase?",
+    "is_activated": "Did the user buy within the activation window?",
+    "is_cohort_eligible": "May the user count as newly arrived?",
+    "is_engaged_session": "Did the client flag the session as engaged?",
+    "is_engaged_session_derived": "Is it engaged by length, page views or a purchase?",
+    "is_first_session": "Is it the user's first one inside the window?",
+    "is_left_censored": "Was the user there before the window began?",
+    "is_retained_d7": "Did the user come back on days 1 to 7?",
+    "is_split_by_inactivity_rule": "Does a pause inside the session exceed the limit?",
+    "is_user_initiated_feature": "Is the event a deliberate use of its feature?",
+    "landing_page": "First page of the session.",
+    "last_seen_date": "Day of the user's last session inside the window.",
+    "operating_system": "System of the device.",
+    "session_date": "Day on which the session began, UTC.",
+    "step_name": "Name of the funnel step.",
+    "step_position": "Place of the step in the funnel, as text.",
+    "user_first_seen_date": "Day on which the session's or event's user arrived.",
+}
+
+
 def _dims(*names: str) -> tuple[Dimension, ...]:
-    return tuple(Dimension(n) for n in names)
+    return tuple(Dimension(n, description=MEANING[n]) for n in names)
 
 
 def _times(*names: str) -> tuple[Dimension, ...]:
-    return tuple(Dimension(n, "time") for n in names)
+    return tuple(Dimension(n, "time", description=MEANING[n]) for n in names)
 
 
 def _flag(name: str, condition: str, description: str) -> Measure:
@@ -127,7 +167,8 @@ FUNNEL = SemanticModel(
     description="Five rows per session, one per funnel step.",
     foreign=(ForeignEntity("session", "session_key"), ForeignEntity("user", "user_pseudo_id")),
     dimensions=_times("session_date", "user_first_seen_date")
-    + (Dimension("step_name"), Dimension("step_position", expr="cast(step_number as string)"))
+    + _dims("step_name")
+    + (Dimension("step_position", expr="cast(step_number as string)", description=MEANING["step_position"]),)
     + _dims("device_category", "operating_system", "browser", "country", "acquisition_medium", "is_cohort_eligible"),
     measures=(
         _flag("funnel_sessions_reached", "is_reached", "Sessions that fired the step at all."),

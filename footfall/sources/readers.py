@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import csv
 from datetime import date
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.config import FEATURE_EVENTS, EngineConfig
+from footfall.config import EngineConfig
 from footfall.sources.schema import EVENT_SCHEMA, FEATURE_SCHEMA
 
+SHIPPED_SEED = Path(__file__).resolve().parent.parent / "seeds" / "feature_catalogue.csv"
+
 
 def pin_utc(spark: SparkSession) -> SparkSession:
     """All days and instants are UTC; make the session agree."""
@@ -40,18 +44,18 @@ def read_events(spark: SparkSession, path: str, cfg: EngineConfig) -> DataFrame:
 def read_feature_catalogue(spark: SparkSession, path: str | None = None) -> DataFrame:
     """Event -> feature mapping with declared types.
 
-    Without a path the shipped mapping is used. No broadcast hint is given at
+    Without a path the shipped seed is used; its few rows are read here, as
+    executors need not have this package's files. No broadcast hint is given at
     the joins: both forms carry a size statistic, so Spark broadcasts them while
     they are under ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges a
     larger one.
     """
     if path is not None:
         return spark.read.schema(FEATURE_SCHEMA).csv(path, header=True)
-    rows = ", ".join(
-        f"('{event}', '{feature}', '{'Used' if chosen else 'Was shown'} {feature.replace('_', ' ')}', {chosen})"
-        for event, feature, chosen in FEATURE_EVENTS
-    )
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(FEATURE_SCHEMA.names)})")
+    with SHIPPED_SEED.open(newline="") as file:
+        quoted = [[F.lit(v) for v in row.values()] for row in csv.DictReader(file)]
+    rows = [F.struct(*[v.cast(f.dataType).alias(f.name) for v, f in zip(row, FEATURE_SCHEMA, strict=True)]) for row in quoted]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def time_spine(

@@ -6,12 +6,16 @@ rows from ``row_number``, and the funnel from a join of sessions and steps.
 
 from __future__ import annotations
 
-from footfall.config import FEATURE_EVENTS, FUNNEL_STEPS, EngineConfig
+from footfall.config import FUNNEL_STEPS, EngineConfig
 
-_FEATURES = ",\n".join(
-    f"('{e}', '{f}', '{'Used' if c else 'Was shown'} {f.replace('_', ' ')}', {str(c).lower()})"
-    for e, f, c in FEATURE_EVENTS
-)
+# Event, feature, description, is it a deliberate use?
+_FEATURES = """
+('view_search_results', 'site_search', 'A visitor looked at results of a search on the site', true),
+('select_promotion', 'promotions', 'A visitor followed a promotion', true),
+('view_promotion', 'promotions', 'A promotion came into view', false),
+('select_item', 'product_list', 'A visitor picked a product from a list', true),
+('view_item_list', 'product_list', 'A list of products came into view', false),
+('click', 'outbound_click', 'A visitor left through a link to another site', true)"""
 _STEPS = ", ".join(f"({i}, '{s}')" for i, s in enumerate(FUNNEL_STEPS, 1))
 
 
@@ -141,58 +145,55 @@ int_sessions AS (
 
 
 def users(cfg: EngineConfig) -> str:
-    end = bound(cfg)
+    """Users straight from their sessions: the opening session is marked, everything else is a filtered aggregate."""
+    opening = {
+        "first_touch_source": "acquisition_source", "first_touch_medium": "acquisition_medium",
+        "first_touch_campaign": "acquisition_campaign", "device_category": "first_device_category",
+        "operating_system": "first_operating_system", "country": "first_country", "landing_page": "first_landing_page",
+    }
+    sums = {
+        "events_in_session": "events", "page_views": "page_views", "session_duration_seconds": "total_session_seconds",
+        "transactions": "transactions",
+    }
+    closed = {"activation": cfg.activation_window_days, "d1": 1, "d7": 7, "d30": 30}
+    parts = [f"max({c}) FILTER (WHERE opens) AS {name}" for c, name in opening.items()]
+    parts += [f"cast(sum({c}) AS BIGINT) AS {name}" for c, name in sums.items()]
+    parts += [f"count(*) FILTER (WHERE has_{c}) AS sessions_with_{c}" for c in ("view_item", "add_to_cart", "begin_checkout", "purchase")]
+    parts += [f"bool_or(day_no > 0 AND day_no <= {n}) AS is_retained_d{n}" for n in (1, 7, 30)]
+    flags = [f"observed >= {n} AS has_full_{name}_window" for name, n in closed.items()]
     return f"""
-user_firsts AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_pseudo_id ORDER BY session_started_at, session_key) AS rn
-    FROM int_sessions) WHERE rn = 1
+placed AS (
+  SELECT *, days_since_first_session AS day_no,
+    session_started_at = min(session_started_at) OVER own AND session_key = first_value(session_key) OVER own AS opens
+  FROM int_sessions WINDOW own AS (PARTITION BY user_pseudo_id ORDER BY session_started_at, session_key
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
 ),
-user_sums AS (
-  SELECT user_pseudo_id, min(user_first_seen_at) AS first_seen_at,
-    min(user_first_seen_date) AS first_seen_date, min(user_first_touch_at) AS first_touch_at,
-    max(session_started_at) AS last_seen_at, cast(max(session_started_at) AS DATE) AS last_seen_date,
-    bool_or(is_left_censored) AS is_left_censored, count(*) AS sessions,
-    count(*) FILTER (WHERE is_engaged_session) AS engaged_sessions,
-    count(DISTINCT session_date) AS active_days,
-    cast(sum(events_in_session) AS BIGINT) AS events, cast(sum(page_views) AS BIGINT) AS page_views,
-    cast(sum(session_duration_seconds) AS BIGINT) AS total_session_seconds,
-    count(*) FILTER (WHERE has_view_item) AS sessions_with_view_item,
-    count(*) FILTER (WHERE has_add_to_cart) AS sessions_with_add_to_cart,
-    count(*) FILTER (WHERE has_begin_checkout) AS sessions_with_begin_checkout,
-    count(*) FILTER (WHERE has_purchase) AS sessions_with_purchase,
-    cast(sum(transactions) AS BIGINT) AS transactions, sum(session_revenue_usd) AS lifetime_revenue_usd,
-    bool_or(days_since_first_session = 1) AS is_retained_d1,
-    bool_or(days_since_first_session BETWEEN 1 AND 7) AS is_retained_d7,
-    bool_or(days_since_first_session BETWEEN 1 AND 30) AS is_retained_d30
-  FROM int_sessions GROUP BY user_pseudo_id
+acts AS (
+  SELECT e.user_pseudo_id, min(CASE e.event_name WHEN 'purchase' THEN e.event_at END) AS bought_at,
+    count(DISTINCT CASE WHEN c.is_user_initiated THEN c.feature_name END) AS n_features
+  FROM stg_events e LEFT JOIN feature_catalogue c ON c.event_name = e.event_name GROUP BY 1
+),
+grown AS (
+  SELECT user_pseudo_id, count(*) AS sessions, count(*) FILTER (WHERE is_engaged_session) AS engaged_sessions,
+    count(DISTINCT session_date) AS active_days, sum(session_revenue_usd) AS lifetime_revenue_usd,
+    any_value(user_first_seen_at) AS first_seen_at, any_value(user_first_touch_at) AS first_touch_at,
+    max(session_started_at) AS last_seen_at, any_value(is_left_censored) AS is_left_censored,
+    {", ".join(parts)}
+  FROM placed GROUP BY user_pseudo_id
+),
+dated AS (
+  SELECT grown.*, cast(first_seen_at AS DATE) AS first_seen_date, cast(last_seen_at AS DATE) AS last_seen_date,
+    bought_at AS first_purchase_at, coalesce(n_features, 0) AS features_adopted,
+    date_diff('day', cast(first_seen_at AS DATE), cast(bought_at AS DATE)) AS days_to_first_purchase,
+    date_diff('day', cast(first_seen_at AS DATE), {bound(cfg)}) AS observed
+  FROM grown LEFT JOIN acts ON acts.user_pseudo_id = grown.user_pseudo_id
 ),
-buys AS (SELECT user_pseudo_id, min(event_at) AS first_purchase_at FROM stg_events
-         WHERE event_name = 'purchase' GROUP BY user_pseudo_id),
-uses AS (SELECT e.user_pseudo_id, count(DISTINCT c.feature_name) AS n FROM stg_events e
-         JOIN feature_catalogue c ON c.event_name = e.event_name AND c.is_user_initiated GROUP BY 1),
 dim_users AS (
-  SELECT s.user_pseudo_id, s.first_seen_at, s.first_seen_date, s.first_touch_at, s.last_seen_at,
-    s.last_seen_date, date_diff('day', s.first_seen_date, s.last_seen_date) AS lifespan_days,
-    f.first_touch_source AS acquisition_source, f.first_touch_medium AS acquisition_medium,
-    f.first_touch_campaign AS acquisition_campaign, f.device_category AS first_device_category,
-    f.operating_system AS first_operating_system, f.country AS first_country,
-    f.landing_page AS first_landing_page,
-    s.sessions, s.engaged_sessions, s.active_days, s.events, s.page_views, s.total_session_seconds,
-    s.sessions_with_view_item, s.sessions_with_add_to_cart, s.sessions_with_begin_checkout,
-    s.sessions_with_purchase, s.transactions, s.lifetime_revenue_usd,
-    coalesce(u.n, 0) AS features_adopted, b.first_purchase_at,
-    date_diff('day', s.first_seen_date, cast(b.first_purchase_at AS DATE)) AS days_to_first_purchase,
-    coalesce(date_diff('day', s.first_seen_date, cast(b.first_purchase_at AS DATE))
-             BETWEEN 0 AND {cfg.activation_window_days}, false) AS is_activated,
-    s.is_retained_d1, s.is_retained_d7, s.is_retained_d30,
-    date_diff('day', s.first_seen_date, {end}) >= {cfg.activation_window_days} AS has_full_activation_window,
-    date_diff('day', s.first_seen_date, {end}) >= 1 AS has_full_d1_window,
-    date_diff('day', s.first_seen_date, {end}) >= 7 AS has_full_d7_window,
-    date_diff('day', s.first_seen_date, {end}) >= 30 AS has_full_d30_window,
-    s.is_left_censored, NOT s.is_left_censored AS is_cohort_eligible
-  FROM user_sums s JOIN user_firsts f USING (user_pseudo_id)
-  LEFT JOIN buys b USING (user_pseudo_id) LEFT JOIN uses u USING (user_pseudo_id)
+  SELECT *, date_diff('day', first_seen_date, last_seen_date) AS lifespan_days, NOT is_left_censored AS is_cohort_eligible,
+    days_to_first_purchase IS NOT NULL AND days_to_first_purchase >= 0
+      AND days_to_first_purchase <= {cfg.activation_window_days} AS is_activated,
+    {", ".join(flags)}
+  FROM dated
 )"""
 
 

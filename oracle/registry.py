@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from footfall.plans.checks import CHECKS, NON_EMPTY, Check
 from footfall.plans.models import MODELS
-from footfall.plans.reports import REPORT_VIEWS
 from footfall.queries import ALL, HALF_HOUR, MEASURE_IDS, METRIC_ORDER, METRIC_QUERIES, SHOWN_BY
 from footfall.sources.driver_tables import W1, W2
 from footfall.sources.schema import PUBLIC_COLUMNS
 from oracle.base import stg_events, table_sql, with_tables
+from oracle.checks import CHECKS, NON_EMPTY, VIEWS
 from oracle.metrics import metric_sql
 
 _DOUBLES = (
@@ -43,35 +42,37 @@ SELECT user_pseudo_id, gap_session_number, min(event_at) AS session_started_at,
 FROM numbered GROUP BY user_pseudo_id, gap_session_number"""
 
 
-def _check_sql(c: Check) -> str:
-    if c.kind == "not_null":
-        text = f"SELECT count(*) AS f FROM {c.table} WHERE {c.column} IS NULL"
-    elif c.kind == "unique":
-        text = (f"SELECT count(*) AS f FROM (SELECT {c.column} FROM {c.table} WHERE {c.column} IS NOT NULL"
+def _check_sql(check_id: str, table: str, column: str | None, kind: str, severity: str, expected, rows: str | None) -> str:
+    rows = rows or "true"
+    if kind == "not_null":
+        text = f"SELECT count(*) AS f FROM {table} WHERE {column} IS NULL"
+    elif kind == "unique":
+        text = (f"SELECT count(*) AS f FROM (SELECT {column} FROM {table} WHERE {column} IS NOT NULL"
                 f" GROUP BY 1 HAVING count(*) > 1)")
-    elif c.kind == "accepted_values":
-        listed = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in c.values)
-        text = f"SELECT count(*) AS f FROM {c.table} WHERE {c.column} NOT IN ({listed}) AND ({c.where or 'true'})"
-    elif c.kind == "relationships":
-        text = (f"SELECT count(*) AS f FROM {c.table} WHERE {c.column} IS NOT NULL AND ({c.where or 'true'}) AND"
-                f" {c.column} NOT IN (SELECT {c.parent_column} FROM {c.parent} WHERE {c.parent_column} IS NOT NULL)")
-    elif c.kind == "accepted_range":
-        text = f"SELECT count(*) AS f FROM {c.table} WHERE {c.column} < {c.minimum}"
-    elif c.kind == "expression_is_true":
-        text = f"SELECT count(*) AS f FROM {c.table} WHERE NOT ({c.rule})"
+    elif kind == "accepted_values":
+        listed = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in expected)
+        text = f"SELECT count(*) AS f FROM {table} WHERE {column} NOT IN ({listed}) AND ({rows})"
+    elif kind == "relationships":
+        parent, key = expected
+        text = (f"SELECT count(*) AS f FROM {table} WHERE {column} IS NOT NULL AND ({rows}) AND"
+                f" {column} NOT IN (SELECT {key} FROM {parent} WHERE {key} IS NOT NULL)")
+    elif kind == "accepted_range":
+        text = f"SELECT count(*) AS f FROM {table} WHERE {column} < {expected}"
+    elif kind == "expression_is_true":
+        text = f"SELECT count(*) AS f FROM {table} WHERE NOT ({expected})"
     else:
-        text = f"SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS f FROM {c.table}"
-    column = f"'{c.column}'" if c.column else "cast(NULL AS VARCHAR)"
-    return (f"SELECT '{c.check_id}' AS check_id, '{c.table}' AS \"table\", {column} AS \"column\","
-            f" '{c.kind}' AS kind, '{c.severity}' AS severity, cast(f AS BIGINT) AS failures,"
+        text = f"SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS f FROM {table}"
+    shown = f"'{column}'" if column else "cast(NULL AS VARCHAR)"
+    return (f"SELECT '{check_id}' AS check_id, '{table}' AS \"table\", {shown} AS \"column\","
+            f" '{kind}' AS kind, '{severity}' AS severity, cast(f AS BIGINT) AS failures,"
             f" f = 0 AS passed FROM ({text})")
 
 
 def _checks(cfg, kind: str | None = None) -> str:
-    chosen = [c for c in CHECKS if kind in (None, c.kind)]
+    chosen = [c for c in CHECKS if kind in (None, c[3])]
     if kind in (None, "non_empty"):
-        chosen += NON_EMPTY
-    return with_tables(cfg, " UNION ALL ".join(_check_sql(c) for c in chosen))
+        chosen += [("Q98", table, None, "non_empty", "error", None, None) for table in NON_EMPTY]
+    return with_tables(cfg, " UNION ALL ".join(_check_sql(*c) for c in chosen))
 
 
 def _metric_query(arguments: dict, cfg) -> str:
@@ -171,7 +172,7 @@ FROM flat GROUP BY 1""",
             W1, "SELECT user_pseudo_id, acquisition_source, acquisition_medium, acquisition_campaign,"
             " first_device_category, first_operating_system, first_country, first_landing_page FROM dim_users"),
         "c12_feature_adoption": with_tables(
-            W1, "SELECT user_pseudo_id, coalesce(n, 0) AS features_adopted FROM buys FULL JOIN uses USING (user_pseudo_id)"),
+            W1, "SELECT user_pseudo_id, n_features AS features_adopted FROM acts WHERE bought_at IS NOT NULL OR n_features > 0"),
         "c13_event_enrichment": _table(W1, "fct_events"),
         "c13_event_enrichment_w2": _table(W2, "fct_events"),
         "c14_session_mart": _table(W1, "fct_sessions"),
@@ -245,7 +246,7 @@ SELECT cast({n} AS BIGINT) AS window_days, count(*) AS eligible_users,
 FROM dim_users WHERE NOT is_left_censored AND date_diff('day', first_seen_date, DATE '{W1.window_end}') >= {n}"""
                                                                 for n in (7, 30))),
     }
-    for view, (table, rule) in REPORT_VIEWS.items():
+    for view, (table, rule) in VIEWS.items():
         out[f"r09_{view}"] = _table(W1, table) + f" WHERE {rule}"
     for model in MODELS:
         for measure in model.measures:

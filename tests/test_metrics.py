@@ -224,6 +224,7 @@ def test_listing(spark, layer):
     assert row.numerator == "feature_adopters_7d" and row.built_in_filter == "event__feature_name = 'promotions'"
     assert row.semantic_models == ["events"]
     models = {r.name: r for r in catalogue.list_semantic_models(spark, PRODUCT_ANALYTICS).collect()}
+    assert all(d.description for m in models.values() for d in m.dimensions)
     assert len(models) == 4 and len(models["users"].dimensions) == 15 and models["events"].primary_entity == "event"
     assert catalogue.list_dimensions(spark, layer, "d7_retention_rate").count() == 16
     lineage = catalogue.metric_lineage(spark, PRODUCT_ANALYTICS)
