@@ -114,17 +114,21 @@ def _raised(calls: DataFrame, results: DataFrame) -> DataFrame | None:
     own = calls.groupBy("call_id").agg(F.min("turn").alias("call_turn"))
     base = stored(own.join(answered, "call_id", "left"), "order")
     links = stored(waits.select("call_id", "ref").distinct(), "waits")
-    now = base.select("call_id", F.col("call_turn").alias("at"))
-    for step in range(most + 2):  # a chain has no more links than a conversation has references
-        ends = now.join(base, "call_id").select(F.col("call_id").alias("ref"), F.greatest("at", "result_turn").alias("end"))
-        least = links.join(ends, "ref").groupBy("call_id").agg((F.max("end") + 1).alias("least"))
-        raised = now.join(least, "call_id", "left").select("call_id", F.greatest("at", "least").alias("at"), F.col("at").alias("old"))
+    now = base.select("call_id", F.col("call_turn").alias("at"), F.lit(False).alias("endless"))
+    step = 0
+    while True:
+        ends = now.join(base, "call_id").select(F.col("call_id").alias("ref"), F.greatest("at", "result_turn").alias("end"), "endless")
+        least = links.join(ends, "ref").groupBy("call_id").agg((F.max("end") + 1).alias("least"), F.bool_or("endless").alias("stuck"))
+        later = F.greatest("at", "least")
+        # A chain has no more links than a conversation has references: what moves after that many steps, and
+        # what waits for it, is in or behind a cycle.
+        endless = F.col("endless") | F.coalesce("stuck", F.lit(False)) | ((later > F.col("at")) & F.lit(step > most))
+        moved = (endless & ~F.col("endless")) | ((later > F.col("at")) & ~endless)
+        raised = now.join(least, "call_id", "left").select("call_id", later.alias("at"), endless.alias("endless"), moved.alias("moved"))
         raised = stored(raised, "order")
-        if not raised.where("at <> old").limit(1).count():
-            break
-        endless = F.when((F.col("at") == F.col("old")) | F.lit(step <= most), F.col("at"))
-        now = raised.select("call_id", endless.alias("at"))
-    return now.withColumnRenamed("at", "order_turn")
+        now, step = raised.drop("moved"), step + 1
+        if not raised.where("moved").limit(1).count():
+            return now.select("call_id", F.when(~F.col("endless"), F.col("at")).alias("order_turn"))
 
 
 def format_calls(conversations: DataFrame, schemas: DataFrame | None = None) -> DataFrame:

@@ -10,9 +10,9 @@ document) and against the next document. Documents are range-partitioned by id a
 carried along; the first document of each partition is also sent to the partition before it, so every row
 meets its successor without a global sort or a second shuffle.
 
-`near_pairs` joins whole collections: equal sets are one class; classes are partitioned by set length, so that
-a pair can only meet inside a length band or its neighbour, and joined on the rarest signatures of their sets
-(the prefix that a pair at the threshold must share); pairs are confirmed by pruned Jaccard.
+`near_pairs` joins whole collections: documents with equal sets are one class; classes are partitioned by set
+length, so that a pair can only meet inside a length band or its neighbour, and joined on the rarest signatures
+of their sets (a pair at the threshold shares one of them, and early); what is left is confirmed by Jaccard.
 
 Defined results: a text with few chains is fingerprinted by its words, too, one without words by its bytes, so
 equal texts always have equal fingerprints and likeness 1; null counts as empty; null ids come first,
@@ -158,3 +158,44 @@ def with_next(docs: DataFrame) -> DataFrame:
         _walk,
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
     )
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    anchors = _anchor_hashes()
+    for batch in batches:
+        for piece in slices(batch.column(1)):
+            sets = signatures(piece, anchors)
+            digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+            bounds = pa.array(np.r_[0, np.cumsum([len(s) for s in sets])].astype(np.int32))
+            values = pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(sets).astype(np.int64)))
+            columns = [batch.column(0).slice(piece.first, len(piece)), pa.array(digests, pa.binary()), values]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "class", "signatures"])
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """Per document: doc_id, class (a digest of its set), signatures."""
+    docs = docs.select("doc_id", "text")
+    return docs.mapInArrow(_sets, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, class binary, signatures array<long>")
+
+
+def near_pairs(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs of classes (a, b, likeness) at or above the threshold, each once. members: what `classes` returns."""
+    one = members.groupBy("class").agg(F.first("signatures").alias("set")).withColumn("n", F.size("set"))
+    rows = one.select("class", "n", F.explode("set").alias("s"))
+    often = rows.groupBy("s").agg(F.count("*").alias("f"))
+    ranked = rows.join(often, "s").groupBy("class", "n").agg(F.array_sort(F.collect_list(F.struct("f", "s"))).alias("ranked"))
+    rare = F.slice("ranked", F.lit(1), (F.col("n") - F.ceil(F.col("n") * threshold) + 1).cast("int"))["s"]
+    band = F.floor(F.log(F.col("n")) / F.log(F.lit(1 / threshold)))
+    listed = ranked.select("class", "n", band.alias("band"), F.posexplode(rare).alias("at", "s")).join(often.where("f > 1").select("s"), "s")
+    left = listed.select("s", "band", F.col("class").alias("a"), F.col("n").alias("na"), F.col("at").alias("ata"))
+    right = listed.select("s", F.explode(F.array(F.col("band") - 1, F.col("band"))).alias("band"), F.col("class").alias("b"), F.col("n").alias("nb"), F.col("at").alias("atb"))
+    common = F.ceil((F.col("na") + F.col("nb")) * threshold / (1 + threshold))
+    early = (F.col("ata") <= F.col("na") - common) & (F.col("atb") <= F.col("nb") - common)
+    # Shorter sets are on the left, of equal length the smaller digest.
+    ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    pairs = left.join(right, ["s", "band"]).where(ordered & early).select("a", "b").distinct()
+    sets = one.select("class", "set")
+    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    shared = F.size(F.array_intersect("sa", "sb"))
+    like = shared / (F.size("sa") + F.size("sb") - shared)
+    return both.select("a", "b", like.alias("likeness")).where(F.col("likeness") >= threshold)

@@ -60,3 +60,17 @@ def test_repeated_null_ids_and_empty(repeated, empty, odd_rows):
     out = fingerprints.with_next(repeated).collect()
     assert len(out) == 2 * len(odd_rows) + 4 and sum(r["doc_id"] is None for r in out) == 4
     assert fingerprints.with_next(empty).collect() == []
+
+
+def test_near_pairs_are_all_pairs(docs, odd):
+    for df in (docs, odd):
+        members = fingerprints.classes(df)
+        sets = {bytes(r["class"]): set(r["signatures"]) for r in members.collect()}
+        want = set()
+        names = sorted(sets)
+        for i, a in enumerate(names):
+            for b in names[i + 1 :]:
+                if len(sets[a] & sets[b]) >= 0.75 * len(sets[a] | sets[b]):
+                    want.add(frozenset((a, b)))
+        out = fingerprints.near_pairs(members).collect()
+        assert {frozenset((bytes(r["a"]), bytes(r["b"]))) for r in out} == want and len(out) == len(want)
