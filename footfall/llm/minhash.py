@@ -6,10 +6,10 @@ smallest value over the set. BANDS bands of ROWS coordinates are the search keys
 misses all of them with probability 5e-6. Links are confirmed on the full sets.
 
 Documents with equal sets are one node, so copies never meet each other. Inside a band's bucket, members are
-compared with the bucket's first member, not with each other. Members that still are in different components
-afterwards are compared with more and more leaders (8, 64, 512, ...; picked by hash), until every pair of a
-bucket was either compared or is connected by links: no link that joins components is lost, and no group is
-expanded into all its pairs while links connect it. Leaders with many members are dealt in chunks.
+compared with the bucket's first member, not with each other; a first member with many partners is dealt in
+chunks. In buckets whose members are still in different components, those are compared that share one of their
+rarest shingles, as all linked pairs must (see `_open_pairs`): no link that joins components is lost, and no
+group is expanded into all its pairs while links connect it.
 
 Everything between the steps is a table in the shared folder. Nothing but counts comes to the driver.
 
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from footfall.llm.tables import stored
@@ -36,7 +36,6 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 PERCENT = 75
 CHUNK = 64
-LEADERS = 8
 
 
 def shingles(part: Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +131,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     key, own = (leaders[row], chunks[row]), mine
                     continue
                 assert key == (leaders[row], chunks[row])
-                common = len(np.intersect1d(own, mine, assume_unique=True))
+                common = int((own[np.minimum(np.searchsorted(own, mine), len(own) - 1)] == mine).sum())
                 if 100 * common >= PERCENT * (len(own) + len(mine) - common):
                     a.append(leaders[row])
                     b.append(nodes[row])
@@ -158,39 +157,61 @@ def components(edges: DataFrame) -> DataFrame:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
         lower = labels.join(near, F.col("node") == F.col("a")).select("node", F.least("label", "near").alias("label"), F.col("label").alias("old"))
         up = lower.select(F.col("node").alias("up"), F.col("label").alias("top"))
-        jumped = stored(lower.join(up, F.col("label") == F.col("up")).select("node", F.col("top").alias("label"), "old"), "labels")
-        labels = jumped.select("node", "label")
-        if not jumped.where("label <> old").limit(1).count():
+        jumped = lower.join(up, F.col("label") == F.col("up")).select("node", F.col("top").alias("label"), "old")
+        seen = Observation()
+        labels = stored(jumped.observe(seen, F.count_if(F.col("label") != F.col("old")).alias("changed")).drop("old"), "labels")
+        if not seen.get.get("changed"):
             return labels
 
 
-def _links(members: DataFrame, texts: DataFrame) -> DataFrame | None:
-    """Verified links (a, b) that connect what can be connected inside the buckets. members: key, node, n, m."""
-    first = members.groupBy("key").agg(F.min_by("node", "node").alias("a"), F.min_by("n", "node").alias("na"))
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per node and distinct shingle."""
+    for batch in batches:
+        for part in slices(batch.column(3)):
+            hashes, bounds = shingles(part)
+            sets = [np.unique(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            index = pa.array(np.repeat(np.arange(part.first, part.last), [len(x) for x in sets]))
+            columns = [batch.column(k).take(index) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(sets).view(np.int64))], ["node", "n", "label", "s"])
+
+
+def _open_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes (node, n, label) with different labels that can still be linked.
+
+    Order each set by how rare its shingles are among these nodes. Two linked sets of n and m shingles have
+    `common` = 3/7 (n + m) of them in common, so they share one among the first n - common + 1 and m - common + 1,
+    which is the rarest quarter at most. A node with that many shingles of its own can be linked with nothing. In
+    a shingle's list only the nodes outside its most frequent component are set against the others.
+    """
+    rows = nodes.join(texts, "node").select("node", "n", "label", "text").mapInArrow(_tokens, "node long, n long, label long, s long")
+    rows = stored(rows, "tokens")
+    shared = rows.groupBy("s").agg(F.count("*").alias("f")).where("f > 1")
+    own = rows.join(shared, "s").groupBy("node", "n", "label").agg(F.array_sort(F.collect_list(F.struct("f", "s"))).alias("some"))
+    alone = F.col("n") - F.size("some")  # shingles that no other node has come first
+    room = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - alone
+    rare = own.where(room > 0).select("node", "n", "label", alone.alias("alone"), F.posexplode(F.slice("some", F.lit(1), room.cast("int"))["s"]).alias("at", "s"))
+    rare = stored(rare.withColumn("at", F.col("at") + F.col("alone")).drop("alone"), "rare")
+    sizes = rare.groupBy("s", "label").agg(F.count("*").alias("f"))
+    major = sizes.groupBy("s").agg(F.max_by("label", "f").alias("major"), F.count("*").alias("labels")).where("labels > 1")
+    listed = rare.join(major, "s")
+    minor = listed.where("label <> major").select("s", F.col("node").alias("h"), F.col("n").alias("nh"), F.col("label").alias("lh"), F.col("at").alias("ath"))
+    common = F.ceil((F.col("n") + F.col("nh")) * PERCENT / (100 + PERCENT))
+    early = (F.col("at") <= F.col("n") - common) & (F.col("ath") <= F.col("nh") - common)
+    pairs = listed.join(minor, "s").where((F.col("label") != F.col("lh")) & early)
+    return pairs.select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b")).distinct()
+
+
+def _links(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Verified links (a, b) that connect all that can be connected inside the buckets. members: key, node, n."""
+    first = members.groupBy("key").agg(F.min("node").alias("a"), F.min_by("n", "node").alias("na"))
     pairs = members.join(first, "key").where((F.col("a") != F.col("node")) & _similar(F.col("n"), F.col("na")))
     tested = stored(pairs.select("a", F.col("node").alias("b")).distinct(), "pairs")
     links = stored(verified(tested, texts), "links")
-    count = LEADERS
-    while True:
-        labels = components(links)
-        now = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-        rest = stored(now.join(mixed, "key", "left_semi"), "rest")
-        largest = rest.agg(F.max("m")).first()[0]
-        if largest is None:
-            return links
-        # A share of count / m of a bucket's members lead, all of them when m is at most count.
-        draw = F.pmod(F.xxhash64("node", F.lit(count)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-        heads = rest.where((F.col("m") <= count) | (draw < F.lit(float(count)) / F.col("m")))
-        heads = heads.select("key", F.col("node").alias("h"), F.col("n").alias("nh"), F.col("label").alias("lh"))
-        pairs = rest.join(heads, "key").where((F.col("label") != F.col("lh")) & _similar(F.col("n"), F.col("nh")))
-        fresh = pairs.select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b")).distinct()
-        fresh = stored(fresh.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = stored(links.unionByName(verified(fresh, texts)), "links")
-        if largest <= count:
-            return links
-        tested = stored(tested.unionByName(fresh), "tested")
-        count *= 8
+    now = members.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+    rest = stored(now.join(mixed, "key", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("label").alias("label")), "rest")
+    fresh = _open_pairs(rest, texts).join(tested, ["a", "b"], "left_anti")
+    return links.unionByName(verified(stored(fresh, "pairs"), texts))
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -205,7 +226,7 @@ def groups(docs: DataFrame) -> DataFrame:
     nodes = stored(own.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     keyed = nodes.select("node", "n", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     members = stored(keyed.join(shared, "key"), "members")
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "one.doc_id", "one.text_id")
     keys = docs.withColumn("__text_id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))

@@ -23,10 +23,10 @@ def test_odd_documents(odd, odd_rows):
     assert by_id(minhash.report(odd)) == near_groups([r[:2] for r in odd_rows])
 
 
-@pytest.mark.parametrize("leaders", [1, 8])
-def test_chains_of_near_copies(spark, monkeypatch, leaders):
+@pytest.mark.parametrize("chunk", [3, 64])
+def test_chains_of_near_copies(spark, monkeypatch, chunk):
     """Each text is a little further from the first one: links run along the chain only."""
-    monkeypatch.setattr(minhash, "LEADERS", leaders)
+    monkeypatch.setattr(minhash, "CHUNK", chunk)
     pick, made = random.Random(3), []
     for group in range(6):
         words = prose(group, 120).split()
@@ -45,7 +45,7 @@ def test_one_large_group(spark):
     made = []
     for k in range(300):
         words = list(base)
-        for _ in range(pick.randint(0, 9)):
+        for _ in range(pick.randint(0, 25)):
             words[pick.randrange(200)] = f"w{pick.randrange(10**6)}"
         made.append((k, " ".join(words)))
     df = spark.createDataFrame(made, "doc_id long, text string")
