@@ -4,7 +4,7 @@ A document is the mean of learned vectors of its hashed words, word repetitions
 4-grams; a linear layer and softmax give class probabilities. Training is minibatch gradient descent in
 numpy with per-weight step sizes, on at most SAMPLE labelled documents (a documented bound; the smallest
 hashes of the labelled ids, so the choice depends on ids alone). Features of the sample are computed by
-Spark; a document brings at most BUCKETS numbers to the driver.
+Spark, at most BUCKETS numbers a document, and one task learns from them.
 
 The mean is linear, so scoring needs one learned number per bucket: vectors times layer. That table
 (BUCKETS floats) is all that travels to the tasks, and documents are scored where they are read.
@@ -125,14 +125,23 @@ def fit(rows: list[tuple[int, bytes, bytes]]) -> Model:
     return Model((vectors @ (layer[:, 1] - layer[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
+def _fit_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of all rows of a partition."""
+    rows = [row for batch in batches for row in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)]
+    model = fit(sorted(rows))
+    yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()]), pa.array([model.bias])], ["weights", "bias"])
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model of the labelled documents whose ids are not held out, at most `sample` of them."""
+    """A model of the labelled documents whose ids are not held out, at most `sample` of them. One task learns
+    from the features of the sample; only the model comes to the driver."""
     usable = labels.where(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1))
     chosen = usable.select("doc_id", F.col("quality").cast("int").alias("__label")).orderBy(F.xxhash64("doc_id"), "doc_id", "__label")
     chosen = chosen.limit(sample)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "__label")
-    rows = texts.mapInArrow(_sparse, "label int, ids binary, shares binary").collect()
-    return fit(sorted((r["label"], bytes(r["ids"]), bytes(r["shares"])) for r in rows))
+    rows = texts.mapInArrow(_sparse, "label int, ids binary, shares binary")
+    (row,) = rows.repartition(1).mapInArrow(_fit_sample, "weights binary, bias double").collect() or [None]
+    return Model(np.frombuffer(row["weights"], np.float32), row["bias"]) if row else fit([])
 
 
 def _score(model, column: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
