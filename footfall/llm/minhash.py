@@ -6,8 +6,7 @@ smallest value over the set. BANDS bands of ROWS coordinates are the search keys
 misses all of them with probability 5e-6. Links are confirmed on the full sets.
 
 Documents with equal sets are one node, so copies never meet each other. Inside a band's bucket, members are
-compared with the bucket's first member, not with each other; a first member with many partners is dealt in
-chunks. In buckets whose members are still in different components, those are compared that share one of their
+compared with the bucket's first member, not with each other. In buckets whose members are still in different components, those are compared that share one of their
 rarest shingles, as all linked pairs must (see `_open_pairs`): no link that joins components is lost, and no
 group is expanded into all its pairs while links connect it.
 
@@ -35,7 +34,7 @@ from footfall.llm.text import NOT_SPACE, Slice, find_words, grams, mix, slices
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 PERCENT = 75
-CHUNK = 64
+BLOCK = 256
 
 
 def shingles(part: Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -117,36 +116,45 @@ def _similar(a: Column, b: Column) -> Column:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (leader, chunk), the leader's text before its members': the linked pairs."""
-    key, own = None, np.empty(0, np.uint64)
+    """Rows sorted by block pair, its texts before its pairs: the linked pairs."""
+    key, sets = None, {}
     for batch in batches:
-        leaders, chunks, nodes = (batch.column(k).to_pylist() for k in range(3))
+        xs, ys, ones, twos = (batch.column(k).to_pylist() for k in range(4))
         a, b = [], []
-        for part in slices(batch.column(3)):
+        for part in slices(batch.column(4)):
             hashes, bounds = shingles(part)
-            for i in range(len(part)):
-                row = part.first + i
-                mine = np.unique(hashes[bounds[i] : bounds[i + 1]])
-                if nodes[row] is None:
-                    key, own = (leaders[row], chunks[row]), mine
+            for i, row in enumerate(range(part.first, part.last)):
+                if key != (xs[row], ys[row]):
+                    key, sets = (xs[row], ys[row]), {}
+                if twos[row] is None:
+                    sets[ones[row]] = np.unique(hashes[bounds[i] : bounds[i + 1]])
                     continue
-                assert key == (leaders[row], chunks[row])
-                common = int((own[np.minimum(np.searchsorted(own, mine), len(own) - 1)] == mine).sum())
-                if 100 * common >= PERCENT * (len(own) + len(mine) - common):
-                    a.append(leaders[row])
-                    b.append(nodes[row])
+                one, two = sets[ones[row]], sets[twos[row]]
+                common = int((one[np.minimum(np.searchsorted(one, two), len(one) - 1)] == two).sum())
+                if 100 * common >= PERCENT * (len(one) + len(two) - common):
+                    a.append(ones[row])
+                    b.append(twos[row])
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts are linked. texts: node, text. The side with more partners leads."""
-    size = pairs.groupBy("a").agg(F.count("*").alias("__n"))
-    dealt = pairs.join(size, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.floor(F.col("__n") / CHUNK) + 1).alias("chunk"))
-    members = dealt.join(texts, F.col("b") == F.col("node")).select("a", "chunk", "b", "text")
-    heads = dealt.select("a", "chunk").distinct().join(texts, F.col("a") == F.col("node"))
-    rows = members.unionByName(heads.select("a", "chunk", F.lit(None).cast("long").alias("b"), "text"))
-    rows = rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
-    return rows.mapInArrow(_verify, "a long, b long")
+    """The pairs (a, b) whose texts are linked. texts: node, text.
+
+    Nodes with a common smallest partner are dealt to blocks of about BLOCK. A pair of blocks is one piece of
+    work that reads each of its texts once, whatever the number of pairs between them.
+    """
+    least = F.least("a", "b").alias("hub")
+    nodes = pairs.select(F.col("a").alias("node"), least).unionAll(pairs.select(F.col("b").alias("node"), least))
+    nodes = nodes.groupBy("node").agg(F.min("hub").alias("hub"))
+    many = nodes.groupBy("hub").agg((F.floor(F.count("*") / BLOCK) + 1).alias("parts"))
+    block = F.xxhash64("hub", F.pmod(F.xxhash64("node"), F.col("parts")))
+    blocks = stored(nodes.join(many, "hub").select("node", block.alias("block")), "blocks")
+    ends = pairs.join(blocks.toDF("a", "ba"), "a").join(blocks.toDF("b", "bb"), "b")
+    dealt = stored(ends.select(F.least("ba", "bb").alias("x"), F.greatest("ba", "bb").alias("y"), "a", "b"), "dealt")
+    wanted = dealt.select("x", "y", F.col("a").alias("node")).unionAll(dealt.select("x", "y", F.col("b").alias("node"))).distinct()
+    read = wanted.join(texts, "node").select("x", "y", "node", F.lit(None).cast("long").alias("b"), "text")
+    rows = read.unionAll(dealt.select("x", "y", "a", "b", F.lit(None).cast("string")))
+    return rows.repartition("x", "y").sortWithinPartitions("x", "y", F.col("b").asc_nulls_first()).mapInArrow(_verify, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:

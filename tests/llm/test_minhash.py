@@ -23,15 +23,15 @@ def test_odd_documents(odd, odd_rows):
     assert by_id(minhash.report(odd)) == near_groups([r[:2] for r in odd_rows])
 
 
-@pytest.mark.parametrize("chunk", [3, 64])
-def test_chains_of_near_copies(spark, monkeypatch, chunk):
+@pytest.mark.parametrize("block", [3, 256])
+def test_chains_of_near_copies(spark, monkeypatch, block):
     """Each text is a little further from the first one: links run along the chain only."""
-    monkeypatch.setattr(minhash, "CHUNK", chunk)
+    monkeypatch.setattr(minhash, "BLOCK", block)
     pick, made = random.Random(3), []
     for group in range(6):
         words = prose(group, 120).split()
         for step in range(14):
-            made.append((group * 100 + (step * 7) % 14, " ".join(words)))
+            made.append((group * 100 + (step * 5) % 14, " ".join(words)))
             for _ in range(pick.randint(1, 4)):
                 words[pick.randrange(len(words))] = f"w{pick.randrange(10**6)}"
     pick.shuffle(made)
