@@ -43,16 +43,16 @@ def test_odd_documents(odd, odd_rows):
             assert out[doc] == want(text)
 
 
-@pytest.mark.parametrize("limit", ["MAX_NODES", "MAX_KEPT"])
+@pytest.mark.parametrize("limit", ["MAX_NODES", "MAX_KEPT", "MAX_WORDS"])
 def test_bounds_change_no_count(monkeypatch, limit):
     text = prose(3, 400) + " " + "unbelievably" * 30
     monkeypatch.setattr(token_counts, limit, 6)
-    trie = token_counts.Trie(PIECES)
+    trie = token_counts.Trie(token_counts.Pieces(PIECES))
     assert sum(trie.counts[w] for w in text.encode().split()) == want(text)[1]
 
 
 def test_prefixes_are_shared():
-    trie = token_counts.Trie({"a": math.log(0.5), "ab": math.log(0.4), "b": math.log(0.1)})
+    trie = token_counts.Trie(token_counts.Pieces({"a": math.log(0.5), "ab": math.log(0.4), "b": math.log(0.1)}))
     for word in ("abab", "aba", "abb", "aba"):
         trie.insert(word)
     assert len(trie.score) == 1 + 4 + 1  # the root, abab, and abb's last letter
