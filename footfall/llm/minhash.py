@@ -6,9 +6,9 @@ smallest value over the set. BANDS bands of ROWS coordinates are the search keys
 misses all of them with probability 5e-6. Links are confirmed on the full sets.
 
 Documents with equal sets are one node, so copies never meet each other. Inside a band's bucket, members are
-compared with the bucket's first member, not with each other. In buckets whose members are still in different components, those are compared that share one of their
-rarest shingles, as all linked pairs must (see `_open_pairs`): no link that joins components is lost, and no
-group is expanded into all its pairs while links connect it.
+compared with the bucket's first member, not with each other. In buckets whose members are still in different
+components, blocks of nodes that share rare shingles are compared, as all linked pairs share one (see
+`_open_links`): no link that joins components is lost, and no list of all pairs of a group is made.
 
 Everything between the steps is a table in the shared folder. Nothing but counts comes to the driver.
 
@@ -116,45 +116,35 @@ def _similar(a: Column, b: Column) -> Column:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by block pair, its texts before its pairs: the linked pairs."""
-    key, sets = None, {}
+    """Rows sorted by (leader, chunk), the leader's text before its members': the linked pairs."""
+    key, own = None, np.empty(0, np.uint64)
     for batch in batches:
-        xs, ys, ones, twos = (batch.column(k).to_pylist() for k in range(4))
+        leaders, chunks, nodes = (batch.column(k).to_pylist() for k in range(3))
         a, b = [], []
-        for part in slices(batch.column(4)):
+        for part in slices(batch.column(3)):
             hashes, bounds = shingles(part)
             for i, row in enumerate(range(part.first, part.last)):
-                if key != (xs[row], ys[row]):
-                    key, sets = (xs[row], ys[row]), {}
-                if twos[row] is None:
-                    sets[ones[row]] = np.unique(hashes[bounds[i] : bounds[i + 1]])
+                mine = np.unique(hashes[bounds[i] : bounds[i + 1]])
+                if nodes[row] is None:
+                    key, own = (leaders[row], chunks[row]), mine
                     continue
-                one, two = sets[ones[row]], sets[twos[row]]
-                common = int((one[np.minimum(np.searchsorted(one, two), len(one) - 1)] == two).sum())
-                if 100 * common >= PERCENT * (len(one) + len(two) - common):
-                    a.append(ones[row])
-                    b.append(twos[row])
+                assert key == (leaders[row], chunks[row])
+                common = int((own[np.minimum(np.searchsorted(own, mine), len(own) - 1)] == mine).sum())
+                if 100 * common >= PERCENT * (len(own) + len(mine) - common):
+                    a.append(leaders[row])
+                    b.append(nodes[row])
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts are linked. texts: node, text.
-
-    Nodes with a common smallest partner are dealt to blocks of about BLOCK. A pair of blocks is one piece of
-    work that reads each of its texts once, whatever the number of pairs between them.
-    """
-    least = F.least("a", "b").alias("hub")
-    nodes = pairs.select(F.col("a").alias("node"), least).unionAll(pairs.select(F.col("b").alias("node"), least))
-    nodes = nodes.groupBy("node").agg(F.min("hub").alias("hub"))
-    many = nodes.groupBy("hub").agg((F.floor(F.count("*") / BLOCK) + 1).alias("parts"))
-    block = F.xxhash64("hub", F.pmod(F.xxhash64("node"), F.col("parts")))
-    blocks = stored(nodes.join(many, "hub").select("node", block.alias("block")), "blocks")
-    ends = pairs.join(blocks.toDF("a", "ba"), "a").join(blocks.toDF("b", "bb"), "b")
-    dealt = stored(ends.select(F.least("ba", "bb").alias("x"), F.greatest("ba", "bb").alias("y"), "a", "b"), "dealt")
-    wanted = dealt.select("x", "y", F.col("a").alias("node")).unionAll(dealt.select("x", "y", F.col("b").alias("node"))).distinct()
-    read = wanted.join(texts, "node").select("x", "y", "node", F.lit(None).cast("long").alias("b"), "text")
-    rows = read.unionAll(dealt.select("x", "y", "a", "b", F.lit(None).cast("string")))
-    return rows.repartition("x", "y").sortWithinPartitions("x", "y", F.col("b").asc_nulls_first()).mapInArrow(_verify, "a long, b long")
+    """The pairs (a leader, b) whose texts are linked. texts: node, text. Members of a leader are dealt in chunks."""
+    size = pairs.groupBy("a").agg((F.floor(F.count("*") / BLOCK) + 1).alias("chunks"))
+    dealt = pairs.join(size, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk"))
+    members = dealt.join(texts, F.col("b") == F.col("node")).select("a", "chunk", "b", "text")
+    heads = dealt.select("a", "chunk").distinct().join(texts, F.col("a") == F.col("node"))
+    rows = members.unionByName(heads.select("a", "chunk", F.lit(None).cast("long").alias("b"), "text"))
+    rows = rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
+    return rows.mapInArrow(_verify, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -183,13 +173,69 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(sets).view(np.int64))], ["node", "n", "label", "s"])
 
 
-def _open_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes (node, n, label) with different labels that can still be linked.
+def _compare(ones: list[tuple], twos: list[tuple], same: bool) -> tuple[list[int], list[int]]:
+    """Links between two blocks of nodes (node, n, label, alone, rare shingles, set) with different labels."""
+    n, m = (np.array([x[1] for x in some]) for some in (ones, twos))
+    common = -(-(n[:, None] + m[None, :]) * PERCENT // (100 + PERCENT))
+    room_n, room_m = n[:, None] - common, m[None, :] - common
+    shared = np.zeros(common.shape, bool)
+    lists = []
+    for some in (ones, twos):
+        s = np.concatenate([np.array(x[4], np.int64) for x in some])
+        own = np.repeat(np.arange(len(some)), [len(x[4]) for x in some])
+        at = np.concatenate([x[3] + np.arange(len(x[4])) for x in some])
+        order = np.argsort(s, kind="stable")
+        lists.append((s[order], own[order], at[order]))
+    (s1, own1, at1), (s2, own2, at2) = lists
+    for token in np.intersect1d(s1, s2):
+        lo1, hi1 = np.searchsorted(s1, token), np.searchsorted(s1, token, side="right")
+        lo2, hi2 = np.searchsorted(s2, token), np.searchsorted(s2, token, side="right")
+        cell = np.ix_(own1[lo1:hi1], own2[lo2:hi2])
+        shared[cell] |= (at1[lo1:hi1, None] <= room_n[cell]) & (at2[None, lo2:hi2] <= room_m[cell])
+    shared &= np.array([x[2] for x in ones])[:, None] != np.array([x[2] for x in twos])[None, :]
+    a, b = [], []
+    for i, j in np.argwhere(np.triu(shared) if same else shared).tolist():
+        one, two = ones[i][5], twos[j][5]
+        k = int((one[np.minimum(np.searchsorted(one, two), len(one) - 1)] == two).sum())
+        if 100 * k >= PERCENT * (len(one) + len(two) - k):
+            a.append(ones[i][0])
+            b.append(twos[j][0])
+    return a, b
+
+
+def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes sorted by block pair (x, y), with the block each is from: the links between them."""
+
+    def settle(key: tuple[int, int], held: list[tuple]) -> pa.RecordBatch:
+        ones, twos = [x[1:] for x in held if x[0] == key[0]], [x[1:] for x in held if x[0] == key[1]]
+        a, b = _compare(ones, twos, key[0] == key[1]) if ones and twos else ([], [])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    key, held = None, []
+    for batch in batches:
+        columns = list(zip(*(batch.column(k).to_pylist() for k in range(8)), strict=True))
+        for part in slices(batch.column(8)):
+            hashes, bounds = shingles(part)
+            for i, (x, y, *node) in enumerate(columns[part.first : part.last]):
+                if key != (x, y):
+                    if held:
+                        yield settle(key, held)
+                    key, held = (x, y), []
+                held.append((*node, np.unique(hashes[bounds[i] : bounds[i + 1]])))
+    if held:
+        yield settle(key, held)
+
+
+def _open_links(nodes: DataFrame, hubs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between nodes (node, n, label) with different labels. hubs: node, hub.
 
     Order each set by how rare its shingles are among these nodes. Two linked sets of n and m shingles have
     `common` = 3/7 (n + m) of them in common, so they share one among the first n - common + 1 and m - common + 1,
-    which is the rarest quarter at most. A node with that many shingles of its own can be linked with nothing. In
-    a shingle's list only the nodes outside its most frequent component are set against the others.
+    which is the rarest quarter at most. A node with that many shingles of its own can be linked with nothing.
+
+    Nodes of a hub are dealt to blocks of about BLOCK, and blocks meet in a shingle's list, not nodes: a pair of
+    blocks that share a rare shingle under different labels is one piece of work, which reads each text once and
+    compares the nodes that share a shingle early enough.
     """
     rows = nodes.join(texts, "node").select("node", "n", "label", "text").mapInArrow(_tokens, "node long, n long, label long, s long")
     rows = stored(rows, "tokens")
@@ -197,16 +243,22 @@ def _open_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     own = rows.join(shared, "s").groupBy("node", "n", "label").agg(F.array_sort(F.collect_list(F.struct("f", "s"))).alias("some"))
     alone = F.col("n") - F.size("some")  # shingles that no other node has come first
     room = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - alone
-    rare = own.where(room > 0).select("node", "n", "label", alone.alias("alone"), F.posexplode(F.slice("some", F.lit(1), room.cast("int"))["s"]).alias("at", "s"))
-    rare = stored(rare.withColumn("at", F.col("at") + F.col("alone")).drop("alone"), "rare")
-    sizes = rare.groupBy("s", "label").agg(F.count("*").alias("f"))
-    major = sizes.groupBy("s").agg(F.max_by("label", "f").alias("major"), F.count("*").alias("labels")).where("labels > 1")
-    listed = rare.join(major, "s")
-    minor = listed.where("label <> major").select("s", F.col("node").alias("h"), F.col("n").alias("nh"), F.col("label").alias("lh"), F.col("at").alias("ath"))
-    common = F.ceil((F.col("n") + F.col("nh")) * PERCENT / (100 + PERCENT))
-    early = (F.col("at") <= F.col("n") - common) & (F.col("ath") <= F.col("nh") - common)
-    pairs = listed.join(minor, "s").where((F.col("label") != F.col("lh")) & early)
-    return pairs.select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b")).distinct()
+    rare = own.where(room > 0).select("node", "n", "label", alone.alias("alone"), F.slice("some", F.lit(1), room.cast("int"))["s"].alias("rare"))
+    at_hub = rare.join(hubs, "node", "left").withColumn("hub", F.coalesce("hub", "node")).withColumn("single", F.col("label") == F.col("node"))
+    at_hub = stored(at_hub, "rare")
+    parts = at_hub.groupBy("hub", "single").agg((F.floor(F.count("*") / BLOCK) + 1).alias("parts"))
+    block = F.xxhash64("hub", "single", F.pmod(F.xxhash64("node"), F.col("parts")))
+    placed = at_hub.join(parts, ["hub", "single"]).join(texts, "node").select("node", "n", "label", "alone", "rare", "text", block.alias("block"))
+    placed = stored(placed, "placed")
+
+    listed = placed.select("block", "label", F.explode("rare").alias("s")).groupBy("s", "block").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    one, two = listed.toDF("s", "x", "lx", "hx"), listed.toDF("s", "y", "ly", "hy")
+    differ = F.least("lx", "ly") != F.greatest("hx", "hy")
+    work = stored(one.join(two, "s").where((F.col("x") <= F.col("y")) & differ).select("x", "y").distinct(), "work")
+    fields = ("x", "y", "block", "node", "n", "label", "alone", "rare", "text")
+    rows = work.join(placed, F.col("x") == F.col("block")).select(*fields)
+    rows = rows.unionAll(work.where("x <> y").join(placed, F.col("y") == F.col("block")).select(*fields))
+    return rows.repartition("x", "y").sortWithinPartitions("x", "y").mapInArrow(_compare_blocks, "a long, b long")
 
 
 def _links(members: DataFrame, texts: DataFrame) -> DataFrame:
@@ -218,8 +270,8 @@ def _links(members: DataFrame, texts: DataFrame) -> DataFrame:
     now = members.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
     rest = stored(now.join(mixed, "key", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("label").alias("label")), "rest")
-    fresh = _open_pairs(rest, texts).join(tested, ["a", "b"], "left_anti")
-    return links.unionByName(verified(stored(fresh, "pairs"), texts))
+    hubs = tested.select(F.col("b").alias("node"), "a").unionAll(tested.select("a", "a")).groupBy("node").agg(F.min("a").alias("hub"))
+    return links.unionByName(_open_links(rest, hubs, texts))
 
 
 def groups(docs: DataFrame) -> DataFrame:
