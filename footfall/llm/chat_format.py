@@ -1,11 +1,12 @@
 """Chat formatting: tool calls linked with their results, in DataFrame functions only.
 
 A message is a call or a result. JSON texts name them: {"tool_calls": [{"id", "name", "arguments", "after":
-[ids]}]} and {"tool_call_id", "content"}. For all other turns the conversation itself is the protocol: a turn
-of anyone but the assistant calls the tool `reply` under the id conversation:turn, and an assistant's turn is
-the result of the turn before it.
+[ids]}]} and {"tool_call_id", "content"}; a text with both is the calls and the result. For all other turns the
+conversation itself is the protocol: a turn of anyone but the assistant calls the tool `reply` under the id
+conversation:turn, and an assistant's turn is the result of the turn before it. So is a `content` that is not
+null beside calls, if no tool_call_id claims it; an empty list of calls makes no message of its own.
 
-Calls and results meet in a hash join on the id. Arguments are checked against schemas (tool, field, type,
+Calls and results meet in a hash join on conversation and id; `after` names ids of the same conversation. Arguments are checked against schemas (tool, field, type,
 required), joined by tool name: a missing required field, a field of another type and an unknown field are
 an error each; an unknown tool is one error. The order is topological: a call comes before its result and
 after the results of the calls it names in `after`. It is given by (order_turn, phase), not by a running
@@ -14,7 +15,7 @@ turn and is raised along `after` until nothing changes; calls that wait for a cy
 canonical: keys sorted, no blanks, UTF-8.
 
 Defined results: a null text is a call without the argument `prompt` or a result with null content; rows
-without conversation or turn have no id and are not linked; repeated calls and results of an id are each kept
+without conversation are not linked, and turns without conversation or turn have no id; repeated calls and results of an id are each kept
 and linked; columns other than conv_id, turn, role and text are ignored; empty tables give empty results.
 """
 
@@ -29,6 +30,7 @@ from footfall.llm.tables import stored
 REPLY = (("reply", "prompt", "STRING", True), ("reply", "role", "STRING", True))
 
 _KEYS = ("conv_id", "turn", "role")
+_ID = ["conv_id", "call_id"]
 _ARGS = "array<struct<key:string,type:string,json:string>>"
 
 
@@ -51,8 +53,10 @@ def _kind_of(value: Column) -> Column:
 def messages(conversations: DataFrame) -> DataFrame:
     """One row per call or result: conv_id, turn, role, kind, call_id, tool, args (key, type, json), content, after."""
     said = conversations.select(*_KEYS, "text").withColumn("v", F.when(F.col("text").rlike(r"^\s*\{"), F.try_parse_json("text")))
-    said = said.withColumn("calls", F.try_variant_get("v", F.lit("$.tool_calls"), "array<variant>"))
-    said = said.withColumn("answers", F.when(F.col("calls").isNull(), F.try_variant_get("v", F.lit("$.tool_call_id"), "string")))
+    calls = F.try_variant_get("v", F.lit("$.tool_calls"), "array<variant>")
+    said = said.withColumn("calls", F.when(F.size(calls) > 0, calls))
+    said = said.withColumn("answers", F.try_variant_get("v", F.lit("$.tool_call_id"), "string"))
+    said = said.withColumn("words", F.try_variant_get("v", F.lit("$.content"), "variant"))
     no_text, no_args, no_refs = F.lit(None).cast("string"), F.lit(None).cast(_ARGS), F.expr("cast(array() as array<string>)")
 
     call = F.col("call")
@@ -73,21 +77,25 @@ def messages(conversations: DataFrame) -> DataFrame:
         F.col("answers").alias("call_id"),
         no_text.alias("tool"),
         no_args.alias("args"),
-        F.to_json(F.try_variant_get("v", F.lit("$.content"), "variant")).alias("content"),
+        F.to_json("words").alias("content"),
         no_refs.alias("after"),
     )
     by_assistant = F.col("role").eqNullSafe("assistant")
     own_id = F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") - by_assistant.cast("int")).cast("string"))
+    beside = F.col("calls").isNotNull()
+    prompt = F.when(beside, F.to_json("words")).otherwise(_quoted(F.col("text")))
+    kind = F.when(beside, _kind_of(F.col("words"))).otherwise("STRING")
     spoken = F.array(
-        *[F.struct(F.lit(k).alias("key"), F.lit("STRING").alias("type"), _quoted(F.col(c)).alias("json")) for k, c in (("prompt", "text"), ("role", "role"))]
+        F.struct(F.lit("prompt").alias("key"), kind.alias("type"), prompt.alias("json")),
+        F.struct(F.lit("role").alias("key"), F.lit("STRING").alias("type"), _quoted(F.col("role")).alias("json")),
     )
-    turns = said.where("calls is null and answers is null").select(
+    turns = said.where("answers is null and (calls is null or words is not null and not is_variant_null(words))").select(
         *_KEYS,
         F.when(by_assistant, "result").otherwise("call").alias("kind"),
         F.when(F.col("conv_id").isNotNull() & F.col("turn").isNotNull(), own_id).alias("call_id"),
         F.when(~by_assistant, "reply").alias("tool"),
         F.when(~by_assistant, F.filter(spoken, lambda a: a["json"].isNotNull())).alias("args"),
-        F.when(by_assistant, _quoted(F.col("text"))).alias("content"),
+        F.when(by_assistant, prompt).alias("content"),
         no_refs.alias("after"),
     )
     return explicit.unionByName(results).unionByName(turns)
@@ -105,30 +113,31 @@ def _errors(args: Column, fields: Column) -> Column:
 
 
 def _raised(calls: DataFrame, results: DataFrame) -> DataFrame | None:
-    """call_id and order_turn where `after` references raise it (null in or behind a cycle); None without references."""
-    waits = calls.where(F.size("after") > 0).select("conv_id", "call_id", F.explode("after").alias("ref"))
+    """conv_id, call_id and order_turn where `after` references raise it (null in or behind a cycle); None without
+    references."""
+    waits = calls.where((F.size("after") > 0) & F.col("conv_id").isNotNull()).select(*_ID, F.explode("after").alias("ref"))
     most = waits.groupBy("conv_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
     if most is None:
         return None
-    answered = results.groupBy("call_id").agg(F.max("turn").alias("result_turn"))
-    own = calls.groupBy("call_id").agg(F.min("turn").alias("call_turn"))
-    base = stored(own.join(answered, "call_id", "left"), "order")
-    links = stored(waits.select("call_id", "ref").distinct(), "waits")
-    now = base.select("call_id", F.col("call_turn").alias("at"), F.lit(False).alias("endless"))
+    answered = results.groupBy(*_ID).agg(F.max("turn").alias("result_turn"))
+    own = calls.groupBy(*_ID).agg(F.min("turn").alias("call_turn"))
+    base = stored(own.join(answered, _ID, "left"), "order")
+    links = stored(waits.select(*_ID, "ref").distinct(), "waits")
+    now = base.select(*_ID, F.col("call_turn").alias("at"), F.lit(False).alias("endless"))
     step = 0
     while True:
-        ends = now.join(base, "call_id").select(F.col("call_id").alias("ref"), F.greatest("at", "result_turn").alias("end"), "endless")
-        least = links.join(ends, "ref").groupBy("call_id").agg((F.max("end") + 1).alias("least"), F.bool_or("endless").alias("stuck"))
+        ends = now.join(base, _ID).select("conv_id", F.col("call_id").alias("ref"), F.greatest("at", "result_turn").alias("end"), "endless")
+        least = links.join(ends, ["conv_id", "ref"]).groupBy(*_ID).agg((F.max("end") + 1).alias("least"), F.bool_or("endless").alias("stuck"))
         later = F.greatest("at", "least")
         # A chain has no more links than a conversation has references: what moves after that many steps, and
         # what waits for it, is in or behind a cycle.
         endless = F.col("endless") | F.coalesce("stuck", F.lit(False)) | ((later > F.col("at")) & F.lit(step > most))
         moved = (endless & ~F.col("endless")) | ((later > F.col("at")) & ~endless)
-        raised = now.join(least, "call_id", "left").select("call_id", later.alias("at"), endless.alias("endless"), moved.alias("moved"))
+        raised = now.join(least, _ID, "left").select(*_ID, later.alias("at"), endless.alias("endless"), moved.alias("moved"))
         raised = stored(raised, "order")
         now, step = raised.drop("moved"), step + 1
         if not raised.where("moved").limit(1).count():
-            return now.select("call_id", F.when(~F.col("endless"), F.col("at")).alias("order_turn"))
+            return now.select(*_ID, F.when(~F.col("endless"), F.col("at")).alias("order_turn"))
 
 
 def format_calls(conversations: DataFrame, schemas: DataFrame | None = None) -> DataFrame:
@@ -140,16 +149,17 @@ def format_calls(conversations: DataFrame, schemas: DataFrame | None = None) ->
     tools = (schemas if schemas is not None else reply_schemas(spark)).groupBy("tool")
     tools = tools.agg(F.collect_set(F.struct("field", "type", "required")).alias("fields"))
 
-    called = calls.groupBy("call_id").agg(F.min("turn").alias("call_turn"))
-    answered = results.groupBy("call_id").agg(F.count("*").alias("n_results"))
+    called = calls.groupBy(*_ID).agg(F.min("turn").alias("call_turn"))
+    answered = results.groupBy(*_ID).agg(F.count("*").alias("n_results"))
     order = _raised(calls, results)
-    calls = calls.join(answered, "call_id", "left").join(tools, "tool", "left")
-    results = results.join(called, "call_id", "left")
+    calls = calls.join(answered, _ID, "left").join(tools, "tool", "left")
+    results = results.join(called, _ID, "left")
     if order is None:
         calls, results = calls.withColumn("order_turn", F.col("turn")), results.withColumn("order_turn", F.greatest("turn", "call_turn"))
     else:
-        calls = calls.join(order, "call_id", "left").withColumn("order_turn", F.when(F.col("call_id").isNull(), F.col("turn")).otherwise(F.col("order_turn")))
-        late = results.join(order, "call_id", "left")
+        no_id = F.col("conv_id").isNull() | F.col("call_id").isNull()
+        calls = calls.join(order, _ID, "left").withColumn("order_turn", F.when(no_id, F.col("turn")).otherwise(F.col("order_turn")))
+        late = results.join(order, _ID, "left")
         results = late.withColumn("order_turn", F.when(F.col("call_turn").isNotNull(), F.greatest("turn", "order_turn")).otherwise(F.col("turn")))
 
     def text(name: str) -> Column:

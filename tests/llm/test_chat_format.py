@@ -70,6 +70,50 @@ def test_topological_order(spark):
     assert at["call", "x"][0] is None and at["call", "y"][0] is None and at["call", "z"][0] == 2
 
 
+def test_empty_lists_and_mixed_messages(spark):
+    """No turn vanishes: an empty list is a plain turn, a message may be calls and a result, words beside calls stay."""
+    one = {"id": "a", "name": "t", "arguments": {}}
+    rows = [
+        (1, 0, "user", '{"tool_calls": []}'),
+        (1, 1, "assistant", json.dumps({"tool_calls": [one], "content": "let me see"})),
+        (1, 2, "tool", json.dumps({"tool_call_id": "a", "content": 5, "tool_calls": [{**one, "id": "b"}]})),
+        (1, 3, "tool", '{"tool_calls": [], "tool_call_id": "b", "content": "ok"}'),
+        (1, 4, "assistant", json.dumps({"tool_calls": [{**one, "id": "c"}], "content": None})),
+        (1, 5, "user", json.dumps({"tool_calls": [{**one, "id": "d"}], "content": ["x"]})),
+    ]
+    out = chat_format.format_calls(spark.createDataFrame(rows, TALK)).collect()
+    by = {(r["turn"], r["kind"], r["call_id"]): r for r in out}
+    assert len(out) == 9 and set(by) == {
+        (0, "call", "1:0"), (1, "call", "a"), (1, "result", "1:0"), (2, "call", "b"), (2, "result", "a"), (3, "result", "b"), (4, "call", "c"), (5, "call", "d"), (5, "call", "1:5"),
+    }
+    assert json.loads(by[0, "call", "1:0"]["json"])["arguments"]["prompt"] == '{"tool_calls": []}'
+    assert by[1, "result", "1:0"]["json"] == '{"content":"let me see","id":"1:0","kind":"result"}' and by[1, "result", "1:0"]["linked"]
+    assert by[2, "result", "a"]["json"] == '{"content":5,"id":"a","kind":"result"}' and by[2, "result", "a"]["linked"]
+    assert by[3, "result", "b"]["linked"] and by[1, "call", "a"]["linked"]
+    assert json.loads(by[5, "call", "1:5"]["json"])["arguments"] == {"prompt": ["x"], "role": "user"} and by[5, "call", "1:5"]["n_errors"] == 1
+
+
+def test_ids_hold_within_their_conversation(spark):
+    """Equal ids of two conversations are not linked, and `after` does not reach into another conversation."""
+    one = lambda name, *after: call({"id": name, "name": "t", "arguments": {}, "after": list(after)})
+    done = lambda name: json.dumps({"tool_call_id": name, "content": 0})
+    rows = [
+        (1, 0, "assistant", one("x")), (1, 9, "tool", done("x")), (1, 1, "assistant", one("y", "x")),
+        (2, 0, "assistant", one("x")), (2, 1, "assistant", one("y", "x")), (2, 7, "tool", done("z")),
+        (3, 0, "assistant", one("z")),
+        *[(10 + k, 0, "assistant", one(f"k{k}", f"k{k + 1}")) for k in range(4)],
+        (None, 0, "assistant", one("x")), (None, 3, "tool", done("x")), (None, 5, "assistant", one("y", "x")),
+    ]
+    out = chat_format.format_calls(spark.createDataFrame(rows, TALK)).collect()
+    at = {(r["conv_id"], r["kind"], r["call_id"]): (r["linked"], r["order_turn"]) for r in out}
+    assert len(out) == len(rows)
+    assert at[1, "call", "x"] == (True, 0) and at[1, "result", "x"] == (True, 9) and at[1, "call", "y"] == (False, 10)
+    assert at[2, "call", "x"] == (False, 0) and at[2, "call", "y"] == (False, 1)
+    assert at[3, "call", "z"] == (False, 0) and at[2, "result", "z"] == (False, 7)
+    assert [at[10 + k, "call", f"k{k}"] for k in range(4)] == [(False, 0)] * 4
+    assert at[None, "call", "x"] == (False, 0) and at[None, "result", "x"] == (False, 3) and at[None, "call", "y"] == (False, 5)
+
+
 def test_nulls_repeats_and_empty(spark):
     rows = [(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, 1, "assistant", None), (1, None, "user", "x"), (None, 2, "assistant", "y"), (2, 0, None, None), (2, 1, "assistant", "")]
     df = spark.createDataFrame(rows, TALK).selectExpr("*", "'q' as kind", "'r' as call_id", "1 as phase")
