@@ -4,7 +4,9 @@ Strong kinds are reported wherever they stand: `assign` (a keyword with a value
 `access` (an access key id) and `hex` (16 digits or more). Weak kinds alone mean little: a login name or
 client id (`weak_id`), a short value or a bare long token (`weak_secret`), a service address (`endpoint`).
 They are joined by interval with the parts around them and reported only when a complementary part lies
-within SCOPE code points: identifiers and endpoints need a secret, a weak secret needs either of them.
+within SCOPE code points: identifiers and endpoints need a secret, a weak secret needs either of them. A bare
+token inside an address is part of it and no partner for an endpoint, its own or a neighbour's; an identifier
+still links with it.
 
 Positions come from splitting the text at a pattern and adding up the lengths of pieces and matches.
 Documents without a weak candidate are settled in their row. For the others, parts are dealt to scope bins
@@ -34,6 +36,11 @@ _SHORT_ACCESS = r"(?<![A-Z0-9])AKIA[A-Z0-9]{4,13}(?![A-Z0-9])"
 _BARE = r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/]{0,40}[0-9])[A-Za-z0-9+/]{32,}"
 _ENDPOINT = r"""(?i:https?|ftp|ssh|amqp|jdbc:[a-z]+|postgres|mysql|redis|mongodb)://[^\x00-\x20"'<>]+"""
 
+#: Inner rank of all bare tokens; those outside addresses have the rank of weak_secret too.
+_ANY_BARE = len(KINDS)
+#: Roles that complement each other.
+_PARTNERS = (("secret", "id"), ("secret", "endpoint"), ("bare", "id"))
+
 _BLOCK = 256
 _SPAN = "array<struct<start:long,rank:int,stop:long>>"
 _EMPTY = f"cast(array() as {_SPAN})"
@@ -93,7 +100,8 @@ def _weak(text: Column) -> Column:
         _positions(text, _LOGIN, 3),
         _positions(text, _SHORT_ACCESS, 3),
         _positions(text, _ASSIGN, 4, _short),
-        _positions(text, _BARE, 4),
+        _positions(text, _BARE, _ANY_BARE),
+        _positions(text, f"{_ENDPOINT}|{_BARE}", 4, lambda m: ~m.contains(":")),
         _positions(text, _ENDPOINT, 5),
     )
 
@@ -109,7 +117,7 @@ def _may_be_weak(text: Column) -> Column:
 def _linked(parts: DataFrame, scope: int) -> DataFrame:
     """The weak parts near a complementary part, as one array for each document key."""
     rows = parts.select("__key", F.explode("__all").alias("p")).select("__key", "p.start", "p.rank", "p.stop")
-    role = F.when(F.col("rank").isin(1, 3), "id").when(F.col("rank") == 5, "endpoint").otherwise("secret")
+    role = F.when(F.col("rank").isin(1, 3), "id").when(F.col("rank") == 5, "endpoint").when(F.col("rank") == _ANY_BARE, "bare").otherwise("secret")
     rows = rows.withColumn("role", role)
 
     def bins(lo: Column, hi: Column) -> Column:
@@ -122,9 +130,10 @@ def _linked(parts: DataFrame, scope: int) -> DataFrame:
         & (F.col("w.bin") == F.col("n.bin"))
         & (F.col("n.start") <= F.col("w.stop") + scope)
         & (F.col("w.start") <= F.col("n.stop") + scope)
-        & ((F.col("w.role") == "secret") != (F.col("n.role") == "secret"))
+        & F.concat_ws(" ", "w.role", "n.role").isin(*[f"{a} {b}" for x, y in _PARTNERS for a, b in ((x, y), (y, x))])
     )
-    found = weak.join(near, pair, "left_semi").select("__key", "start", "rank", "stop").distinct()
+    rank = F.when(F.col("rank") == _ANY_BARE, 4).otherwise(F.col("rank")).alias("rank")
+    found = weak.join(near, pair, "left_semi").select("__key", "start", rank, "stop").distinct()
     return found.groupBy("__key").agg(F.collect_list(F.struct("start", "rank", "stop")).alias("__weak"))
 
 

@@ -54,6 +54,19 @@ def test_weak_parts_need_a_partner(spark):
     assert [out[k] for k in (1, 2, 4, 6, 7, 8)] == [""] * 6
 
 
+def test_a_lone_address_is_no_credential(spark):
+    tube, news = "https://www.youtube.com/channel/UCabc123def456ghi789jklm0", "https://example.org/articles/2021/05/17/economy/markets"
+    rows = [(0, f"see {tube}"), (1, news), (2, f"{tube} and {news}, {news}"), (3, f"{news} {LONG}"), (4, f"user=alice {news}"), (5, "https://db.example/x?password=short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: r["spans"] for r in secret_scan.report(df).collect()}
+    assert (out[0], out[1], out[2]) == ("", "", "")
+    assert out[3] == f"endpoint:0:{len(news)},weak_secret:{len(news) + 1}:{len(news) + 1 + len(LONG)}"
+    assert out[4] == f"weak_id:0:10,weak_secret:27:{11 + len(news)}"
+    assert out[5] == "endpoint:0:35,weak_secret:21:35"
+    kept = {r["doc_id"]: r["text"] for r in secret_scan.redact(df).collect()}
+    assert [kept[k] for k in range(3)] == [text for _, text in rows[:3]]
+
+
 def test_redaction(spark):
     rows = [(0, "a token=abcdefghijkl b 0123456789abcdef c"), (1, "secret='0123456789abcdef' z"), (2, "clean"), (3, None), (4, f"user=alice {LONG}!")]
     df = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, n_chars long")
