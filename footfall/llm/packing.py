@@ -1,10 +1,10 @@
 """Packing into optimal length buckets.
 
 Lengths (bytes, the tokens of a byte-level model, unless another column is given) are counted in one global
-histogram. They are binned to 64 steps an octave, so the histogram has at most 64 * 63 rows whatever the
-lengths are; each row carries the count, the sum and the largest length, and a dynamic program over it picks
-the bucket boundaries with the least total padding. A bucket pads to its boundary; a batch takes
-`budget // boundary` documents, at least one.
+histogram of exact lengths, and a dynamic program over it picks the bucket boundaries with the least total
+padding, in time proportional to buckets times lengths. m different lengths add up to m * m / 2 at least, so
+30 GB of text have fewer than 250,000 and 1 TB fewer than 1.5 million. A bucket pads to its boundary; a batch
+takes `budget // boundary` documents, at least one.
 
 Documents of a bucket are numbered without a global sort: (bucket, shard) groups of about SHARD_ROWS rows
 are counted, a running sum over those counts gives each its offset, and rows are numbered inside their
@@ -17,9 +17,10 @@ columns of the input pass through `pack`, but for those named like its own outpu
 
 from __future__ import annotations
 
+import itertools
 import math
+from collections import deque
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -47,19 +48,28 @@ def boundaries(bins: list[tuple[int, int, int]], buckets: int) -> tuple[list[int
     """Upper ends with the least padding. bins: (largest length, documents, sum of lengths), ascending."""
     if not bins:
         return [], 0
-    top = np.array([b[0] for b in bins], float)
-    n = np.r_[0.0, np.cumsum([b[1] for b in bins])]
-    total = np.r_[0.0, np.cumsum([b[2] for b in bins])]
     m = len(bins)
-    best = np.full(m + 1, np.inf)
-    best[0] = 0
+    n = [0, *itertools.accumulate(b[1] for b in bins)]
+    total = [0, *itertools.accumulate(b[2] for b in bins)]
+    best: list[float] = [0, *[math.inf] * m]
     back = []
     for _ in range(min(buckets, m)):
-        new, at = np.full(m + 1, np.inf), np.zeros(m + 1, int)
+        new, at = [math.inf] * (m + 1), [0] * (m + 1)
+        # A bucket that begins after i is a line over its boundary, with slope -n[i]: slopes fall and boundaries
+        # rise, so only the lower hull of the lines is kept, and it is left from the front.
+        hull: deque[tuple[int, int, int]] = deque()
         for j in range(1, m + 1):
-            cost = best[:j] + top[j - 1] * (n[j] - n[:j]) - (total[j] - total[:j])
-            at[j] = int(cost.argmin())
-            new[j] = cost[at[j]]
+            top, i = bins[j - 1][0], j - 1
+            if best[i] < math.inf:
+                line = (n[i], best[i] + total[i], i)
+                while len(hull) > 1 and (line[1] - hull[-2][1]) * (hull[-1][0] - hull[-2][0]) <= (hull[-1][1] - hull[-2][1]) * (line[0] - hull[-2][0]):
+                    hull.pop()
+                hull.append(line)
+            while len(hull) > 1 and hull[1][1] - top * hull[1][0] <= hull[0][1] - top * hull[0][0]:
+                hull.popleft()
+            if hull:
+                slope, least, at[j] = hull[0]
+                new[j] = least - top * slope + top * n[j] - total[j]
         back.append(at)
         best = new
         if best[m] == 0:
@@ -71,11 +81,11 @@ def boundaries(bins: list[tuple[int, int, int]], buckets: int) -> tuple[list[int
     return sorted(ends), int(best[m])
 
 
-def _bucket_of(value: Column, ends: list[tuple[int, int]]) -> Column:
-    """The boundary of the first pair (limit, boundary) that the value does not exceed."""
-    place = F.lit(ends[-1][1]) if ends else F.lit(0)
-    for limit, end in reversed(ends[:-1]):
-        place = F.when(value <= limit, F.lit(end)).otherwise(place)
+def _bucket_of(value: Column, ends: list[int]) -> Column:
+    """The first boundary that the value does not exceed."""
+    place = F.lit(ends[-1]) if ends else F.lit(0)
+    for end in reversed(ends[:-1]):
+        place = F.when(value <= end, F.lit(end)).otherwise(place)
     return place.cast("long")
 
 
@@ -85,17 +95,15 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, length:
     docs = docs.drop("n_tokens", "bucket_len", "batch", "slot")
     shards = 1 + docs.count() // SHARD_ROWS
     sized = docs.withColumn("n_tokens", byte_tokens(F.col("text")) if length is None else length.cast("long"))
-    keyed = sized.withColumn("__bin", length_bin(F.col("n_tokens"))).withColumn("__shard", F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(shards)))
-    counts = keyed.groupBy("__bin", "__shard").agg(F.max("n_tokens").alias("top"), F.count("*").alias("n"), F.sum("n_tokens").alias("total"))
-    histogram = counts.groupBy("__bin").agg(F.max("top").alias("top"), F.sum("n").alias("n"), F.sum("total").alias("total")).collect()
-    tops = {r["top"]: r["__bin"] for r in histogram}
-    ends = boundaries(sorted((r["top"], r["n"], r["total"]) for r in histogram), buckets)[0]
-    bucket = _bucket_of(F.col("__bin"), [(tops[end], end) for end in ends])
-    sizes = counts.groupBy(bucket.alias("bucket_len"), "__shard").agg(F.sum("n").alias("__n"))
+    histogram = sized.groupBy("n_tokens").agg(F.count("*").alias("n")).collect()
+    ends = boundaries(sorted((r["n_tokens"], r["n"], r["n_tokens"] * r["n"]) for r in histogram), buckets)[0]
+    shard = F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(shards))
+    keyed = sized.withColumn("bucket_len", _bucket_of(F.col("n_tokens"), ends)).withColumn("__shard", shard)
+    sizes = keyed.groupBy("bucket_len", "__shard").agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.partitionBy("bucket_len").orderBy("__shard").rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select("bucket_len", "__shard", F.coalesce(before, F.lit(0)).alias("__before"))
     inside = F.row_number().over(Window.partitionBy("bucket_len", "__shard").orderBy("doc_id", "n_tokens")) - 1
-    numbered = keyed.withColumn("bucket_len", bucket).withColumn("__at", inside).join(offsets, ["bucket_len", "__shard"])
+    numbered = keyed.withColumn("__at", inside).join(offsets, ["bucket_len", "__shard"])
     room = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(F.col("bucket_len"), F.lit(1))))
     at = F.col("__at") + F.col("__before")
     return numbered.withColumn("batch", F.floor(at / room)).withColumn("slot", F.pmod(at, room).cast("long")).select(

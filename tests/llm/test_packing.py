@@ -25,6 +25,17 @@ def test_boundaries_have_the_least_padding(seed):
         assert cost == best == padding(lengths, ends) and len(ends) <= buckets
 
 
+def test_long_lengths_have_the_least_padding(spark):
+    """Lengths that differ by less than a 64th are kept apart."""
+    out = packing.report(spark.createDataFrame(enumerate(["x" * n for n in [1024] * 10 + [1030] + [2000] * 10]), "doc_id long, text string"), buckets=3).collect()
+    assert {r["bucket_len"] for r in out} == {1024, 1030, 2000} and all(r["bucket_len"] == r["n_tokens"] for r in out)
+    pick = random.Random(7)
+    lengths = [pick.randint(1000, 1060) if pick.random() < 0.7 else pick.randint(1, 5000) for _ in range(60)]
+    out = packing.report(spark.createDataFrame(enumerate("x" * n for n in lengths), "doc_id long, text string"), buckets=3).collect()
+    sizes = sorted(set(lengths))
+    assert sum(r["bucket_len"] - r["n_tokens"] for r in out) == min(padding(lengths, [*c, sizes[-1]]) for c in itertools.combinations(sizes[:-1], 2))
+
+
 def test_bins_keep_order_and_are_few(spark):
     df = spark.range(1, 200_000).select("id", packing.length_bin(F.col("id")).alias("bin"))
     assert df.where("bin > id").count() == 0 and df.where("id < 128 and bin <> id").count() == 0
