@@ -6,7 +6,8 @@ LANGUAGES, so that a table of log-probabilities never exceeds LANGUAGES * BUCKET
 more languages, documents pass one table after the other without a shuffle, keeping the best so far.
 
 ASCII letters are folded to lower case, other ASCII characters count as blanks, so digits and marks tell
-nothing. The score is the posterior probability, tempered by the square root of the number of n-grams.
+nothing. The prior of a language is its share of the training documents. The score is the posterior
+probability, tempered by the square root of the number of n-grams.
 
 Defined results: `und` with score 0 for null texts, texts without a letter, or when nothing can be
 learned; ties go to the language that sorts first; repeated rows are judged alike; null ids are never
@@ -73,10 +74,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _training(docs: DataFrame) -> DataFrame:
+    return docs.where("lang is not null and text is not null").where(~held_out(F.col("doc_id"))).select("text", "lang")
+
+
 def tables(docs: DataFrame) -> Iterator[tuple[list[str], np.ndarray]]:
     """Languages in order, and log-probabilities (bucket by language), group by group."""
-    learn = docs.where("lang is not null and text is not null").where(~held_out(F.col("doc_id"))).select("text", "lang")
-    counts = learn.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counts = _training(docs).mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     pack = counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells"))  # at most BUCKETS a language
     group: list[tuple[str, np.ndarray]] = []
     for row in pack.orderBy("lang").toLocalIterator():
@@ -91,11 +95,17 @@ def tables(docs: DataFrame) -> Iterator[tuple[list[str], np.ndarray]]:
         yield [x[0] for x in group], np.stack([x[1] for x in group], 1)
 
 
+def priors(docs: DataFrame) -> dict[str, float]:
+    """The logarithm of each language's number of training documents; its share up to a constant."""
+    counts = _training(docs).groupBy("lang").agg(F.count("*").alias("n"))
+    return {row["lang"]: float(np.log(row["n"])) for row in counts.toLocalIterator()}
+
+
 def _judge(shared, first: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Carries the best language, its log-likelihood and the sum of all likelihoods from table to table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, logs = shared.value
+        names, logs, prior = shared.value
         for batch in batches:
             n = len(batch)
             best, most, total = np.full(n, None, object), np.full(n, -np.inf), np.full(n, -np.inf)
@@ -103,7 +113,7 @@ def _judge(shared, first: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator
                 best = np.array(batch.column(2).to_pylist(), object)
                 most, total = (batch.column(k).to_numpy(zero_copy_only=False).copy() for k in (3, 4))
             for part in slices(batch.column(1)):
-                size, sums = np.zeros(len(part)), np.zeros((len(part), len(names)))
+                size, sums = np.zeros(len(part)), np.tile(prior, (len(part), 1))
                 for ids, rows in _ngrams(part):
                     size += np.bincount(rows, minlength=len(part))
                     for k in range(len(names)):
@@ -130,7 +140,9 @@ def predict(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     out, first = docs.select("doc_id", "text"), True
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema)
-    for table in tables(docs):
+    prior = priors(docs)
+    for names, logs in tables(docs):
+        table = (names, logs, np.array([prior[name] for name in names]))
         out = out.mapInArrow(_judge(spark.sparkContext.broadcast(table), first), f"{fields}, lang_pred string, best double, total double")
         first = False
     known = F.lit(False) if first else F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))

@@ -47,6 +47,13 @@ def test_counts_are_those_of_all_training_text(given):
         assert np.allclose(logs[:, k], np.log(total / total.sum()), atol=1e-5)
 
 
+def test_a_text_without_ngrams_gets_the_most_frequent_language(spark):
+    rows = [(k, "der die das und" if k % 4 else "the of and to", "de" if k % 4 else "aa") for k in range(200)] + [(200, "x", None)]
+    out = {r["doc_id"]: r for r in language.predict(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert out[200]["lang_pred"] == "de" and 0.6 < out[200]["score"] < 0.9
+    assert all(out[d]["lang_pred"] == lang for d, _, lang in rows[:200])
+
+
 def test_odd_repeated_and_empty(odd, repeated, empty, odd_rows):
     out = {r["doc_id"]: r for r in language.predict(odd).collect()}
     assert len(out) == len(odd_rows)
