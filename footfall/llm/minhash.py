@@ -297,24 +297,26 @@ def groups(docs: DataFrame) -> DataFrame:
     labels = components(links)
     labelled = nodes.join(labels, "node", "left").select("set_id", "doc", F.coalesce("label", "node").alias("label"))
     least = labelled.groupBy("label").agg(F.min("doc").alias("component"))
-    by_set = labelled.join(least, "label").select("set_id", "component")
+    by_set = labelled.join(least, "label").select("set_id", "component", "label")
     out = described.join(by_set, "set_id", "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "text_id").withColumn(
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "text_id", "label").withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
 
 def report(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept."""
-    return groups(docs).drop("text_id")
+    return groups(docs).drop("text_id", "label")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group of near copies: its smallest id. Rows that repeat both id and text become one;
-    documents without words stay. Columns as given."""
-    found = groups(docs)
-    keep = found.where("kept and n_shingles > 0").select(F.col("doc_id").alias("__id"), F.col("text_id").alias("__digest")).distinct()
+    """One document of each group of near copies: its smallest id, nulls last, and of texts that share it the one
+    with the smallest digest. Rows that repeat both id and text become one; documents without words stay. Columns
+    as given."""
+    found = groups(docs).where("n_shingles > 0")
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id")).alias("one")
+    keep = found.groupBy("label").agg(one).select(F.col("one.doc_id").alias("__id"), F.col("one.text_id").alias("__digest"))
     text_id = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
     wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     some = docs.where(~wordless).withColumn("__text_id", text_id)

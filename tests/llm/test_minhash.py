@@ -75,6 +75,13 @@ def test_keep_one(odd, repeated, odd_rows, docs, rows):
     assert sum(r["text"] is None for r in some) == 2  # without words: kept as they come
 
 
+def test_keep_one_of_copies_without_an_id_of_their_own(spark):
+    near = lambda name, n: [f"{' '.join(f'{name}{k}' for k in range(60))} end{j}" for j in range(n)]
+    rows = [(None, t) for t in near("a", 3)] + [(5, t) for t in near("b", 3)] + [(None, t) for t in near("c", 2)] + [(9, near("c", 3)[2])] + [(5, "five other words stand here alone")]
+    out = [tuple(r) for r in minhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted((d is None, d or 0, t[0]) for d, t in out) == [(False, 5, "b"), (False, 5, "f"), (False, 9, "c"), (True, 0, "a")]
+
+
 def test_null_ids(repeated):
     out = minhash.report(repeated).collect()
     nulls = [r for r in out if r["doc_id"] is None and r["n_shingles"] > 1]
