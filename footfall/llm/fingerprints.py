@@ -12,7 +12,9 @@ meets its successor without a global sort or a second shuffle.
 
 `near_pairs` joins whole collections: documents with equal sets are one class; classes are partitioned by set
 length, so that a pair can only meet inside a length band or its neighbour, and joined on the rarest signatures
-of their sets (a pair at the threshold shares one of them, and early); what is left is confirmed by Jaccard.
+of their sets (a pair at the threshold shares one of them, and early); what is left is confirmed by Jaccard. A
+signature's list of more than LIST_ROWS classes is cut into blocks, and each two blocks meet on their own. The
+op5 query does not use it: `with_next` compares given pairs by plain Jaccard, without a threshold.
 
 Defined results: a text with few chains is fingerprinted by its words, too, one without words by its bytes, so
 equal texts always have equal fingerprints and likeness 1; null counts as empty; null ids come first,
@@ -36,6 +38,8 @@ CHAIN = 3
 #: Texts with fewer signatures carry their words as signatures, too.
 FEW = 8
 THRESHOLD = 0.75
+#: Classes of one signature's list that meet in a block.
+LIST_ROWS = 1000
 
 # Common words of English, German, French and Spanish.
 ANCHORS = (
@@ -178,23 +182,31 @@ def classes(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(_sets, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, class binary, signatures array<long>")
 
 
-def near_pairs(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs of classes (a, b, likeness) at or above the threshold, each once. members: what `classes` returns."""
+def _sides(members: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join of `near_pairs`, dealt by signature, band and the blocks i (left) and j (right)."""
     one = members.groupBy("class").agg(F.first("signatures").alias("set")).withColumn("n", F.size("set"))
     rows = one.select("class", "n", F.explode("set").alias("s"))
     often = rows.groupBy("s").agg(F.count("*").alias("f"))
     ranked = rows.join(often, "s").groupBy("class", "n").agg(F.array_sort(F.collect_list(F.struct("f", "s"))).alias("ranked"))
     rare = F.slice("ranked", F.lit(1), (F.col("n") - F.ceil(F.col("n") * threshold) + 1).cast("int"))["s"]
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(1 / threshold)))
-    listed = ranked.select("class", "n", band.alias("band"), F.posexplode(rare).alias("at", "s")).join(often.where("f > 1").select("s"), "s")
-    left = listed.select("s", "band", F.col("class").alias("a"), F.col("n").alias("na"), F.col("at").alias("ata"))
-    right = listed.select("s", F.explode(F.array(F.col("band") - 1, F.col("band"))).alias("band"), F.col("class").alias("b"), F.col("n").alias("nb"), F.col("at").alias("atb"))
+    listed = ranked.select("class", "n", band.alias("band"), F.posexplode(rare).alias("at", "s")).join(often.where("f > 1"), "s")
+    listed = listed.withColumn("blocks", F.ceil(F.col("f") / LIST_ROWS))
+    mine, others = F.pmod(F.xxhash64("class"), F.col("blocks")), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    left = listed.select("s", "band", mine.alias("i"), others.alias("j"), F.col("class").alias("a"), F.col("n").alias("na"), F.col("at").alias("ata"))
+    right = listed.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"))))
+    return left, right.select("s", "band", others.alias("i"), mine.alias("j"), F.col("class").alias("b"), F.col("n").alias("nb"), F.col("at").alias("atb"))
+
+
+def near_pairs(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs of classes (a, b, likeness) at or above the threshold, each once. members: what `classes` returns."""
+    left, right = _sides(members, threshold)
     common = F.ceil((F.col("na") + F.col("nb")) * threshold / (1 + threshold))
     early = (F.col("ata") <= F.col("na") - common) & (F.col("atb") <= F.col("nb") - common)
     # Shorter sets are on the left, of equal length the smaller digest.
     ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    pairs = left.join(right, ["s", "band"]).where(ordered & early).select("a", "b").distinct()
-    sets = one.select("class", "set")
+    pairs = left.join(right, ["s", "band", "i", "j"]).where(ordered & early).select("a", "b").distinct()
+    sets = members.groupBy("class").agg(F.first("signatures").alias("set"))
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     like = shared / (F.size("sa") + F.size("sb") - shared)

@@ -74,3 +74,14 @@ def test_near_pairs_are_all_pairs(docs, odd):
                     want.add(frozenset((a, b)))
         out = fingerprints.near_pairs(members).collect()
         assert {frozenset((bytes(r["a"]), bytes(r["b"]))) for r in out} == want and len(out) == len(want)
+
+
+def test_lists_of_a_common_signature_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "LIST_ROWS", 10)
+    sets = [sorted({7, 100 + k // 2, *([500 + k] if k % 2 else [])}) for k in range(200)] + [[7]]
+    members = spark.createDataFrame([(k, bytes([k]), s) for k, s in enumerate(sets)], "doc_id long, class binary, signatures array<long>")
+    for side in fingerprints._sides(members, 0.6):
+        assert max(r["count"] for r in side.where("s = 7").groupBy("s", "band", "i", "j").count().collect()) < 60
+    out = fingerprints.near_pairs(members, 0.6).collect()
+    want = {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j and len({*a} & {*b}) >= 0.6 * len({*a} | {*b})}
+    assert {tuple(sorted((r["a"][0], r["b"][0]))) for r in out} == want and len(out) == len(want) == 100
