@@ -31,7 +31,7 @@ def test_entry(spark):
     assert rows and rows[0].asDict().keys() == {"metric_time__week", "d7_retention_rate", "d7_eligible_users"}
 
 
-KINDS = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date", "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean"}
+KINDS = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date", "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean"}
 
 
 @pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
