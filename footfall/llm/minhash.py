@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from footfall.llm.tables import stored
+from footfall.llm.tables import stored, stored_alone
 from footfall.llm.text import NOT_SPACE, Slice, find_words, grams, mix, slices
 
 SHINGLE = 5
@@ -148,7 +148,11 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node and label, the smallest node it reaches, for the nodes of edges (a, b)."""
+    """node and label, the smallest node it reaches, for the nodes of edges (a, b), as a stored table."""
+    return stored_alone(edges.sparkSession, lambda: _labels(edges), "components")
+
+
+def _labels(edges: DataFrame) -> DataFrame:
     both = stored(edges.union(edges.select("b", "a")).toDF("a", "b"), "edges")
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")), "labels")
     while True:
@@ -274,6 +278,18 @@ def _links(members: DataFrame, texts: DataFrame) -> DataFrame:
     return links.unionByName(_open_links(rest, hubs, texts))
 
 
+def _node_labels(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and label for the nodes that are linked with others. nodes: node, n, one of its documents, bands."""
+    keyed = nodes.select("node", "n", F.explode("bands").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
+    members = stored(keyed.join(shared, "key"), "members")
+    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "one.doc_id", "one.text_id")
+    keys = docs.withColumn("__text_id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+    same = F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("t.__text_id") == F.col("w.text_id"))
+    texts = keys.alias("t").join(wanted.alias("w"), same).select("node", "text").dropDuplicates(["node"])
+    return components(_links(members, stored(texts, "texts")))
+
+
 def groups(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept. Also `text_id`, a digest of the text (empty without words)."""
     docs = docs.select("doc_id", "text")
@@ -285,16 +301,7 @@ def groups(docs: DataFrame) -> DataFrame:
     own = own.agg(F.min(F.struct("doc_id", "text_id")).alias("one"), F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     nodes = stored(own.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    keyed = nodes.select("node", "n", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    members = stored(keyed.join(shared, "key"), "members")
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "one.doc_id", "one.text_id")
-    keys = docs.withColumn("__text_id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
-    same = F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("t.__text_id") == F.col("w.text_id"))
-    texts = keys.alias("t").join(wanted.alias("w"), same).select("node", "text").dropDuplicates(["node"])
-    links = _links(members, stored(texts, "texts"))
-
-    labels = components(links)
+    labels = stored_alone(docs.sparkSession, lambda: _node_labels(docs, nodes), "labels")
     labelled = nodes.join(labels, "node", "left").select("set_id", "doc", F.coalesce("label", "node").alias("label"))
     least = labelled.groupBy("label").agg(F.min("doc").alias("component"))
     by_set = labelled.join(least, "label").select("set_id", "component", "label")

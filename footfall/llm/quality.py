@@ -52,8 +52,8 @@ def features(part: Slice) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     yield (h >> _SHIFT).astype(np.int32), rows
     for gap in (1, 2, 3):  # a word that comes back is a feature of its own, whatever the word
         if len(h) > gap:
-            again = (h[gap:] == h[:-gap]) & (rows[gap:] == rows[:-gap])
-            yield np.where(again, gap, 8 + gap).astype(np.int32), rows[gap:]
+            inside = rows[gap:] == rows[:-gap]
+            yield np.where(h[gap:] == h[:-gap], gap, 8 + gap).astype(np.int32)[inside], rows[gap:][inside]
     rows = np.repeat(np.arange(len(part), dtype=np.int32), lengths)
     codes = BYTE_CODES[part.data]
     for n in (3, 4):
@@ -133,9 +133,11 @@ def _fit_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model of the labelled documents whose ids are not held out, at most `sample` of them. One task learns
-    from the features of the sample; only the model comes to the driver."""
+    """A model of the labelled documents whose ids are not held out, at most `sample` of them: the bound cuts the
+    labels of rows that `docs` has. One task learns from the features of the sample; only the model comes to the
+    driver."""
     usable = labels.where(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1))
+    usable = usable.join(docs.select("doc_id"), "doc_id", "left_semi")
     chosen = usable.select("doc_id", F.col("quality").cast("int").alias("__label")).orderBy(F.xxhash64("doc_id"), "doc_id", "__label")
     chosen = chosen.limit(sample)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "__label")

@@ -72,12 +72,17 @@ def _positions(text: Column, pattern: str, rank: int, keep=None) -> Column:
         )
         return F.struct((acc["at"] + block["at"]).alias("at"), F.concat(acc["out"], moved).alias("out"))
 
-    # Blocks keep the cost of appending near linear in the number of matches.
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(matches)) / _BLOCK).cast("int")),
-        lambda b: F.aggregate(F.slice(sizes, b * _BLOCK + 1, _BLOCK), start, step),
-    )
-    return F.when(text.rlike(pattern), F.aggregate(blocks, start, shift)["out"]).otherwise(F.expr(_EMPTY))
+    def spans(all_sizes: Column) -> Column:
+        # Blocks keep the cost of appending near linear in the number of matches.
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(all_sizes) - 1) / _BLOCK).cast("int")),
+            lambda b: F.aggregate(F.slice(all_sizes, b * _BLOCK + 1, _BLOCK), start, step),
+        )
+        return F.aggregate(blocks, start, shift)["out"]
+
+    # Within the lambda the sizes are a variable: the text is split and matched once, not once for each block.
+    once = F.transform(F.array(sizes), spans)[0]
+    return F.when(text.rlike(pattern), once).otherwise(F.expr(_EMPTY))
 
 
 def _strong(text: Column) -> list[Column]:
@@ -137,6 +142,12 @@ def _linked(parts: DataFrame, scope: int) -> DataFrame:
     return found.groupBy("__key").agg(F.collect_list(F.struct("start", "rank", "stop")).alias("__weak"))
 
 
+def _marked(id_: Column) -> Column:
+    """The id with its length before it, so that no other id and text together read alike; a dash for null."""
+    text = id_.cast("string")
+    return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
 def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """The rows of docs with `__base` (strong spans) and `__spans` (those and linked weak ones), in order."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -147,7 +158,7 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
         return rows.select("*", *_strong(text)).select(*columns, strong.alias("__base"), *rows.columns[len(columns) :])
 
     plain = with_strong(docs.where(~_may_be_weak(text))).withColumn("__spans", F.col("__base"))
-    open_ = docs.where(_may_be_weak(text)).withColumn("__key", F.sha2(F.concat_ws(":", F.col("doc_id").cast("string"), text), 256))
+    open_ = docs.where(_may_be_weak(text)).withColumn("__key", F.sha2(F.concat(_marked(F.col("doc_id")), text), 256))
     parts = with_strong(open_.select(*columns, "__key")).withColumn("__all", F.concat("__base", _weak(text)))
     links = _linked(parts.select("__key", "__all").dropDuplicates(["__key"]), scope)
     joined = parts.drop("__all").join(links, "__key", "left")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,8 +43,34 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: Folders of the tables that `stored` has written and nobody has dropped, oldest first.
+_live: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows as a written table in the shared folder: computed once, without lineage, safe when executors go."""
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
+    _live.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_alone(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """`make()` as a stored table. The tables that were stored on the way are deleted as soon as it is written."""
+    first = len(_live)
+    out = stored(make(), name)
+    for path in _live[first:-1]:
+        delete(spark, path)
+    del _live[first:-1]
+    return out
+
+
+def drop_stored(spark: SparkSession, first: int = 0) -> None:
+    """Delete the stored tables from the `first` on: for callers that have written all that reads them."""
+    for path in _live[first:]:
+        delete(spark, path)
+    del _live[first:]
+
+
+def count_stored() -> int:
+    return len(_live)

@@ -93,12 +93,22 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
         first = last
 
 
-_powers: list[np.ndarray] = []
+class _Kept:
+    """Arrays that a process keeps for itself: a pickled copy, as task functions carry it, is empty."""
+
+    def __init__(self) -> None:
+        self.arrays: list[np.ndarray] = []
+
+    def __reduce__(self) -> tuple:
+        return _Kept, ()
+
+
+_powers = _Kept()
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the hash base and of its inverse, modulo 2^64."""
-    if not _powers or len(_powers[0]) < n:
+    if not _powers.arrays or len(_powers.arrays[0]) < n:
         size = max(n, SLICE_BYTES * 2)
         made = []
         for base in (_BASE, _INVERSE):
@@ -107,8 +117,8 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             made.append(np.cumprod(steps, dtype=np.uint64))
         if size > SLICE_BYTES * 4:  # of one very long text: not kept
             return made[0], made[1]
-        _powers[:] = made
-    return _powers[0], _powers[1]
+        _powers.arrays = made
+    return _powers.arrays[0], _powers.arrays[1]
 
 
 class Hasher:

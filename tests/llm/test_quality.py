@@ -56,3 +56,34 @@ def test_keep_good(spark, labels, scored):
     kept = quality.keep_good(docs, labels)
     assert kept.schema == docs.schema
     assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in scored if r["predicted"]}
+
+
+def test_the_bound_cuts_labels_of_present_documents(spark, labels, monkeypatch):
+    """A hundred labels for each document that is there: the sample is still full."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    strange = spark.range(10**6, 10**6 + 100 * docs.count()).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    plain = quality.train(docs, labels.select("doc_id", "quality"), 200)
+    assert quality.train(docs, labels.select("doc_id", "quality").unionByName(strange), 200).weights.tobytes() == plain.weights.tobytes()
+
+
+def test_scores_by_hand(spark, labels):
+    """Every score again from the learned table, document by document."""
+    import math
+
+    import pyarrow as pa
+
+    from footfall.llm.text import slices
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality.train(docs, labels)
+    got = {r["doc_id"]: r["__score"] for r in quality.add_score(docs, model).collect()}
+    for r in docs.collect():
+        total, n = 0.0, 0
+        for part in slices(pa.array([r["text"]], pa.string())):
+            for ids, _ in quality.features(part):
+                total += sum(float(model.weights[i]) for i in ids.tolist())
+                n += len(ids)
+        want = 1 / (1 + math.exp(-(total / max(n, 1) + model.bias)))
+        assert abs(got[r["doc_id"]] - want) < 1e-6
