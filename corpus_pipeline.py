@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from footfall.llm import decontaminate, minhash, packing, quality, secret_scan
-from footfall.llm.tables import shared_folder, table
+from footfall.llm.tables import count_stored, delete, drop_stored, shared_folder, table
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +50,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each stage's rows are a written table before the next reads them."""
+    """All stages over documents; each stage's rows are a written table before the next reads them, and then what
+    the stage stored on the way and its predecessor's rows go."""
     docs, folder = table(spark, sf_dir, "documents"), shared_folder(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES):
+        before = count_stored()
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        drop_stored(spark, before)
+        if k:
+            delete(spark, f"{folder}/{k - 1}")
     return docs
