@@ -13,6 +13,7 @@ from footfall.llm import (
     language,
     minhash,
     packing,
+    prefix_trie,
     quality,
     secret_scan,
     suffix_dedup,
@@ -61,6 +62,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.format_calls(table(spark, sf_dir, "conversations"))
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_suffix_array_dedup,
@@ -73,5 +78,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_minhash_near_dedup,
         op9_language_id,
         op10_chat_formatting,
+        op13_conversation_prefix_trie,
     ]
     return {f.__name__: f for f in named}
