@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from footfall.llm import (
     chat_format,
+    collocations,
     decontaminate,
     fingerprints,
     language,
@@ -62,6 +63,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.format_calls(table(spark, sf_dir, "conversations"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.report(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.report(table(spark, sf_dir, "conversations"))
 
@@ -78,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_minhash_near_dedup,
         op9_language_id,
         op10_chat_formatting,
+        op11_phrase_collocations,
         op13_conversation_prefix_trie,
     ]
     return {f.__name__: f for f in named}
