@@ -19,6 +19,7 @@ from footfall.llm import (
     secret_scan,
     suffix_dedup,
     token_counts,
+    vector_links,
 )
 from footfall.llm.tables import table
 
@@ -67,6 +68,10 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.report(table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.links(table(spark, sf_dir, "embeddings"))
+
+
 def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.report(table(spark, sf_dir, "conversations"))
 
@@ -84,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_language_id,
         op10_chat_formatting,
         op11_phrase_collocations,
+        op12_embedding_near_dedup,
         op13_conversation_prefix_trie,
     ]
     return {f.__name__: f for f in named}
