@@ -32,6 +32,7 @@ from footfall.plans.star_schema import star_layer
 from footfall.sources.driver_tables import W1, W2, raw_events
 from footfall.sources.readers import time_spine
 from footfall.sources.writers import delete_at_end
+from footfall.streaming.sessions import sessions_of_slices
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -151,11 +152,20 @@ def _score_by_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """A new folder that all executors see, deleted when the application ends."""
+    home = spark.conf.get("spark.sql.warehouse.dir")
+    return shared_folder(spark) or delete_at_end(spark, f"{home}/footfall-{uuid.uuid4().hex}")
+
+
+def _streamed(m: Marts) -> DataFrame:
+    """Sessions by the inactivity rule from a stream over all events."""
+    return sessions_of_slices(m.spark, m["stg_events"], _own_folder(m.spark), HALF_HOUR)
+
+
 def _partitioned(m: Marts) -> DataFrame:
     """Staged events written by day, a range of days read back."""
-    home = m.spark.conf.get("spark.sql.warehouse.dir")
-    folder = shared_folder(m.spark) or delete_at_end(m.spark, f"{home}/footfall-{uuid.uuid4().hex}")
-    staged = TableFolder(m.spark, folder, m.cfg).keep("stg_events", staging.stage_events(m.raw))
+    staged = TableFolder(m.spark, _own_folder(m.spark), m.cfg).keep("stg_events", staging.stage_events(m.raw))
     days = staged.where(F.col("event_date").between("2024-01-08", "2024-01-14"))
     return days.groupBy("event_date", "event_name").agg(F.count("*").alias("n_events"))
 
@@ -231,6 +241,8 @@ def queries(first: EngineConfig = W1, second: EngineConfig = W2) -> dict[str, Qu
             m.spark, date(2023, 12, 25), date(2024, 1, 15))).query("sessions,revenue", group_by="metric_time", fill_spine=True)),
         "j15_fill_null_day": on(lambda m: metric_layer(m).query(
             "feature_adopters_7d,adoption_base_users", group_by="metric_time", fill_spine=True), W2),
+        # streaming
+        "t01_stream_sessions": on(_streamed, ALL),
         # reports
         "r01_kpi": on(reports.kpi_row),
         "r02_weekly_cohorts": on(reports.weekly_cohorts, W2),

@@ -148,6 +148,7 @@ FROM flat GROUP BY 1""",
         "c02_gap_half_hour": with_tables(
             HALF_HOUR, "SELECT session_key, inactivity_gaps, is_split_by_inactivity_rule FROM int_sessions"),
         "c03_gap_sessions": _gap_sessions(ALL),
+        "t01_stream_sessions": f"SELECT * EXCLUDE (gap_session_number) FROM ({_gap_sessions(HALF_HOUR)}) WHERE user_pseudo_id IS NOT NULL",
         "c03_gap_sessions_half_hour": _gap_sessions(HALF_HOUR),
         "c03_gap_session_events": f"WITH {stg_events(HALF_HOUR)},{_gap_events(HALF_HOUR)}\n"
         "SELECT event_key, user_pseudo_id, gap_session_number FROM numbered",
