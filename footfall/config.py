@@ -14,7 +14,11 @@ ADOPTION_WINDOW_DAYS = 7
 
 @dataclass(frozen=True)
 class EngineConfig:
-    """Observation window and the thresholds the metrics depend on."""
+    """Observation window and the thresholds the metrics depend on.
+
+    With ``every_row`` the scan has no window: rows of any day and rows without one are read. The bounds then only
+    say what is censored or open.
+    """
 
     window_start: date = date(2020, 11, 1)
     window_end: date = date(2021, 1, 31)
@@ -23,6 +27,7 @@ class EngineConfig:
     engaged_min_seconds: int = 10
     engaged_min_page_views: int = 2
     enable_partitioning: bool = True
+    every_row: bool = False
     funnel_steps: tuple[str, ...] = FUNNEL_STEPS
 
     @property

@@ -38,7 +38,7 @@ def opens_after_gap(keys: Sequence[str], cfg: EngineConfig) -> Column:
 
 def _user_blocks(events: DataFrame, cfg: EngineConfig) -> DataFrame:
     blocks = (
-        events.where(F.col("user_pseudo_id").isNotNull())
+        events.where(F.col("user_pseudo_id").isNotNull() & F.col("event_at").isNotNull())
         .groupBy("user_pseudo_id", block_of(F.col("event_at"), cfg).alias("block"))
         .agg(
             F.min("event_at").alias("first_at"),
@@ -56,7 +56,7 @@ def _user_blocks(events: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 
 def gap_sessions(events: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Sessions by the inactivity rule alone, one row per session."""
+    """Sessions by the inactivity rule alone, one row per session; events without a time or user are in none."""
     return (
         _user_blocks(events, cfg)
         .groupBy("user_pseudo_id", "gap_session_number")
@@ -69,7 +69,7 @@ def gap_sessions(events: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 
 def assign_gap_sessions(events: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """C03 on events: adds ``gap_session_number``; NULL for events without a user.
+    """C03 on events: adds ``gap_session_number``; NULL for events without a user or a time.
 
     The lookup is keyed by user *and* block, so one busy user is spread over
     as many keys as that user has blocks; events without a user are spread by

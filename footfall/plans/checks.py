@@ -11,7 +11,8 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.config import FUNNEL_STEPS
@@ -170,16 +171,51 @@ def _result(check: Check, failures: Column) -> Column:
     )
 
 
+def _with_non_empty(name: str, checks: Iterable[Check]) -> list[Check]:
+    """The checks of a table that look at one row at a time, and the one that there is a row."""
+    own = [c for c in checks if c.table == name and c.kind not in ("unique", "relationships", "non_empty")]
+    return [*own, Check("Q98", name, None, "non_empty")]
+
+
+def _row_counts(checks: list[Check]) -> list[Column]:
+    return [
+        (F.when(F.count("*") == 0, 1).otherwise(0) if c.kind == "non_empty" else F.count_if(_offends(c))).cast("bigint").alias(f"f{i}")
+        for i, c in enumerate(checks)
+    ]
+
+
 def _row_rules(table: DataFrame, checks: list[Check]) -> DataFrame:
     """K01, K03, K05, K06, K07 of one table in one aggregate."""
-    counts = table.agg(
-        *[
-            (F.when(F.count("*") == 0, 1).otherwise(0) if c.kind == "non_empty" else F.count_if(_offends(c))).alias(f"f{i}")
-            for i, c in enumerate(checks)
-        ]
-    )
     results = F.array(*[_result(c, F.col(f"f{i}")) for i, c in enumerate(checks)])
-    return counts.select(F.inline(results))
+    return table.agg(*_row_counts(checks)).select(F.inline(results))
+
+
+class WatchedChecks:
+    """K01, K03, K05, K06, K07 while tables are written: their counts go along with the write, so that the rows need
+    not be read again."""
+
+    def __init__(self, checks: Iterable[Check] = CHECKS):
+        self._checks = list(checks)
+        self._seen: dict[str, Observation] = {}
+
+    def watch(self, name: str, table: DataFrame) -> DataFrame:
+        """The table, to be written once."""
+        if name not in {c.table for c in self._checks}:
+            return table
+        self._seen[name] = Observation()
+        return table.observe(self._seen[name], *_row_counts(_with_non_empty(name, self._checks)))
+
+    def results(self, spark: SparkSession) -> DataFrame:
+        """One row per check of the tables written so far, as ``run_checks`` gives them."""
+        rows = []
+        for name, seen in self._seen.items():
+            checks = _with_non_empty(name, self._checks)
+            try:
+                counts = seen.get
+            except Py4JJavaError:  # a plan that turned out empty is replaced at run time, counts and all
+                counts = {f"f{i}": int(c.kind == "non_empty") for i, c in enumerate(checks)}
+            rows += [_result(c, F.lit(counts[f"f{i}"])) for i, c in enumerate(checks)]
+        return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def _unique(table: DataFrame, check: Check) -> DataFrame:
@@ -194,19 +230,28 @@ def _unique(table: DataFrame, check: Check) -> DataFrame:
     return repeated.agg(F.count("*").alias("f")).select(F.inline(F.array(_result(check, F.col("f")))))
 
 
-def _references(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    """Child rows whose value the parent lacks; NULL refers to nothing."""
-    rows = child.where(check.where) if check.where else child
-    keys = (
-        rows.where(F.col(check.column).isNotNull())
-        .groupBy(F.col(check.column).alias("key"))
-        .agg(F.count("*").alias("n"))
-    )
-    known = parent.select(F.col(check.parent_column).alias("key")).distinct()
-    orphans = keys.join(known, "key", "left_anti")
-    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("f")).select(
-        F.inline(F.array(_result(check, F.col("f"))))
-    )
+def _references(child: DataFrame, tables: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """Rows of one table that refer to what the parents lack; NULL refers to nothing.
+
+    All references of the table are looked at in one scan, as 128-bit hashes marked with their check, which are
+    counted in the tasks before they meet those of the parents in one shuffle. A frequent key is one row a task, and
+    text stays behind: a row is an orphan if no parent has its hash.
+    """
+
+    def hashes(key: Column) -> list[Column]:
+        return [F.xxhash64(key).alias("h"), F.xxhash64(F.lit(1), key).alias("g")]
+
+    def reference(i: int, c: Check) -> Column:
+        present = F.col(c.column).isNotNull() & (F.expr(c.where) if c.where else F.lit(True))
+        return F.when(present, F.struct(F.lit(i).alias("check"), *hashes(F.col(c.column))))
+
+    sides = [child.select(F.explode(F.array(*[reference(i, c) for i, c in enumerate(checks)])).alias("r")).where("r is not null").select("r.*", F.lit(1).alias("n"))]
+    for i, c in enumerate(checks):
+        parent = tables[c.parent].where(F.col(c.parent_column).isNotNull())
+        sides.append(parent.select(F.lit(i).alias("check"), *hashes(F.col(c.parent_column)), F.lit(None).cast("int").alias("n")))
+    met = reduce(DataFrame.unionAll, sides).groupBy("check", "h", "g").agg(F.sum("n").alias("n"), F.count_if(F.col("n").isNull()).alias("parents"))
+    lost = met.where("parents = 0").agg(*[F.coalesce(F.sum(F.when(F.col("check") == i, F.col("n"))), F.lit(0)).alias(f"f{i}") for i in range(len(checks))])
+    return lost.select(F.inline(F.array(*[_result(c, F.col(f"f{i}")) for i, c in enumerate(checks)])))
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check] = CHECKS) -> DataFrame:
@@ -216,10 +261,10 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check] = CHECKS
     parts = []
     for name in names:
         own = [c for c in checks if c.table == name]
-        rules = [c for c in own if c.kind not in ("unique", "relationships", "non_empty")]
-        parts.append(_row_rules(tables[name], [*rules, Check("Q98", name, None, "non_empty")]))
+        parts.append(_row_rules(tables[name], _with_non_empty(name, own)))
         parts += [_unique(tables[name], c) for c in own if c.kind == "unique"]
-        parts += [_references(tables[name], tables[c.parent], c) for c in own if c.kind == "relationships"]
+        if references := [c for c in own if c.kind == "relationships"]:
+            parts.append(_references(tables[name], tables, references))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -10,6 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from footfall.config import EngineConfig
 from footfall.operators.event_facts import fct_events
@@ -23,7 +24,9 @@ from footfall.operators.sessions import (
 )
 from footfall.operators.staging import stage_events
 from footfall.operators.users import dim_users
-from footfall.sources.readers import in_window, read_export, read_feature_catalogue, time_spine
+from footfall.plans.checks import WatchedChecks, fatal
+from footfall.sources.readers import SPINE_END, SPINE_START, in_window, read_export, read_feature_catalogue, time_spine
+from footfall.sources.snapshots import Snapshots
 from footfall.sources.writers import TABLE_LAYOUT, delete_at_end, delete_folder, materialize
 
 PUBLIC_TABLES = (
@@ -105,21 +108,26 @@ class Marts:
         return self._catalogue if self._catalogue is not None else read_feature_catalogue(self.spark)
 
     def _time_spine(self) -> DataFrame:
-        return time_spine(self.spark)
+        """The usual calendar, longer where the window is."""
+        if self.cfg.every_row:
+            return time_spine(self.spark)
+        return time_spine(self.spark, min(SPINE_START, self.cfg.window_start), max(SPINE_END, self.cfg.window_end))
 
 
 def build_marts(
     spark: SparkSession, raw: DataFrame, cfg: EngineConfig, out: str | None = None,
-    catalogue: DataFrame | None = None,
+    catalogue: DataFrame | None = None, watched: WatchedChecks | None = None,
 ) -> dict[str, DataFrame]:
     """Full refresh of all public tables.
 
     With ``out`` every table is written under it, one directory per table, and
     each layer reads the one before from there. Without it nothing runs yet.
+    ``watched`` counts the broken row rules of each table while it is written.
+    A refresh that must not disturb readers goes through ``publish_marts``.
     """
     if out is None:
         return Marts(spark, raw, cfg, catalogue).public()
-    folder = TableFolder(spark, out, cfg)
+    folder = TableFolder(spark, out, cfg, watched)
     marts = Marts(spark, raw, cfg, catalogue, folder.keep)
 
     def finished(name: str) -> DataFrame:
@@ -134,26 +142,73 @@ def build_marts(
     return tables
 
 
+def publish_marts(
+    spark: SparkSession, raw: DataFrame, cfg: EngineConfig, root: str, catalogue: DataFrame | None = None, strict: bool = True,
+) -> dict[str, DataFrame]:
+    """Full refresh as a new version under ``root`` (see ``Snapshots``): readers of the one before are not disturbed,
+    and a refresh that fails, or with ``strict`` one that breaks a row rule of error severity, is never published."""
+    versions, watched = Snapshots(spark, root), WatchedChecks()
+    with versions.refresh() as folder:
+        tables = build_marts(spark, raw, cfg, folder, catalogue, watched)
+        broken = [r["check_id"] for r in fatal(watched.results(spark)).collect()] if strict else []
+        if broken:
+            raise ValueError(f"not published, checks failed: {', '.join(sorted(broken))}")
+    return tables
+
+
 class TableFolder:
     """S03-S05 applied to named tables under one directory."""
 
-    def __init__(self, spark: SparkSession, root: str, cfg: EngineConfig):
-        self.spark, self.root, self.cfg = spark, root.rstrip("/"), cfg
+    def __init__(self, spark: SparkSession, root: str, cfg: EngineConfig, watched: WatchedChecks | None = None):
+        self.spark, self.root, self.cfg, self.watched = spark, root.rstrip("/"), cfg, watched
         self.kept: set[str] = set()
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         day, cluster = TABLE_LAYOUT.get(name, (None, ()))
         path = f"{self.root}/{name}"
-        materialize(df, path, day if self.cfg.enable_partitioning else None, cluster)
+        rows = self.watched.watch(name, df) if self.watched else df
+        materialize(rows, path, day if self.cfg.enable_partitioning else None, cluster)
         self.kept.add(name)
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 # -- tables shared by the queries of one application ----------------------------
 
+
+class Kept:
+    """Relations kept for the queries of one application, the same way on every master: written where a shared folder
+    is named, else persisted by the engine (lost parts are computed again). ``drop`` frees their storage."""
+
+    def __init__(self, spark: SparkSession, cfg: EngineConfig):
+        self._spark, self._folder = spark, shared_folder(spark)
+        self._tables = TableFolder(spark, self._folder, cfg) if self._folder else None
+        self._persisted: list[DataFrame] = []
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        if self._tables:
+            return self._tables.keep(name, df)
+        self._persisted.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
+
+    def by_day(self, rows: DataFrame) -> DataFrame:
+        """An export laid out by day where a folder is named, so that a window reads only its own days."""
+        if not self._folder:
+            return rows
+        materialize(rows, f"{self._folder}/export", partition_by="event_date")
+        return read_export(self._spark, f"{self._folder}/export")
+
+    def drop(self) -> None:
+        for df in self._persisted:
+            df.unpersist()
+        if self._folder:
+            delete_folder(self._spark, self._folder)
+
+
 _EXPORTS: dict[tuple, DataFrame] = {}
 _SHARED: dict[tuple, Marts] = {}
+_KEPT: dict[tuple, list[Kept]] = {}
 _SHARED_LOCK = threading.Lock()
+_SOURCE_LOCKS: defaultdict[tuple, threading.Lock] = defaultdict(threading.Lock)
 
 
 def shared_folder(spark: SparkSession) -> str | None:
@@ -165,21 +220,17 @@ def shared_folder(spark: SparkSession) -> str | None:
     return delete_at_end(spark, f"{named.rstrip('/')}/footfall-{uuid.uuid4().hex}")
 
 
-def shared_keep(spark: SparkSession, cfg: EngineConfig) -> Keep:
-    """How shared relations are kept, the same on every master: written where a shared folder is named, else
-    persisted by the engine (lost parts are computed again)."""
-    folder = shared_folder(spark)
-    if folder:
-        return TableFolder(spark, folder, cfg).keep
-    return lambda name, df: df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def source_version(spark: SparkSession, path: str) -> tuple:
-    """When the file or directory at ``path`` last changed, and its length: one look, no listing, no job."""
+    """Tells states of the source apart. A file: when it last changed, and its length. A directory: number, length and
+    hash of all files below it with their change times, from a listing that Spark makes; no file is read."""
     context = spark.sparkContext
     where = context._jvm.org.apache.hadoop.fs.Path(path)
     status = where.getFileSystem(context._jsc.hadoopConfiguration()).getFileStatus(where)
-    return status.getModificationTime(), status.getLen()
+    if not status.isDirectory():
+        return status.getModificationTime(), status.getLen()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    seen = files.agg(F.count("*"), F.sum("length"), F.bit_xor(F.xxhash64("path", "modificationTime", "length")))
+    return tuple(seen.first())
 
 
 def shared_marts(
@@ -190,23 +241,32 @@ def shared_marts(
     ``export`` gives the source in the event export's layout, laid out by day
     once where a shared folder is named, so that each window reads only its own
     days. A relation is kept the first time a query needs it. ``version`` tells
-    states of the source apart; by default the change time of its path. Stores
-    that give a directory none need it from the caller. Marts of an older
-    version are dropped.
+    states of the source apart; by default ``source_version`` of its path. Marts
+    of an older version are dropped with what they have stored. A source is
+    bound by one caller while the others wait for it, and for it alone.
     """
     home = (spark.conf.get("spark.app.id"), source)
     at = (*home, version if version is not None else source_version(spark, source))
     with _SHARED_LOCK:
-        for old in [k for k in (*_EXPORTS, *_SHARED) if k[:2] == home and k[:3] != at]:
-            _EXPORTS.pop(old, None)
-            _SHARED.pop(old, None)
+        lock = _SOURCE_LOCKS[home]
+    with lock:
+        with _SHARED_LOCK:
+            old = [k for k in (*_EXPORTS, *_SHARED) if k[:2] == home and k[:3] != at]
+            for k in old:
+                _EXPORTS.pop(k, None)
+                _SHARED.pop(k, None)
+            stale = [kept for k in set(old) for kept in _KEPT.pop(k, [])]
+        for kept in stale:
+            kept.drop()
+
+        def kept_for(key: tuple) -> Kept:
+            kept = Kept(spark, cfg)
+            _KEPT.setdefault(key, []).append(kept)
+            return kept
+
         if at not in _EXPORTS:
-            keep = shared_keep(spark, cfg)
-            rows, folder = export(keep), shared_folder(spark)
-            if folder:
-                materialize(rows, f"{folder}/export", partition_by="event_date")
-                rows = read_export(spark, f"{folder}/export")
-            _EXPORTS[at] = rows
+            first = kept_for(at)
+            _EXPORTS[at] = kept_for(at).by_day(export(first.keep))
         if (*at, cfg) not in _SHARED:
-            _SHARED[(*at, cfg)] = Marts(spark, in_window(_EXPORTS[at], cfg), cfg, keep=shared_keep(spark, cfg))
+            _SHARED[(*at, cfg)] = Marts(spark, in_window(_EXPORTS[at], cfg), cfg, keep=kept_for((*at, cfg)).keep)
         return _SHARED[(*at, cfg)]

@@ -17,6 +17,7 @@ from typing import Any
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from footfall.functions.columns import safe_ratio, start_of
 from footfall.plans.semantics import TIME_GRAINS, Definitions, SemanticModel
@@ -27,6 +28,10 @@ _NAME = re.compile(r"\b[A-Za-z]\w*__\w+\b|\bmetric_time\b")
 _QUOTED = re.compile(r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*\"""", re.S)
 
 
+# The length of each grain as an interval.
+_GRAIN_STEPS = {"day": "1 day", "week": "7 days", "month": "1 month", "quarter": "3 months", "year": "1 year"}
+
+
 class Refused(ValueError):
     """A query the layer does not answer; ``payload`` says why and what would work."""
 
@@ -431,22 +436,32 @@ class MetricLayer:
     def _onto_spine(
         self, wide: DataFrame, groups: list[str], start: date | None, end: date | None, filled: list[str]
     ) -> DataFrame:
-        """Opt-in: one row per day (or week, ...) of the calendar, empty ones as 0."""
+        """Opt-in: one row per day (or week, ...) of the calendar, empty ones as 0. Where a bound is missing, the result
+        goes on to the first or last day that has rows, also beyond the calendar, and is filled up to there."""
         if self._spine is None or len(groups) != 1 or _split_grain(groups[0])[0] != "metric_time":
             raise ValueError("fill_spine needs a calendar and metric_time as the only group")
         days = self._spine()
         if start and end:  # both given: these days, whatever the calendar holds
             span = F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))
             days = days.sparkSession.range(1).select(F.explode(span).alias("date_day"))
-        elif start:
-            days = days.where(F.col("date_day") >= F.lit(start))
-        elif end:
-            days = days.where(F.col("date_day") <= F.lit(end))
+        elif start or end:
+            inside = F.col("date_day") >= F.lit(start) if start else F.col("date_day") <= F.lit(end)
+            bound = days.sparkSession.range(1).select(F.lit(start or end).alias("date_day"))
+            days = days.where(inside).unionByName(bound)
         grain = _split_grain(groups[0])[1] or "day"
         dates = days.select(start_of(grain, F.col("date_day")).alias("__day")).distinct()
         # days beyond the calendar and rows without a day stay
-        both = dates.join(wide, F.col("__day").eqNullSafe(F.col(groups[0])), "full")
-        return both.withColumns({groups[0]: F.coalesce(groups[0], "__day"), **{c: F.coalesce(c, F.lit(0)) for c in filled}}).drop("__day")
+        both = dates.join(wide, F.col("__day").eqNullSafe(F.col(groups[0])), "full").withColumn("__day", F.coalesce(groups[0], "__day"))
+        # One row for each day or week: few enough for one task to look at the next.
+        step = F.expr(f"interval {_GRAIN_STEPS[grain]}")
+        both = both.withColumn("__next", F.lead("__day").over(Window.orderBy("__day")))
+        until = F.greatest(F.col("__day"), F.coalesce((F.col("__next") - step).cast("date"), "__day"))
+        no_day = F.array(F.lit(None).cast("date"))
+        dense = both.withColumn("__each", F.explode(F.when(F.col("__day").isNull(), no_day).otherwise(F.sequence("__day", until, step))))
+        own = F.col("__each").eqNullSafe(F.col("__day"))
+        values = {c: F.when(own, F.col(c)) for c in wide.columns if c != groups[0]}
+        values |= {c: F.coalesce(values[c], F.lit(0)) for c in filled}
+        return dense.withColumns({groups[0]: F.col("__each"), **values}).drop("__day", "__next", "__each")
 
     # -- answers for people ----------------------------------------------------
 

@@ -36,8 +36,8 @@ from footfall.streaming.sessions import sessions_of_slices
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: Every day that the event export can name.
-ALL = replace(W1, window_start=date(1000, 1, 1), window_end=date(9999, 12, 31))
+#: Every row of the event export, also those without a day.
+ALL = replace(W1, window_start=date(1000, 1, 1), window_end=date(9999, 12, 31), every_row=True)
 HALF_HOUR = replace(ALL, session_gap_minutes=30)
 
 # Dimension each measure of a model is shown by.

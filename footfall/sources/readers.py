@@ -23,11 +23,13 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 
 def in_window(events: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Keep days between both ends of the window, inclusive.
+    """Keep days between both ends of the window, inclusive; with ``every_row`` all rows, also those without a day.
 
     The bounds are literals on the raw day text, so a directory laid out by
     ``event_date`` is pruned when the plan is built.
     """
+    if cfg.every_row:
+        return events
     return events.where(F.col("event_date").between(cfg.window_start_text, cfg.window_end_text))
 
 
@@ -58,9 +60,11 @@ def read_feature_catalogue(spark: SparkSession, path: str | None = None) -> Data
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def time_spine(
-    spark: SparkSession, start: date = date(2019, 1, 1), end: date = date(2026, 12, 31)
-) -> DataFrame:
+# The first and the last day that a calendar has at least.
+SPINE_START, SPINE_END = date(2019, 1, 1), date(2026, 12, 31)
+
+
+def time_spine(spark: SparkSession, start: date = SPINE_START, end: date = SPINE_END) -> DataFrame:
     """One row per day, both ends included; wider than any window on purpose."""
     days = F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))
     return spark.range(1).select(F.explode(days).alias("date_day"))

@@ -63,7 +63,7 @@ def sessions_of_slices(spark: SparkSession, events: DataFrame, folder: str, cfg:
     under ``folder``, each is taken by a run that goes on from the checkpoint of the run before, and a last event closes
     what is open. Nothing is late, as slices follow each other in time."""
     home, delay = f"{folder.rstrip('/')}/stream-{uuid.uuid4().hex}", timedelta(hours=1)
-    narrow = events.where(F.col("user_pseudo_id").isNotNull()).select("user_pseudo_id", "event_at")
+    narrow = events.where(F.col("user_pseudo_id").isNotNull() & F.col("event_at").isNotNull()).select("user_pseudo_id", "event_at")
     first, last = narrow.agg(F.min(F.unix_micros("event_at")), F.max(F.unix_micros("event_at"))).first()
     width = 0 if first is None else (last - first) // slices + 1
     micros = F.unix_micros("event_at") - F.lit(first)

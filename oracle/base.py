@@ -48,7 +48,7 @@ shaped AS (
     CASE WHEN k % 7 <> 0 THEN '/p/' || (k % 20) END AS page,
     event_type = 'purchase' AS bought
   FROM owned o JOIN touch t USING (uid)
-  WHERE cast(ts AS DATE) BETWEEN DATE '{cfg.window_start}' AND DATE '{cfg.window_end}'
+  WHERE {"true" if cfg.every_row else f"cast(ts AS DATE) BETWEEN DATE '{cfg.window_start}' AND DATE '{cfg.window_end}'"}
 ),
 stg_events AS (
   SELECT

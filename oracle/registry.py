@@ -23,7 +23,7 @@ def _table(cfg, name):
 def _gap_events(cfg) -> str:
     return f"""
 marked AS (
-  SELECT *, lag(event_at) OVER w AS prev_at FROM stg_events
+  SELECT *, lag(event_at) OVER w AS prev_at FROM stg_events WHERE event_at IS NOT NULL
   WINDOW w AS (PARTITION BY user_pseudo_id ORDER BY event_at, event_key)
 ),
 numbered AS (
@@ -151,7 +151,8 @@ FROM flat GROUP BY 1""",
         "t01_stream_sessions": f"SELECT * EXCLUDE (gap_session_number) FROM ({_gap_sessions(HALF_HOUR)}) WHERE user_pseudo_id IS NOT NULL",
         "c03_gap_sessions_half_hour": _gap_sessions(HALF_HOUR),
         "c03_gap_session_events": f"WITH {stg_events(HALF_HOUR)},{_gap_events(HALF_HOUR)}\n"
-        "SELECT event_key, user_pseudo_id, gap_session_number FROM numbered",
+        "SELECT event_key, user_pseudo_id, gap_session_number FROM numbered UNION ALL"
+        " SELECT event_key, user_pseudo_id, NULL FROM stg_events WHERE event_at IS NULL",
         "c04_engagement": with_tables(
             ALL, "SELECT is_engaged_session, is_engaged_session_derived, count(*) AS n_sessions"
             " FROM int_sessions GROUP BY 1, 2"),
