@@ -18,12 +18,9 @@ def user_behaviour(events: DataFrame, catalogue: DataFrame) -> DataFrame:
     Reads all staged events, with or without a session id. Events that are
     neither a purchase nor a deliberate feature use never reach the shuffle.
     """
-    chosen = catalogue.where("is_user_initiated").select("event_name", "feature_name")
     is_purchase = F.col("event_name") == "purchase"
     return (
-        events.select("user_pseudo_id", "event_name", "event_at")
-        .join(chosen, "event_name", "left")
-        .where(is_purchase | F.col("feature_name").isNotNull())
+        _chosen_uses(events, catalogue)
         .groupBy("user_pseudo_id")
         .agg(
             F.min(F.when(is_purchase, F.col("event_at"))).alias("first_purchase_at"),
@@ -32,6 +29,26 @@ def user_behaviour(events: DataFrame, catalogue: DataFrame) -> DataFrame:
     )
 
 
+def _chosen_uses(events: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Purchases, and events that are a deliberate use of a feature."""
+    chosen = catalogue.where("is_user_initiated").select("event_name", "feature_name")
+    rows = events.select("user_pseudo_id", "event_date", "event_name", "event_at").join(chosen, "event_name", "left")
+    return rows.where((F.col("event_name") == "purchase") | F.col("feature_name").isNotNull())
+
+
+def behaviour_days(events: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """What ``user_behaviour`` needs of each day: a row per user, day and feature used."""
+    bought_at = F.when(F.col("event_name") == "purchase", F.col("event_at"))
+    return _chosen_uses(events, catalogue).groupBy("user_pseudo_id", "feature_name", "event_date").agg(F.min(bought_at).alias("first_purchase_at"))
+
+
+def behaviour_of_days(days: DataFrame) -> DataFrame:
+    """``user_behaviour`` from the rows of ``behaviour_days``."""
+    return days.groupBy("user_pseudo_id").agg(
+        F.min("first_purchase_at").alias("first_purchase_at"), F.count_distinct("feature_name").alias("features_adopted")
+    )
+
+
 def _per_day(core: DataFrame) -> DataFrame:
     """Sessions combined per user and day, so a user's rows are bounded by the
     number of days in the window before they meet in one task."""
@@ -50,16 +67,22 @@ def _per_day(core: DataFrame) -> DataFrame:
     )
 
 
+_FIRST = (
+    "session_started_at", "session_key", "first_touch_source", "first_touch_medium", "first_touch_campaign",
+    "device_category", "operating_system", "country", "landing_page",
+)
+
+
 def _first_session(core: DataFrame) -> DataFrame:
     """Attributes of each user's first session. Text needs sort-based
     aggregation, so it is kept apart from the numbers."""
-    attributes = (
-        "first_touch_source", "first_touch_medium", "first_touch_campaign", "device_category",
-        "operating_system", "country", "landing_page",
-    )
-    return core.groupBy("user_pseudo_id").agg(
-        F.min(F.struct("session_started_at", "session_key", *attributes)).alias("first_session")
-    )
+    return core.groupBy("user_pseudo_id").agg(F.min(F.struct(*_FIRST)).alias("first_session"))
+
+
+def user_days(core: DataFrame) -> DataFrame:
+    """What a user's row needs of each day: sums of the day's sessions, and its first session."""
+    first = core.groupBy("user_pseudo_id", "session_date").agg(F.min(F.struct(*_FIRST)).alias("first_session"))
+    return _per_day(core).join(first, ["user_pseudo_id", "session_date"])
 
 
 def _returned(first_day: int, last_day: int) -> Column:
@@ -69,8 +92,12 @@ def _returned(first_day: int, last_day: int) -> Column:
 
 def session_rollup(core: DataFrame, cfg: EngineConfig) -> DataFrame:
     """The numbers a user's sessions add up to."""
+    return _rollup_of_days(_per_day(core))
+
+
+def _rollup_of_days(per_day: DataFrame) -> DataFrame:
     by_user = Window.partitionBy("user_pseudo_id")
-    days = _per_day(core).withColumn(
+    days = per_day.withColumn(
         "day", days_between(F.min("session_date").over(by_user), F.col("session_date"))
     )
     return days.groupBy("user_pseudo_id").agg(
@@ -94,7 +121,16 @@ def session_rollup(core: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 def dim_users(core: DataFrame, events: DataFrame, catalogue: DataFrame, cfg: EngineConfig) -> DataFrame:
     """One row per user, with the flags that say when the user may count."""
-    rollup = session_rollup(core, cfg)
+    return _users(session_rollup(core, cfg), _first_session(core), user_behaviour(events, catalogue), cfg)
+
+
+def users_of_days(days: DataFrame, behaviour: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """The same from the rows of ``user_days`` and ``behaviour_days``, of which a user has one for each day."""
+    first = days.groupBy("user_pseudo_id").agg(F.min("first_session").alias("first_session"))
+    return _users(_rollup_of_days(days), first, behaviour_of_days(behaviour), cfg)
+
+
+def _users(rollup: DataFrame, first_session: DataFrame, behaviour: DataFrame, cfg: EngineConfig) -> DataFrame:
     first_day = utc_day(F.col("first_seen_at"))
     to_purchase = days_between(F.col("first_seen_date"), utc_day(F.col("first_purchase_at")))
     observed_days = days_between(F.col("first_seen_date"), F.lit(cfg.window_end))
@@ -114,8 +150,8 @@ def dim_users(core: DataFrame, events: DataFrame, catalogue: DataFrame, cfg: Eng
         "first_landing_page": "landing_page",
     }
     return (
-        rollup.join(_first_session(core), "user_pseudo_id", "left")
-        .join(user_behaviour(events, catalogue), "user_pseudo_id", "left")
+        rollup.join(first_session, "user_pseudo_id", "left")
+        .join(behaviour, "user_pseudo_id", "left")
         .withColumns(
             {
                 "first_seen_date": first_day,

@@ -180,6 +180,7 @@ FROM flat GROUP BY 1""",
         "c14_session_mart": _table(W1, "fct_sessions"),
         "c15_user_mart": _table(W1, "dim_users"),
         "c15_user_mart_w2": _table(W2, "dim_users"),
+        "t02_incremental_days": _table(W1, "dim_users"),
         "c16_transaction_counts": with_tables(
             ALL, """SELECT
   (SELECT cast(sum(purchase_events) AS BIGINT) FROM int_sessions) AS session_purchase_events,
