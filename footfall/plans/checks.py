@@ -205,7 +205,7 @@ class WatchedChecks:
         self._seen[name] = Observation()
         return table.observe(self._seen[name], *_row_counts(_with_non_empty(name, self._checks)))
 
-    def results(self, spark: SparkSession) -> DataFrame:
+    def results(self) -> DataFrame:
         """One row per check of the tables written so far, as ``run_checks`` gives them."""
         rows = []
         for name, seen in self._seen.items():
@@ -215,7 +215,7 @@ class WatchedChecks:
             except Py4JJavaError:  # a plan that turned out empty is replaced at run time, counts and all
                 counts = {f"f{i}": int(c.kind == "non_empty") for i, c in enumerate(checks)}
             rows += [_result(c, F.lit(counts[f"f{i}"])) for i, c in enumerate(checks)]
-        return spark.range(1).select(F.inline(F.array(*rows)))
+        return SparkSession.active().range(1).select(F.inline(F.array(*rows)))
 
 
 def _unique(table: DataFrame, check: Check) -> DataFrame:
@@ -254,17 +254,23 @@ def _references(child: DataFrame, tables: Mapping[str, DataFrame], checks: list[
     return lost.select(F.inline(F.array(*[_result(c, F.col(f"f{i}")) for i, c in enumerate(checks)])))
 
 
-def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check] = CHECKS) -> DataFrame:
-    """One row per check. Every table checked also gets its non-empty check."""
+def _key_rules(tables: Mapping[str, DataFrame], name: str, checks: Iterable[Check]) -> list[DataFrame]:
+    """K02, K04 of one table."""
+    own = [c for c in checks if c.table == name]
+    parts = [_unique(tables[name], c) for c in own if c.kind == "unique"]
+    references = [c for c in own if c.kind == "relationships"]
+    return parts + ([_references(tables[name], tables, references)] if references else [])
+
+
+def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check] = CHECKS, watched: WatchedChecks | None = None) -> DataFrame:
+    """One row per check. Every table checked also gets its non-empty check. Row rules that ``watched`` has counted while
+    all these tables were written are not counted again."""
     checks = list(checks)
-    names = dict.fromkeys(c.table for c in checks)
-    parts = []
-    for name in names:
-        own = [c for c in checks if c.table == name]
-        parts.append(_row_rules(tables[name], _with_non_empty(name, own)))
-        parts += [_unique(tables[name], c) for c in own if c.kind == "unique"]
-        if references := [c for c in own if c.kind == "relationships"]:
-            parts.append(_references(tables[name], tables, references))
+    parts = [] if watched is None else [watched.results()]
+    for name in dict.fromkeys(c.table for c in checks):
+        if watched is None:
+            parts.append(_row_rules(tables[name], _with_non_empty(name, checks)))
+        parts += _key_rules(tables, name, checks)
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -150,7 +150,7 @@ def publish_marts(
     versions, watched = Snapshots(spark, root), WatchedChecks()
     with versions.refresh() as folder:
         tables = build_marts(spark, raw, cfg, folder, catalogue, watched)
-        broken = [r["check_id"] for r in fatal(watched.results(spark)).collect()] if strict else []
+        broken = [r["check_id"] for r in fatal(watched.results()).collect()] if strict else []
         if broken:
             raise ValueError(f"not published, checks failed: {', '.join(sorted(broken))}")
     return tables

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as driver
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("customer", "orders", "lineitem", "events", "documents", "benchmark", "conversations")
+TABLES = ("customer", "orders", "lineitem", "events", "documents", "benchmark", "conversations", "embeddings")
 
 
 @pytest.fixture(scope="module")

@@ -115,7 +115,9 @@ def test_rules_counted_while_writing_are_those_of_the_checks(spark, built):
     tables, watched = built
     kinds = ("unique", "relationships")
     want = sorted(map(tuple, run_checks(tables, [c for c in CHECKS if c.kind not in kinds]).collect()), key=repr)
-    assert sorted(map(tuple, watched.results(spark).collect()), key=repr) == want and len(want) > 80
+    assert sorted(map(tuple, watched.results().collect()), key=repr) == want and len(want) > 80
+    both = [sorted(map(tuple, run_checks(tables, watched=w).collect()), key=repr) for w in (None, watched)]
+    assert both[0] == both[1]
 
 
 def test_references_of_a_table_take_one_scan(spark, built):
