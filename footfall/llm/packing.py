@@ -27,7 +27,6 @@ from pyspark.sql.window import Window
 
 BUCKETS = 16
 BUDGET = 65536
-STEPS = 64
 SHARD_ROWS = 20_000
 
 
@@ -36,14 +35,6 @@ def byte_tokens(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
 
-def length_bin(length: Column) -> Column:
-    """Exact up to 2 * STEPS; then STEPS bins an octave, named by their lower end."""
-    octave = F.floor(F.log2(F.greatest(length, F.lit(1)).cast("double")))
-    octave = octave - F.when(F.pow(F.lit(2.0), octave) > length, 1).otherwise(0)
-    width = F.pow(F.lit(2.0), F.greatest(octave - int(math.log2(STEPS)), F.lit(0))).cast("long")
-    return F.floor(length / width) * width
-
-
 def boundaries(bins: list[tuple[int, int, int]], buckets: int) -> tuple[list[int], int]:
     """Upper ends with the least padding. bins: (largest length, documents, sum of lengths), ascending."""
     if not bins:
