@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +32,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from footfall.llm.tables import stored, stored_alone
-from footfall.llm.text import LOWER_CODES, Slice, find_words, mix, slices
+from footfall.llm.text import LOWER_CODES, Hasher, Slice, mix, slices
 
 LEAST = 10
 INSIDE = 50
 TOP = 2000
 SHARD = 1 << 18
-TRIES = 4
+TRIES = 8
+DIGIT, DIGITS = 1024, 2
 BITS = 24
 
 # The bytes that end a piece, and those that part words.
@@ -53,43 +55,57 @@ _LOWER[65:91] += 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-@dataclass
 class Tokens:
-    """The words of a slice: their language's number, hash (of word and language), and whether the next one follows in
-    the same piece."""
-
-    words: pa.Array
-    language: np.ndarray
-    hashes: np.ndarray
-    follows: np.ndarray
+    """The words of a slice: their language's number, whether the next one follows in the same piece, and, worked out
+    where they are asked for, hashes (of word and language) and the words as a dictionary."""
+
+    def __init__(self, part: Slice, languages: np.ndarray, names: list[str]) -> None:
+        self._part, self._names = part, names
+        inside = np.zeros(len(part.data) + 2, bool)
+        inside[1:-1] = _WORD[part.data]
+        fresh = part.starts_document()
+        now, before = inside[1:], inside[:-1]
+        self.starts = np.flatnonzero(now & (~before | fresh))
+        self.ends = np.flatnonzero(before & (~now | fresh))
+        bounds = np.searchsorted(self.starts, part.offsets)
+        self.language = np.repeat(languages, np.diff(bounds))
+        breaks = np.flatnonzero(_BREAK[part.data])
+        ending = np.searchsorted(breaks, self.starts)
+        self.follows = np.zeros(len(self.starts), bool)
+        self.follows[:-1] = ending[1:] == ending[:-1]
+        last = bounds[1:][np.diff(bounds) > 0] - 1
+        self.follows[last] = False
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        if not len(self):
+            return np.empty(0, np.uint64)
+        salts = [int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in self._names]
+        own = Hasher(self._part.data, LOWER_CODES).ranges(self.starts, self.ends)
+        return mix(own ^ np.array(salts, np.uint64)[self.language])
+
+    @cached_property
+    def coded(self) -> pa.DictionaryArray:
+        offsets = np.zeros(len(self) + 1, np.int32)
+        np.cumsum(self.ends - self.starts, out=offsets[1:])
+        text = _LOWER[self._part.data[_WORD[self._part.data]]]
+        return pa.Array.from_buffers(pa.string(), len(self), [None, pa.py_buffer(offsets), pa.py_buffer(text)]).dictionary_encode()
 
     def phrases(self, at: np.ndarray, size: int) -> pa.Array:
-        parts = [self.words.take(pa.array(at + k)) for k in range(size)]
+        parts = [self.coded.dictionary.take(self.coded.indices.take(pa.array(at + k))) for k in range(size)]
         return pc.binary_join_element_wise(*parts, " ")
 
 
-def _tokens(part: Slice, languages: np.ndarray, names: list[str]) -> Tokens:
-    found = find_words(part, _WORD, LOWER_CODES)
-    rows = np.repeat(np.arange(len(part)), np.diff(found.bounds))
-    language = languages[rows]
-    salts = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in names] or [0], np.uint64)
-    breaks = np.cumsum(_BREAK[part.data], dtype=np.int32)[found.starts] if len(found.starts) else np.empty(0, np.int32)
-    follows = np.zeros(len(rows), bool)
-    follows[:-1] = (rows[1:] == rows[:-1]) & (breaks[1:] == breaks[:-1])
-    inside = _WORD[part.data]
-    offsets = np.zeros(len(rows) + 1, np.int32)
-    np.cumsum(found.ends - found.starts, out=offsets[1:])
-    words = pa.Array.from_buffers(pa.string(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(_LOWER[part.data[inside]])])
-    return Tokens(words, language, mix(found.hashes ^ salts[language]), follows)
-
-
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Tokens, list[str]]]:
     """Tokens of slices of (lang, text), and the names of the languages."""
     for batch in batches:
         coded = batch.column(0).fill_null("und").dictionary_encode()
         names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         for part in slices(batch.column(1)):
-            yield _tokens(part, codes[part.first : part.last], names), names
+            yield Tokens(part, codes[part.first : part.last], names), names
 
 
 def _keys(tokens: Tokens, size: int) -> np.ndarray:
@@ -103,7 +119,7 @@ def _keys(tokens: Tokens, size: int) -> np.ndarray:
 
 def _together(tokens: Tokens, size: int) -> np.ndarray:
     """Whether the `size` words from each position on are of one piece."""
-    n = max(len(tokens.hashes) - size + 1, 0)
+    n = max(len(tokens) - size + 1, 0)
     out = np.ones(n, bool)
     for k in range(size - 1):
         out &= tokens.follows[k : k + n]
@@ -124,9 +140,9 @@ def _possible(tokens: Tokens, size: int, maps: list[np.ndarray]) -> np.ndarray:
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for tokens, names in _read(batches):
-        if not len(tokens.hashes):
+        if not len(tokens):
             continue
-        coded = tokens.words.dictionary_encode()
+        coded = tokens.coded
         key = tokens.language.astype(np.int64) * len(coded.dictionary) + coded.indices.to_numpy()
         found, first, counts = np.unique(key, return_index=True, return_counts=True)
         yield pa.RecordBatch.from_arrays(
@@ -164,16 +180,17 @@ def _name(maps) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]
     """The phrases whose hashes may be frequent; a task repeats few of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.empty(0, np.uint64)
+        seen = np.zeros(1 << 20, np.uint64)  # at each place the last hash that fell there
         for tokens, names in _read(batches):
             for size in range(2, len(maps.value) + 1):
                 at = np.flatnonzero(_possible(tokens, size, maps.value))
                 keys = _keys(tokens, size)[at]
                 good = _has(maps.value[size - 1], keys)
                 keys, first = np.unique(keys[good], return_index=True)
-                fresh = ~np.isin(keys, seen, assume_unique=True)
+                place = (keys & np.uint64(len(seen) - 1)).astype(np.int64)
+                fresh = seen[place] != keys
+                seen[place] = keys
                 at, keys = at[good][first[fresh]], keys[fresh]
-                seen = np.r_[seen, keys] if len(seen) < 1 << 20 else keys
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names, pa.string()).take(pa.array(tokens.language[at])), tokens.phrases(at, size), pa.array(keys.view(np.int64))],
                     ["lang", "phrase", "h"],
@@ -198,12 +215,13 @@ def _bitmap(hashes: DataFrame) -> np.ndarray:
 @dataclass
 class Trie:
     """A double array: the state after state s by symbol c is base[s] + c, if check there is s. State 1 is the root, 0
-    dead. Symbols from 1 on are languages, then words. accept: the phrase that ends at a state, or -1."""
+    dead. A language is one symbol, a word DIGITS of them: its number written to the base DIGIT, so that no state has
+    more than DIGIT children and all find their place close by. accept: the phrase that ends at a state, or -1."""
 
-    languages: list[str]
-    words: list[str]
-    lang: list[str]
-    phrase: list[str]
+    languages: pa.Array
+    words: pa.Array
+    lang: pa.Array
+    phrase: pa.Array
     base: np.ndarray
     check: np.ndarray
     accept: np.ndarray
@@ -214,93 +232,97 @@ class Trie:
         to = np.where(good, to, 0)
         return np.where(self.check[to] == states, to, 0)
 
+    def word(self, states: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """The states after a whole word each, -1 for a word that is not in this trie."""
+        for digit in _digits(words):
+            states = self.step(states, np.where(words < 0, 0, digit))
+        return states
+
     def count(self, tokens: Tokens, names: list[str], into: np.ndarray) -> None:
         """Add the occurrences of all phrases in the texts to `into`."""
-        known = {x: k + 1 for k, x in enumerate(self.languages)}
-        langs = np.array([known.get(x, 0) for x in names] or [0], np.int64)
-        coded = tokens.words.dictionary_encode()
-        found = pc.index_in(coded.dictionary, value_set=pa.array(self.words, pa.string())).fill_null(-1).to_numpy()
-        symbol = np.where(found >= 0, found + len(self.languages) + 1, 0)[coded.indices.to_numpy()]
-        symbol = np.r_[symbol, np.zeros(2, symbol.dtype)]
-        follows = np.r_[tokens.follows, False]
+        langs = pc.index_in(pa.array(names, pa.string()), value_set=self.languages).fill_null(-1).to_numpy() + 1
+        found = pc.index_in(tokens.coded.dictionary, value_set=self.words).fill_null(-1).to_numpy()
         start = self.step(np.ones(len(langs), np.int64), langs)
-        n = len(tokens.hashes)
-        state = self.step(start[tokens.language], symbol[:n])
-        at = np.arange(n)
+        # What a first word leads to is looked up once for each word and language of the slice.
+        first = np.stack([self.word(np.full(len(found), s), found) for s in start]) if len(start) else np.zeros((1, 0), np.int64)
+        index = tokens.coded.indices.to_numpy()
+        state = first[tokens.language, index]
+        at = np.flatnonzero((state > 0) & tokens.follows)
+        state = state[at]
         for level in (1, 2):
-            alive = (state > 0) & follows[at + level - 1]
-            at, state = at[alive], state[alive]
-            state = self.step(state, symbol[at + level])
+            state = self.word(state, found[index[at + level]])
             hits = self.accept[state]
             into += np.bincount(hits[hits >= 0], minlength=len(into))
+            alive = (state > 0) & tokens.follows[at + level]
+            at, state = at[alive], state[alive]
+
+
+def _digits(numbers: np.ndarray) -> list[np.ndarray]:
+    """Numbers as DIGITS symbols from 1 on."""
+    return [numbers // DIGIT ** (DIGITS - 1 - k) % DIGIT + 1 for k in range(DIGITS)]
 
 
 def double_array(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """base, check and accept of distinct rows of symbols (0 after the end). States with many children find their place
-    first; those with one take what is free."""
+    first, near the end if nowhere else; those with one take what is free."""
     rng = np.random.default_rng(11)
-    size = 2 * len(symbols) + int(symbols.max(initial=0)) + 64
-    base, check, accept = np.zeros(size, np.int64), np.full(size, -1, np.int64), np.full(size, -1, np.int64)
-    check[0] = check[1] = 0
+    wide = int(symbols.max(initial=0)) + 1
+    base, check, accept = np.zeros(4 * wide, np.int32), np.full(4 * wide, -1, np.int32), np.full(4 * wide, -1, np.int32)
+    check[:2] = 0
     slot = np.ones(len(symbols), np.int64)  # where each row's walk has come
 
-    def grow(to: int) -> None:
+    def grow(more: int) -> None:
         nonlocal base, check, accept
-        if to > len(check):
-            more = max(to, len(check) * 5 // 4) - len(check)
-            base, check, accept = np.r_[base, np.zeros(more, np.int64)], np.r_[check, np.full(more, -1)], np.r_[accept, np.full(more, -1)]
+        base, check, accept = (np.concatenate([x, np.full(more, fill, np.int32)]) for x, fill in ((base, 0), (check, -1), (accept, -1)))
 
     for level in range(symbols.shape[1]):
         going = np.flatnonzero(symbols[:, level])
-        wide = int(symbols.max()) + 1
         keys, back = np.unique(slot[going] * wide + symbols[going, level], return_inverse=True)
-        pairs = np.stack([keys // wide, keys % wide], 1)
-        parents, first, counts = np.unique(pairs[:, 0], return_index=True, return_counts=True) if len(pairs) else (np.empty(0, np.int64),) * 3
+        above, codes = keys // wide, keys % wide
+        parents, first, counts = np.unique(above, return_index=True, return_counts=True)
         order = np.argsort(-counts, kind="stable")
-        free = np.flatnonzero(check == -1)
-        taken = 0
-        for k in order[: int((counts > 1).sum())].tolist():
-            codes = pairs[first[k] : first[k] + counts[k], 1]
-            if taken > len(free) // 4:
-                free, taken = np.flatnonzero(check == -1), 0
-            span = int(codes[-1])
-            for _ in range(8):
-                tries = rng.choice(free, 64) - codes[0] if len(free) else np.empty(0, np.int64)
-                tries = tries[(tries + codes[0] > 1) & (tries + span < len(check))]
-                fits = (check[tries[:, None] + codes[None, :]] == -1).all(1)
-                if fits.any():
-                    b = int(tries[fits.argmax()])
-                    break
+        several = int((counts > 1).sum())
+        free, tried = np.flatnonzero(check == -1), 0
+        for k in order[:several].tolist():
+            mine = codes[first[k] : first[k] + counts[k]]
+            tried += 1
+            if tried % 256 == 0:
+                free = np.flatnonzero(check == -1)
+            tries = free[rng.integers(0, len(free), 48)] - mine[0]
+            tries = tries[(tries + mine[0] > 1) & (tries + mine[-1] < len(check))]
+            fits = (check[tries[:, None] + mine] == -1).all(1)
+            if fits.any():
+                b = int(tries[fits.argmax()])
             else:
-                b = len(check) - int(codes[0])
-                grow(b + span + 1)
+                b = len(check) - int(mine[0])
+                grow(max(4 * wide, len(check) // 8))
+                free = np.flatnonzero(check == -1)
             base[parents[k]] = b
-            check[b + codes] = parents[k]
-            taken += len(codes)
-        single = order[int((counts > 1).sum()) :]
-        free = np.flatnonzero(check == -1)
-        if len(free) < len(single):
-            grow(len(check) + len(single))
-            free = np.flatnonzero(check == -1)
-        free = free[: len(single)]
-        base[parents[single]] = free - pairs[first[single], 1]
+            check[b + mine] = parents[k]
+        single = order[several:]
+        lacking = len(single) - int((check == -1).sum())
+        if lacking > 0:
+            grow(lacking + wide)
+        free = np.flatnonzero(check == -1)[: len(single)]
+        base[parents[single]] = free - codes[first[single]]
         check[free] = parents[single]
-        slot[going] = (base[pairs[:, 0]] + pairs[:, 1])[back]
+        slot[going] = (base[above] + codes)[back]
     accept[slot] = np.arange(len(symbols))
     return base, check, accept
 
 
-def build_trie(lang: list[str], phrase: list[str]) -> Trie:
-    languages = sorted(set(lang))
-    split = [x.split(" ") for x in phrase]
-    words = sorted({w for ws in split for w in ws})
-    code = {w: k + 1 + len(languages) for k, w in enumerate(words)}
-    tongue = {x: k + 1 for k, x in enumerate(languages)}
-    symbols = np.zeros((len(phrase), 4), np.int64)
-    for k, ws in enumerate(split):
-        symbols[k, 0] = tongue[lang[k]]
-        symbols[k, 1 : 1 + len(ws)] = [code[w] for w in ws]
-    return Trie(languages, words, lang, phrase, *double_array(symbols))
+def build_trie(lang: pa.Array, phrase: pa.Array) -> Trie:
+    tongues = lang.dictionary_encode()
+    split = pc.split_pattern(phrase, " ")
+    words = split.flatten().dictionary_encode()
+    sizes = pc.list_value_length(split).to_numpy()
+    symbols = np.zeros((len(phrase), 1 + 3 * DIGITS), np.int64)
+    symbols[:, 0] = tongues.indices.to_numpy() + 1
+    row = np.repeat(np.arange(len(phrase)), sizes)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    for k, digit in enumerate(_digits(words.indices.to_numpy())):
+        symbols[row, 1 + DIGITS * place + k] = digit
+    return Trie(tongues.dictionary, words.dictionary, lang, phrase, *double_array(symbols))
 
 
 _TRIE = "shard long, languages array<string>, words array<string>, lang array<string>, phrase array<string>, base binary, check binary, accept binary"
@@ -308,11 +330,15 @@ _TRIE = "shard long, languages array<string>, words array<string>, lang array<st
 
 def _build(group: pa.Table) -> pa.Table:
     """One row: the trie of a shard's candidates (shard, lang, phrase)."""
-    made = build_trie(group["lang"].to_pylist(), group["phrase"].to_pylist())
-    arrays = [x.astype(np.int32).tobytes() for x in (made.base, made.check, made.accept)]
-    values = [group["shard"][0].as_py(), made.languages, made.words, made.lang, made.phrase, *arrays]
-    kinds = [pa.int64(), *[pa.list_(pa.string())] * 4, *[pa.binary()] * 3]
-    return pa.table([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=[x.split()[0] for x in _TRIE.split(", ")])
+    made = build_trie(*(group[c].cast(pa.string()).combine_chunks() for c in ("lang", "phrase")))
+    texts = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (made.languages, made.words, made.lang, made.phrase)]
+    arrays = [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (made.base, made.check, made.accept)]
+    return pa.table([group["shard"].combine_chunks()[:1], *texts, *arrays], names=[x.split()[0] for x in _TRIE.split(", ")])
+
+
+def _trie_of(row: pa.Table) -> Trie:
+    texts = [row[c].combine_chunks().flatten().cast(pa.string()) for c in ("languages", "words", "lang", "phrase")]
+    return Trie(*texts, *(np.frombuffer(row[c][0].as_py(), np.int32) for c in ("base", "check", "accept")))
 
 
 def _count(tries) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -323,22 +349,25 @@ def _count(tries) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
                 trie.count(tokens, names, total)
         for trie, total in zip(tries.value, totals, strict=True):
             at = np.flatnonzero(total)
-            some = pa.array(at)
-            yield pa.RecordBatch.from_arrays([pa.array(trie.lang).take(some), pa.array(trie.phrase).take(some), pa.array(total[at])], ["lang", "phrase", "c"])
+            yield pa.RecordBatch.from_arrays([trie.lang.take(pa.array(at)), trie.phrase.take(pa.array(at)), pa.array(total[at])], ["lang", "phrase", "c"])
 
     return run
 
 
 def count_phrases(texts: DataFrame, candidates: DataFrame) -> DataFrame:
-    """lang, phrase, f for those of the candidates (lang, phrase) that texts (lang, text) hold."""
+    """lang, phrase, f for those of the candidates (lang, phrase) that texts (lang, text) hold. Phrases with the same first
+    word go to one trie, so that a position lives on in one of them; those of a word with very many go to several."""
     context = texts.sparkSession.sparkContext
-    shards = candidates.count() // SHARD + 1
-    dealt = candidates.withColumn("shard", F.pmod(F.xxhash64("lang", "phrase"), F.lit(shards)))
+    shards = 4 * candidates.count() // (3 * SHARD) + 1
+    begun = candidates.withColumn("first", F.substring_index("phrase", " ", 1))
+    parts = begun.groupBy("lang", "first").agg((F.floor(8 * F.count("*") / SHARD) + 1).alias("parts"))
+    part = F.pmod(F.xxhash64("phrase"), F.col("parts"))
+    dealt = begun.join(parts, ["lang", "first"]).withColumn("shard", F.pmod(F.xxhash64("lang", "first", part), F.lit(shards)))
     tries = stored(dealt.select("shard", "lang", "phrase").groupBy("shard").applyInArrow(_build, _TRIE), "tries")
     counted = []
     for first in range(0, shards, TRIES):
-        rows = tries.where(F.col("shard").between(first, first + TRIES - 1)).collect()
-        made = [Trie(*r[1:5], *(np.frombuffer(x, np.int32).astype(np.int64) for x in r[5:])) for r in rows]
+        rows = tries.where(F.col("shard").between(first, first + TRIES - 1)).toArrow().combine_chunks()
+        made = [_trie_of(rows.slice(k, 1)) for k in range(len(rows))]
         if made:
             shared = context.broadcast(made)
             sums = texts.mapInArrow(_count(shared), "lang string, phrase string, c long").groupBy("lang", "phrase").agg(F.sum("c").alias("f"))

@@ -77,11 +77,11 @@ def test_double_array_holds_exactly_its_rows():
     pick = random.Random(5)
     rows = {(pick.randint(1, 3), *(pick.randint(4, 400) for _ in range(pick.choice((1, 2, 3))))) for _ in range(20_000)}
     rows = sorted(rows)
-    symbols = np.zeros((len(rows), 4), np.int64)
+    symbols = np.zeros((len(rows), 4), np.int64)  # a language and three words of one symbol each
     for k, r in enumerate(rows):
         symbols[k, : len(r)] = r
     base, check, accept = collocations.double_array(symbols)
-    trie = collocations.Trie([], [], [], [], base, check, accept)
+    trie = collocations.Trie(None, None, None, None, base, check, accept)
 
     def find(r):
         state = np.array([1])
@@ -92,7 +92,7 @@ def test_double_array_holds_exactly_its_rows():
     assert [find(r) for r in rows[::7]] == list(range(0, len(rows), 7))
     strange = [tuple(pick.randint(1, 400) for _ in range(4)) for _ in range(3000)]
     assert all(find(r) == -1 for r in strange if r not in set(rows))
-    assert len(check) < 8 * len(rows)
+    assert len(check) < 4 * len(rows)
 
 
 def test_exact_beyond_64_bits(spark):
