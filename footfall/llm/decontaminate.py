@@ -6,8 +6,11 @@ of fewer words. Only stretches whose word q-grams all occur in the items are str
 matched length provably stays under the shortest window.
 
 Benchmark text does not grow with the corpus, yet its size is checked: it is dealt to shards of about
-`shard_bytes`, each with its own automaton, and documents pass one shard after the other without a
-shuffle. Documents are never collected or shuffled.
+`shard_bytes`, each with its own automaton. One pass over the documents serves all shards: a task holds
+batches of about HELD_BYTES, a sieve of the q-grams of all shards (ten bytes a benchmark word) says which
+stretch may match in which shard, and the automata so named are loaded one after the other. A task thus
+holds the sieve, one automaton and the held batches, however many shards there are; the driver builds one
+automaton at a time. Documents are never collected or shuffled.
 
 Defined results: null and empty texts have no words and are clean; items without a word have no window;
 an item without id counts under the empty id; items sharing an id count once; repeated documents are judged alike;
@@ -16,6 +19,7 @@ columns other than text and doc_id pass through untouched; an empty benchmark le
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,6 +32,7 @@ from footfall.llm.text import ALNUM, Slice, Words, find_words, grams, slices
 
 WINDOW = 10
 SHARD_BYTES = 1 << 20
+HELD_BYTES = 1 << 23
 #: Documents of which more than this share of words is benchmark text are dropped whole.
 MAX_COVERAGE = 0.5
 
@@ -56,11 +61,6 @@ class SuffixAutomaton:
         self._label(items)
         sizes = [len(words) for _, words in items if words]
         self.shortest = min([window, *sizes])
-        self.q = min(4, self.shortest)
-        known = [grams(np.array(words, np.uint64), self.q) for _, words in items if len(words) >= self.q]
-        self.known = np.unique(np.concatenate(known)) if known else np.empty(0, np.uint64)
-        self.sieve = np.zeros(1 << 20, bool)
-        self.sieve[(self.known >> np.uint64(44)).astype(np.int64)] = True
 
     def _state(self, length: int, following: dict[int, int], link: int) -> int:
         self.next.append(following)
@@ -133,35 +133,65 @@ class SuffixAutomaton:
                 u = self.above[link[u]]
         return hits
 
-    def scan(self, part: Slice, words: Words) -> tuple[np.ndarray, dict[int, set[str]]]:
-        """A mark for each word of the slice, and the item names by row."""
-        marks = np.zeros(len(words.starts), bool)
-        found: dict[int, set[str]] = {}
+
+class Sieve:
+    """The word q-grams of the shards that share a q, and which shards hold each."""
+
+    #: Grams that are set against their shards at once.
+    CHUNK = 1 << 22
+
+    def __init__(self, q: int, known: dict[int, np.ndarray], shortest: dict[int, int]) -> None:
+        self.q = q
+        every = np.concatenate(list(known.values()))
+        owners = np.repeat(np.array(list(known), np.int32), [len(k) for k in known.values()])
+        order = np.argsort(every, kind="stable")
+        self.grams, first = np.unique(every[order], return_index=True)
+        self.first, self.owners = np.r_[first, len(every)], owners[order]
+        self.shortest = np.zeros(max(known) + 1, np.int64)
+        self.shortest[list(known)] = [shortest[k] for k in known]
+        self.least = min(shortest[k] for k in known)
+        self.shift = np.uint64(64 - min(26, max(20, 3 + len(self.grams).bit_length())))
+        self.bits = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.bits[(self.grams >> self.shift).astype(np.int64)] = True
+
+    def stretches(self, words: Words) -> Iterator[tuple[int, int, int, int]]:
+        """Shard, row and word range of all stretches whose q-grams the shard holds and that are long enough."""
         g = grams(words.hashes, self.q)
-        if not len(g) or not len(self.known):
-            return marks, found
-        at = np.flatnonzero(self.sieve[(g >> np.uint64(44)).astype(np.int64)])
-        at = at[self.known[np.minimum(np.searchsorted(self.known, g[at]), len(self.known) - 1)] == g[at]]
+        at = np.flatnonzero(self.bits[(g >> self.shift).astype(np.int64)])
+        place = np.minimum(np.searchsorted(self.grams, g[at]), len(self.grams) - 1)
         row = np.searchsorted(words.bounds, at, side="right") - 1
-        keep = at + self.q <= words.bounds[row + 1]
-        at, row = at[keep], row[keep]
+        keep = (self.grams[place] == g[at]) & (at + self.q <= words.bounds[row + 1])
+        at, row, place = at[keep], row[keep], place[keep]
+        if not len(at):
+            return
+        # Runs over all shards first: few are long enough, and only their grams are set against the shards.
+        run = np.cumsum(np.r_[True, (np.diff(at) > 1) | (np.diff(row) > 0)]) - 1
+        keep = np.bincount(run)[run] + self.q - 1 >= self.least
+        at, row, place, run = at[keep], row[keep], place[keep], run[keep]
         if not len(at):
-            return marks, found
-        cut = np.flatnonzero(np.r_[True, (np.diff(at) > 1) | (np.diff(row) > 0), True])
-        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-            lo, hi = int(at[a]), int(at[b - 1]) + self.q
-            if hi - lo < self.shortest:
-                continue
-            names: set[str] = set()
-            for s, e in self.stream(words.hashes[lo:hi].tolist(), names):
-                marks[lo + s : lo + e] = True
-            if names:
-                found.setdefault(int(row[a]), set()).update(names)
-        return marks, found
-
-
-def shards(benchmark: DataFrame, window: int, shard_bytes: int) -> Iterator[SuffixAutomaton]:
-    """Automata of the items, dealt by their text so that each holds about `shard_bytes`."""
+            return
+        owned = self.first[place + 1] - self.first[place]
+        total = np.r_[0, np.cumsum(owned)]
+        ends = np.r_[np.flatnonzero(np.diff(run)) + 1, len(run)]
+        begin = 0
+        while begin < len(at):
+            k = np.searchsorted(total[ends], total[begin] + self.CHUNK, side="right") - 1
+            end = int(ends[max(k, np.searchsorted(ends, begin, side="right"))])
+            n = owned[begin:end]
+            gram = np.repeat(np.arange(begin, end), n)
+            shard = self.owners[self.first[place[gram]] + np.arange(len(gram)) - np.repeat(total[begin:end] - total[begin], n)]
+            order = np.lexsort((gram, shard))
+            gram, shard = gram[order], shard[order]
+            first = np.flatnonzero(np.r_[True, (shard[1:] != shard[:-1]) | (at[gram[1:]] != at[gram[:-1]] + 1) | (row[gram[1:]] != row[gram[:-1]])])
+            last = np.r_[first[1:], len(gram)] - 1
+            lo, hi, owner = at[gram[first]], at[gram[last]] + self.q, shard[first]
+            some = hi - lo >= self.shortest[owner]
+            yield from zip(owner[some].tolist(), row[gram[first]][some].tolist(), lo[some].tolist(), hi[some].tolist(), strict=True)
+            begin = end
+
+
+def shards(benchmark: DataFrame, window: int, shard_bytes: int) -> Iterator[tuple[SuffixAutomaton, int, np.ndarray]]:
+    """Automata of the items, dealt by their text so that each holds about `shard_bytes`, with their q-grams."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), "text").where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = 1 + size // shard_bytes
@@ -170,43 +200,68 @@ def shards(benchmark: DataFrame, window: int, shard_bytes: int) -> Iterator[Suff
         words = []
         for row in rows:
             part = next(slices(pa.array([row["text"]])))
-            words.append((row["id"], find_words(part, ALNUM).hashes.tolist()))
-        yield SuffixAutomaton([x for x in words if x[1]], window)
+            found = find_words(part, ALNUM).hashes
+            if len(found):
+                words.append((row["id"], found))
+        if words:
+            q = min(4, window, *(len(w) for _, w in words))
+            known = np.unique(np.concatenate([grams(w, q) for _, w in words]))
+            yield SuffixAutomaton([(name, w.tolist()) for name, w in words], window), q, known
 
 
-def _mark(automaton, column: str, first: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Adds one shard's matches to the rows: number of words, hit ranges of bytes and words, item names."""
+def _walk(automata: list, sieves, column: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds the matches of all shards to the rows: number of words, hit ranges of bytes, item names, number of hits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = automaton.value
-        for batch in batches:
-            earlier = [None] * len(batch) if first else batch.column(batch.schema.get_field_index(_FOUND)).to_pylist()
-            rows = []
-            for part in slices(batch.column(batch.schema.get_field_index(column))):
-                words = find_words(part, ALNUM)
-                marks, found = shard.scan(part, words)
+        loaded: int | None = None
+
+        def shard(k: int) -> SuffixAutomaton:
+            nonlocal loaded
+            if loaded is not None and loaded != k:
+                vars(automata[loaded]).pop("_value", None)  # a worker keeps the automaton it read last, and no other
+            loaded = k
+            return automata[k].value
+
+        def settle(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts, todo = [], defaultdict(list)
+            for b, batch in enumerate(held):
+                for part in slices(batch.column(batch.schema.get_field_index(column))):
+                    words = find_words(part, ALNUM)
+                    for sieve in sieves.value:
+                        for k, row, lo, hi in sieve.stretches(words):
+                            todo[k].append((len(parts), row, lo, hi))
+                    parts.append((b, part, words, np.zeros(len(words.starts), bool), defaultdict(set)))
+            for k in sorted(todo):
+                automaton = shard(k)
+                for p, row, lo, hi in todo[k]:
+                    _, _, words, marks, found = parts[p]
+                    names: set[str] = set()
+                    for s, e in automaton.stream(words.hashes[lo:hi].tolist(), names):
+                        marks[lo + s : lo + e] = True
+                    found[row] |= names
+            rows: list[list[dict]] = [[] for _ in held]
+            for b, part, words, marks, found in parts:
                 for i in range(len(part)):
                     lo, hi = words.bounds[i], words.bounds[i + 1]
-                    mine, names = marks[lo:hi], found.get(i, set())
-                    old = earlier[part.first + i]
-                    if old:
-                        names = names | set(old["items"])
-                        for a, b in zip(old["spans"][::2], old["spans"][1::2], strict=True):
-                            s = words.starts[lo:hi] - part.offsets[i]
-                            mine = mine | ((s >= a) & (s < b))
-                    spans: list[int] = []
+                    mine, spans = marks[lo:hi], []
                     if mine.any():
                         edge = np.flatnonzero(np.diff(np.r_[False, mine, False]))
-                        spans = np.stack(
-                            [words.starts[lo + edge[::2]], words.ends[lo + edge[1::2] - 1]], 1
-                        ).ravel() - part.offsets[i]
+                        spans = np.stack([words.starts[lo + edge[::2]], words.ends[lo + edge[1::2] - 1]], 1).ravel() - part.offsets[i]
                         spans = spans.tolist()
-                    rows.append({"words": int(hi - lo), "hits": int(mine.sum()), "spans": spans, "items": sorted(names)})
-            kept = [c for c in batch.schema.names if c not in (_FOUND, _FOUND + "_hits")]
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            hits = pa.array([r.pop("hits") for r in rows], pa.int64())
+                    rows[b].append({"words": int(hi - lo), "hits": int(mine.sum()), "spans": spans, "items": sorted(found.get(i, ()))})
             kind = pa.struct([("words", pa.int64()), ("spans", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, kind), hits], [*kept, _FOUND, _FOUND + "_hits"])
+            for batch, some in zip(held, rows, strict=True):
+                hits = pa.array([r.pop("hits") for r in some], pa.int64())
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(some, kind), hits], [*batch.schema.names, _FOUND, _FOUND + "_hits"])
+
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.column(batch.schema.get_field_index(column)).nbytes
+            if size >= HELD_BYTES:
+                yield from settle(held)
+                held, size = [], 0
+        yield from settle(held)
 
     return run
 
@@ -217,11 +272,14 @@ def find_contamination(
     """The rows of docs with `__found` (words; byte spans as start, end, ...; item ids) and `__found_hits` (words hit)."""
     spark: SparkSession = docs.sparkSession
     schema = T.StructType([*docs.schema.fields, T.StructField(_FOUND, _FOUND_TYPE), T.StructField(_FOUND + "_hits", T.LongType())])
-    out, first = docs, True
-    for automaton in shards(benchmark, window, shard_bytes):
-        out = out.mapInArrow(_mark(spark.sparkContext.broadcast(automaton), "text", first), schema)
-        first = False
-    return out
+    automata: list = []
+    known: dict[int, dict[int, np.ndarray]] = defaultdict(dict)
+    shortest = {}
+    for k, (automaton, q, own) in enumerate(shards(benchmark, window, shard_bytes)):
+        automata.append(spark.sparkContext.broadcast(automaton))
+        known[q][k], shortest[k] = own, automaton.shortest
+    sieves = spark.sparkContext.broadcast([Sieve(q, own, shortest) for q, own in sorted(known.items())])
+    return docs.mapInArrow(_walk(automata, sieves, "text"), schema)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> DataFrame:

@@ -29,6 +29,45 @@ def test_given_documents(docs, rows, benchmark, shard_bytes):
     assert out == want and any(x[-1] for x in want.values())
 
 
+def test_many_shards_in_one_pass(spark, docs, rows, benchmark, monkeypatch):
+    """Fifty shards are one Python operator, and a task holds one automaton at a time."""
+    items = items_of(benchmark)
+    size = sum(len((t or "").encode()) for _, t in items) // 50
+    found = decontaminate.find_contamination(docs.select("doc_id", "text"), benchmark, shard_bytes=size)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    monkeypatch.setattr(decontaminate, "HELD_BYTES", 1 << 14)
+    monkeypatch.setattr(decontaminate.Sieve, "CHUNK", 64)
+    assert by_id(decontaminate.report(docs, benchmark, shard_bytes=size)) == contamination(rows, items)
+    automata = [Kept(a) for a, _, _ in decontaminate.shards(benchmark, decontaminate.WINDOW, size)]
+    assert len(automata) > 25
+    sieves = Kept([decontaminate.Sieve(*x) for x in grouped(decontaminate.shards(benchmark, decontaminate.WINDOW, size))])
+    batches = docs.select("doc_id", "text").toArrow().to_batches()
+    out = list(decontaminate._walk(automata, sieves, "text")(iter(batches)))
+    assert sum(len(b) for b in out) == len(rows) and sum(a.reads > 0 for a in automata) > 1
+    assert sum("_value" in vars(a) for a in automata) == 1
+
+
+class Kept:
+    """A broadcast as a worker sees it: read when asked for, then kept."""
+
+    def __init__(self, value):
+        self.stored, self.reads = value, 0
+
+    @property
+    def value(self):
+        if "_value" not in vars(self):
+            self._value, self.reads = self.stored, self.reads + 1
+        return self._value
+
+
+def grouped(shards):
+    known, shortest = {}, {}
+    for k, (automaton, q, own) in enumerate(shards):
+        known.setdefault(q, {})[k] = own
+        shortest[k] = automaton.shortest
+    return [(q, own, shortest) for q, own in known.items()]
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_random_words(spark, seed):
     """Few different words, so windows overlap, nest and repeat; short items among them."""
@@ -41,6 +80,7 @@ def test_random_words(spark, seed):
     df = spark.createDataFrame(some, "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     assert by_id(decontaminate.report(df, bench)) == contamination(some, items)
+    assert by_id(decontaminate.report(df, bench, shard_bytes=60)) == contamination(some, items)
 
 
 def test_odd_documents(odd, odd_rows, benchmark, repeated, empty):
