@@ -11,7 +11,8 @@ required), joined by tool name: a missing required field, a field of another typ
 an error each; an unknown tool is one error. The order is topological: a call comes before its result and
 after the results of the calls it names in `after`. It is given by (order_turn, phase), not by a running
 number, so no conversation is gathered in one task: order_turn starts as the later of the own and the linked
-turn and is raised along `after` until nothing changes; calls that wait for a cycle have none. JSON is
+turn and is raised along `after`, in rounds of joins of which a chain takes the logarithm of its length; calls
+that wait for a cycle have none. JSON is
 canonical: keys sorted, no blanks, UTF-8.
 
 Defined results: a null text is a call without the argument `prompt` or a result with null content; rows
@@ -112,9 +113,38 @@ def _errors(args: Column, fields: Column) -> Column:
     return F.when(fields.isNull(), 1).otherwise(F.size(missing) + F.size(wrong)).cast("long")
 
 
+def _chains(picked: DataFrame, most: int) -> DataFrame:
+    """What each call learns along the chain of its picked references: conv_id, call_id, best (the turn it cannot
+    come before), bad (the chain never ends, or meets a call that waits for a cycle).
+
+    picked: conv_id, call_id, ref, best, bad, one row a call. Pointers double: after k rounds a call has seen 2^k
+    calls of its chain."""
+    jumps = stored(picked.withColumn("hops", F.lit(1).cast("long")), "chains")
+    seen = 1
+    while seen <= most and jumps.where("ref is not null").limit(1).count():
+        ahead = jumps.select("conv_id", F.col("call_id").alias("ref"), F.col("ref").alias("next"), F.col("best").alias("far"), F.col("bad").alias("far_bad"), F.col("hops").alias("more"))
+        jumps = stored(
+            jumps.join(ahead, ["conv_id", "ref"], "left").select(
+                *_ID,
+                F.col("next").alias("ref"),
+                F.greatest("best", F.col("far") + F.col("hops")).alias("best"),
+                (F.col("bad") | F.coalesce("far_bad", F.lit(False))).alias("bad"),
+                (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"),
+            ),
+            "chains",
+        )
+        seen *= 2
+    # A chain without a cycle has no more links than its conversation has references.
+    return jumps.select(*_ID, "best", (F.col("bad") | F.col("ref").isNotNull()).alias("bad"))
+
+
 def _raised(calls: DataFrame, results: DataFrame) -> DataFrame | None:
     """conv_id, call_id and order_turn where `after` references raise it (null in or behind a cycle); None without
-    references."""
+    references.
+
+    Each call picks the reference that ends last, the chains of picked references are followed by pointer doubling,
+    and this repeats until no reference asks for more: one such step for each time that the longest way to a call
+    leaves the picked chains, which for plain chains, and for calls that name several or all before them, is one."""
     waits = calls.where((F.size("after") > 0) & F.col("conv_id").isNotNull()).select(*_ID, F.explode("after").alias("ref"))
     most = waits.groupBy("conv_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
     if most is None:
@@ -127,17 +157,19 @@ def _raised(calls: DataFrame, results: DataFrame) -> DataFrame | None:
     step = 0
     while True:
         ends = now.join(base, _ID).select("conv_id", F.col("call_id").alias("ref"), F.greatest("at", "result_turn").alias("end"), "endless")
-        least = links.join(ends, ["conv_id", "ref"]).groupBy(*_ID).agg((F.max("end") + 1).alias("least"), F.bool_or("endless").alias("stuck"))
-        later = F.greatest("at", "least")
-        # A chain has no more links than a conversation has references: what moves after that many steps, and
-        # what waits for it, is in or behind a cycle.
-        endless = F.col("endless") | F.coalesce("stuck", F.lit(False)) | ((later > F.col("at")) & F.lit(step > most))
-        moved = (endless & ~F.col("endless")) | ((later > F.col("at")) & ~endless)
-        raised = now.join(least, _ID, "left").select(*_ID, later.alias("at"), endless.alias("endless"), moved.alias("moved"))
-        raised = stored(raised, "order")
-        now, step = raised.drop("moved"), step + 1
-        if not raised.where("moved").limit(1).count():
+        last = F.max(F.struct(F.coalesce("end", F.lit(-1)).alias("end"), "ref"))
+        picked = links.join(ends, ["conv_id", "ref"]).groupBy(*_ID).agg(last.alias("last"), (F.max("end") + 1).alias("best"), F.bool_or("endless").alias("bad"))
+        picked = stored(now.join(picked, _ID).select(*_ID, F.col("last.ref").alias("ref"), "best", "bad", "at", "endless"), "picked")
+        # Another step is due where a reference asks for more than its call has.
+        if not picked.where("not endless and (bad or best > at or (at is null and best is not null))").limit(1).count():
             return now.select(*_ID, F.when(~F.col("endless"), F.col("at")).alias("order_turn"))
+        chains = _chains(picked.drop("at", "endless"), most)
+        # What still moves after as many steps as a chain can have links is in or behind a cycle.
+        moved = F.lit(step > most) & (F.col("best") > F.col("at"))
+        raised = now.join(chains, _ID, "left").select(
+            *_ID, F.greatest("at", "best").alias("at"), (F.col("endless") | F.coalesce(F.col("bad") | moved, F.lit(False))).alias("endless")
+        )
+        now, step = stored(raised, "order"), step + 1
 
 
 def format_calls(conversations: DataFrame, schemas: DataFrame | None = None) -> DataFrame:

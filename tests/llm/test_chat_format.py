@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import json
+import random
+
+import pytest
 
 from footfall.llm import chat_format
 from tests.llm.conftest import SF
@@ -70,6 +73,51 @@ def test_topological_order(spark):
     assert at["call", "x"][0] is None and at["call", "y"][0] is None and at["call", "z"][0] == 2
 
 
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    """Chains of a thousand calls, of which some name several before them: a dozen rounds each."""
+    n = 1000
+    one = lambda k, after: call({"id": f"c{k}", "name": "t", "arguments": {}, "after": after})
+    rows = [(1, n - k, "assistant", one(k, [f"c{k - 1}"] if k else [])) for k in range(n)]
+    rows += [(2, k, "assistant", one(k, [f"c{j}" for j in range(max(0, k - 3), k)])) for k in range(n)]
+    rounds = []
+    stored = chat_format.stored
+    monkeypatch.setattr(chat_format, "stored", lambda df, name: (rounds.append(name), stored(df, name))[1])
+    out = chat_format.format_calls(spark.createDataFrame(rows, TALK))
+    at = {(r["conv_id"], r["call_id"]): r["order_turn"] for r in out.collect()}
+    assert all(at[1, f"c{k}"] == n + k and at[2, f"c{k}"] == k for k in range(n))
+    assert rounds.count("chains") <= 13
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_order_of_random_references(spark, seed):
+    """Against plain relaxation; cycles, references to nothing and to themselves among them."""
+    pick = random.Random(seed)
+    rows, after, own, result = [], {}, {}, {}
+    for conv in range(6):
+        n = 14
+        for k in range(n):
+            backward = [j for j in range(n) if j != k] if conv == 0 else list(range(k)) + ([k + 1] if pick.random() < 0.08 else [])
+            refs = pick.sample(backward, min(len(backward), pick.choice((0, 1, 1, 2, 3)))) + ([99] if pick.random() < 0.1 else []) + ([k] if pick.random() < 0.03 else [])
+            own[conv, k] = result[conv, k] = pick.randint(0, 50)
+            after[conv, k] = refs
+            body = {"id": str(k), "name": "t", "arguments": {}, "after": [str(r) for r in refs]}
+            rows.append((conv, own[conv, k], "assistant", call(body)))
+            if pick.random() < 0.6:
+                late = pick.randint(0, 60)
+                result[conv, k] = max(own[conv, k], late)
+                rows.append((conv, late, "tool", json.dumps({"tool_call_id": str(k), "content": 0})))
+    at = dict(own)
+    for _ in range(500):
+        for (c, k), refs in after.items():
+            for r in refs:
+                if (c, r) in at:
+                    at[c, k] = max(at[c, k], max(at[c, r], result[c, r]) + 1)
+    want = {key: v if v < 200 else None for key, v in at.items()}
+    assert None in want.values()
+    out = chat_format.format_calls(spark.createDataFrame(rows, TALK)).where("kind = 'call'").collect()
+    assert {(r["conv_id"], int(r["call_id"])): r["order_turn"] for r in out} == want
+
+
 def test_empty_lists_and_mixed_messages(spark):
     """No turn vanishes: an empty list is a plain turn, a message may be calls and a result, words beside calls stay."""
     one = {"id": "a", "name": "t", "arguments": {}}
