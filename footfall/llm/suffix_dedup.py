@@ -6,7 +6,8 @@ document further left). All strings are judged on the input.
 Finding who may be equal. Every string of LENGTH bytes has one anchor: its GRAM-byte piece with the smallest
 hash, the leftmost of equals. Equal strings have equal anchors at equal places, so only occurrences of one
 anchor need comparing, and all strings of an anchor lie in its context: LENGTH - GRAM bytes before it to
-LENGTH bytes from it. Documents are dealt to blocks of about BLOCK_BYTES; a block reports each distinct
+LENGTH bytes from it. Documents are dealt by id and text to blocks of about BLOCK_BYTES, so rows that lack or
+share an id are spread; places are ordered by (id, block, offset). A block reports each distinct
 (anchor, context) once, so that copies are summed up before the shuffle. Sorted by anchor, context and place,
 the reports show in one streaming pass which contexts are whole copies of an earlier one, which anchors are
 unique, and which anchors have different contexts. Only the last need their bytes.
@@ -24,7 +25,7 @@ share) is not gathered: its strings are dealt by their own 128-bit hash and the
 aggregation with partial sums.
 
 Defined results: null and empty texts have no bytes and nothing removed; null ids come before all others;
-rows that share an id are ordered by their text, exact repeats arbitrarily; offsets are bytes, so a cut may
+rows that share an id are ordered by a hash of their text, then by the text, exact repeats arbitrarily; offsets are bytes, so a cut may
 split a character. `dedup` keeps the text as binary for that reason. Empty tables give empty results.
 """
 
@@ -374,7 +375,7 @@ def _compare_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         column = table.column("bytes").chunk(0)
         offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
         data = np.frombuffer(column.buffers()[2], np.uint8)
-        order = np.lexsort((table.column("at").to_numpy(), table.column("doc").to_numpy()))
+        order = np.lexsort([table.column(c).to_numpy() for c in ("at", "block", "doc")])
         which, r = compare(data, offsets[:-1][order], table.column("before").to_numpy()[order], np.diff(offsets)[order])
         return _ranges(table.column("block").to_numpy()[order][which], table.column("at").to_numpy()[order][which] - r)
 
@@ -461,11 +462,11 @@ def _texts(left: pa.Table, right: pa.Table) -> pa.Table:
 def _bundles_and_ranges(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    keyed = docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(1 + size // BLOCK_BYTES)).alias("block"), "text")
+    keyed = docs.select("doc_id", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 + size // BLOCK_BYTES)).alias("block"), "text")
     bundles = keyed.mapInArrow(_bundle, "block long, ids array<long>, sizes array<long>, z binary")
 
     reports = bundles.groupBy("block").applyInArrow(_reports, "h long, ctx long, doc long, block long, at long, more array<long>")
-    sorted_ = reports.repartition("h").sortWithinPartitions("h", "ctx", "doc", "at")
+    sorted_ = reports.repartition("h").sortWithinPartitions("h", "ctx", "doc", "block", "at")
     judged = stored(sorted_.mapInArrow(_judge, "h long, doc long, block long, at long"), "judged")
     copies = judged.where("h is null").select("block", F.col("at").alias("start"), F.lit(None).cast("long").alias("stop"))
 
@@ -482,8 +483,8 @@ def _bundles_and_ranges(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame
     if crowded.limit(1).count():
         strings = fetch(asked.join(crowded, "h", "left_semi")).mapInArrow(_strings, "one long, two long, doc long, block long, start long")
         strings = stored(strings, "strings")
-        first = strings.groupBy("one", "two").agg(F.min(F.struct("doc", "start")).alias("first"))
-        later = strings.join(first, ["one", "two"]).where(F.struct("doc", "start") > F.col("first"))
+        first = strings.groupBy("one", "two").agg(F.min(F.struct("doc", "block", "start")).alias("first"))
+        later = strings.join(first, ["one", "two"]).where(F.struct("doc", "block", "start") > F.col("first"))
         ranges = ranges.unionByName(later.select("block", "start", (F.col("start") + LENGTH).alias("stop")))
     return bundles, ranges
 

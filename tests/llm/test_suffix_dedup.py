@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from footfall.llm import suffix_dedup
 from tests.llm.brute import repeated_bytes
@@ -53,6 +54,23 @@ def test_repeated_rows_and_null_ids(repeated):
     assert all(r["n_removed"] == r["n_bytes"] for r in copies)  # a null id has the same text
 
 
+@pytest.mark.parametrize("hot", [2, 10_000])
+def test_many_rows_without_or_with_one_id(spark, docs, rows, monkeypatch, hot):
+    """A third of the rows lacks an id and a third shares one: they are spread over the blocks, and the result is
+    that of the order (id, block, text)."""
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 1 << 14)
+    made = [((None, 7, d)[d % 3], t) for d, t in rows]
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    n = 1 + sum(len((t or "").encode()) for _, t in made) // (1 << 14)
+    block = F.pmod(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), F.lit(n))
+    blocks = [r[0] for r in df.select(block).collect()]
+    assert n > 10 and max(blocks.count(b) for b in set(blocks)) < len(made) / 3
+    order = sorted(range(len(made)), key=lambda i: (made[i][0] is not None, made[i][0] or 0, blocks[i], (made[i][1] or "").encode()))
+    want = repeated_bytes([(k, made[i][1]) for k, i in enumerate(order)])
+    out = sorted(tuple(r)[1:] for r in suffix_dedup.report(df, hot).collect())
+    assert out == sorted(want[k] for k in range(len(made)))
+
+
 def test_texts(docs, rows):
     kept = {r["doc_id"]: bytes(r["text"]) for r in suffix_dedup.dedup(docs).collect()}
     want = repeated_bytes(rows)
