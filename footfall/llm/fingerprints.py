@@ -8,7 +8,8 @@ set is too short for the asked similarity, the sets are not walked.
 `with_next` sets every document against its edited form (its last half replaced by the beginning of the next
 document) and against the next document. Documents are range-partitioned by id and streamed in order, one row
 carried along; the first document of each partition is also sent to the partition before it, so every row
-meets its successor without a global sort or a second shuffle.
+meets its successor without a global sort or a second shuffle. Rows that lack an id, and those of an id that
+holds several ranges, are dealt on by ranges of the hash of their text.
 
 `near_pairs` joins whole collections: documents with equal sets are one class; classes are partitioned by set
 length, so that a pair can only meet inside a length band or its neighbour, and joined on the rarest signatures
@@ -18,18 +19,20 @@ op5 query does not use it: `with_next` compares given pairs by plain Jaccard, wi
 
 Defined results: a text with few chains is fingerprinted by its words, too, one without words by its bytes, so
 equal texts always have equal fingerprints and likeness 1; null counts as empty; null ids come first,
-rows that share an id are ordered by text; after the last document comes the first (a lone document follows
+rows that share an id, or lack one, are ordered by a hash of their text, then by text; after the last document comes the first (a lone document follows
 itself); empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.text import ALNUM, Slice, find_words, grams, mix, slices
@@ -134,30 +137,45 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _dealt(docs: DataFrame, wanted: int) -> tuple[DataFrame, int]:
+    """doc_id, text and mark (a hash of the text) with their part, and the number of parts. Parts follow the order of
+    (doc_id, mark): ranges of ids between quantiles; an id that holds several quantiles has as many parts of its own,
+    ranges of the mark, and so have null ids by their share."""
+    docs = docs.withColumn("mark", F.xxhash64("text"))
+    shares = [k / wanted for k in range(1, wanted)]
+    n, known, borders = docs.agg(F.count("*"), F.count("doc_id"), F.percentile_approx("doc_id", shares, 10_000)).first()
+    times = Counter(borders or [])
+    edges = sorted(times)
+    own = [times[b] if times[b] > 1 else 0 for b in edges]
+    nulls = 1 + (n - known) * wanted // max(n, 1)
+    starts = [nulls, *(nulls + k + 1 + w for k, w in enumerate(itertools.accumulate(own)))]
+
+    def listed(values: list[int]) -> Column:
+        return F.array(*[F.lit(v) for v in values]).cast("array<long>")
+
+    def inside(parts: Column) -> Column:
+        return F.least(F.floor((F.col("mark") / F.lit(2.0**64) + F.lit(0.5)) * parts), parts - 1)
+
+    at = F.size(F.filter(listed(edges), lambda b: b < F.col("doc_id")))
+    start, several = F.get(listed(starts), at), F.get(listed(own), at)
+    crowded = (F.get(listed(edges), at) == F.col("doc_id")) & (several > 0)
+    part = F.when(F.col("doc_id").isNull(), inside(F.lit(nulls))).when(crowded, start + 1 + inside(several)).otherwise(start)
+    return docs.select(part.cast("int").alias("part"), "doc_id", "mark", "text"), starts[-1] + 1
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    wanted = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shares = [k / wanted for k in range(1, wanted)]
-    borders = docs.agg(F.percentile_approx("doc_id", shares, 10_000)).first()[0] or []
-    edges = F.array(*[F.lit(b) for b in sorted(set(borders))]).cast("array<long>")
-    # Null ids are part 0; ids up to the first border are part 1, and so on.
-    part = F.when(F.col("doc_id").isNull(), 0).otherwise(1 + F.size(F.filter(edges, lambda b: b < F.col("doc_id"))))
-    dealt = docs.select(part.alias("part"), "doc_id", "text")
-    firsts = dealt.groupBy("part").agg(F.min("doc_id").alias("doc_id")).orderBy("part").collect()
-    if not firsts:
-        firsts = [(0, None)]
+    dealt, n = _dealt(docs, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    firsts = dealt.groupBy("part").agg(F.min(F.struct("doc_id", "mark")).alias("first")).orderBy("part").collect()
     # The first document of each part goes to the part before, the very first one to the last part.
-    before = {now[1]: last[0] for last, now in zip([firsts[-1], *firsts[:-1]], firsts, strict=True)}
-    chosen = [d for d in before if d is not None]
-    tails = docs.where(F.col("doc_id").isin(chosen) | (F.col("doc_id").isNull() if None in before else F.lit(False)))
-    tails = tails.groupBy("doc_id").agg(F.min("text").alias("text"))
-    to = F.lit(None).cast("int")
-    for doc, place in before.items():
-        to = F.when(F.col("doc_id").eqNullSafe(F.lit(doc).cast("long")), F.lit(place)).otherwise(to)
-    rows = dealt.withColumn("tail", F.lit(0)).unionByName(tails.select(to.alias("part"), "doc_id", "text", F.lit(1).alias("tail")))
-    rows = rows.repartitionById(len(borders) + 2, F.col("part").cast("int")).sortWithinPartitions("part", "tail", F.col("doc_id").asc_nulls_first(), "text")
+    moves = [(last["part"], now["first"]["doc_id"], now["first"]["mark"]) for last, now in zip([*firsts[-1:], *firsts[:-1]], firsts, strict=True)]
+    small = spark.createDataFrame(moves, "to int, of long, by long")
+    tails = docs.withColumn("mark", F.xxhash64("text")).join(F.broadcast(small), F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("by")))
+    tails = tails.groupBy("to", "doc_id", "mark").agg(F.min("text").alias("text"))
+    rows = dealt.withColumn("tail", F.lit(0)).unionByName(tails.select(F.col("to").alias("part"), "doc_id", "mark", "text", F.lit(1).alias("tail")))
+    rows = rows.repartitionById(n, F.col("part")).sortWithinPartitions("part", "tail", F.col("doc_id").asc_nulls_first(), "mark", "text")
     return rows.select("part", "doc_id", "text").mapInArrow(
         _walk,
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",

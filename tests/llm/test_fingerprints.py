@@ -62,6 +62,25 @@ def test_repeated_null_ids_and_empty(repeated, empty, odd_rows):
     assert fingerprints.with_next(empty).collect() == []
 
 
+def test_many_rows_without_or_with_one_id(spark, docs, rows):
+    """A third of the rows lacks an id and a third shares one: they are spread, and each meets its successor."""
+    made = [((None, 70, d)[d % 3], t or "") for d, t in rows]
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    dealt, n = fingerprints._dealt(df, 16)
+    placed = dealt.collect()
+    parts = [r["part"] for r in placed]
+    assert len(placed) == len(made) and max(parts) < n and max(parts.count(p) for p in set(parts)) < len(made) / 4
+    order = sorted(placed, key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["mark"], r["text"]))
+    assert [r["part"] for r in order] == sorted(parts)
+    want = []
+    for k, row in enumerate(order):
+        text, after = row["text"], order[(k + 1) % len(order)]["text"]
+        half = len(text) // 2
+        want.append((row["doc_id"] is not None, row["doc_id"] or 0, len(text), sha(text[: len(text) - half] + after[:half])))
+    out = [(r["doc_id"] is not None, r["doc_id"] or 0, r["n_chars"], r["edited_sha256"]) for r in fingerprints.with_next(df).collect()]
+    assert sorted(out) == sorted(want)
+
+
 def test_near_pairs_are_all_pairs(docs, odd):
     for df in (docs, odd):
         members = fingerprints.classes(df)
