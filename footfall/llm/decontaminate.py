@@ -209,6 +209,19 @@ def shards(benchmark: DataFrame, window: int, shard_bytes: int) -> Iterator[tupl
             yield SuffixAutomaton([(name, w.tolist()) for name, w in words], window), q, known
 
 
+def _joined(hits: dict[int, tuple[int, int]]) -> list[int]:
+    """Byte ranges of hit words, those of neighbouring words as one: start, end, ..."""
+    spans: list[int] = []
+    last = None
+    for w in sorted(hits):
+        if last is not None and w == last + 1:
+            spans[-1] = hits[w][1]
+        else:
+            spans += hits[w]
+        last = w
+    return spans
+
+
 def _walk(automata: list, sieves, column: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Adds the matches of all shards to the rows: number of words, hit ranges of bytes, item names, number of hits."""
 
@@ -223,36 +236,34 @@ def _walk(automata: list, sieves, column: str) -> Callable[[Iterator[pa.RecordBa
             return automata[k].value
 
         def settle(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            parts, todo = [], defaultdict(list)
+            # Of a slice's words only their numbers and the open stretches are kept.
+            n_words: list[list[int]] = [[] for _ in held]
+            todo: dict[int, list] = defaultdict(list)
             for b, batch in enumerate(held):
                 for part in slices(batch.column(batch.schema.get_field_index(column))):
                     words = find_words(part, ALNUM)
                     for sieve in sieves.value:
                         for k, row, lo, hi in sieve.stretches(words):
-                            todo[k].append((len(parts), row, lo, hi))
-                    parts.append((b, part, words, np.zeros(len(words.starts), bool), defaultdict(set)))
+                            bytes_ = np.stack([words.starts[lo:hi], words.ends[lo:hi]]) - part.offsets[row]
+                            todo[k].append((b, part.first + row, lo - words.bounds[row], words.hashes[lo:hi].copy(), bytes_))
+                    n_words[b] += np.diff(words.bounds).tolist()
+            hits, items = defaultdict(dict), defaultdict(set)
             for k in sorted(todo):
                 automaton = shard(k)
-                for p, row, lo, hi in todo[k]:
-                    _, _, words, marks, found = parts[p]
+                for b, row, first, hashes, bytes_ in todo[k]:
                     names: set[str] = set()
-                    for s, e in automaton.stream(words.hashes[lo:hi].tolist(), names):
-                        marks[lo + s : lo + e] = True
-                    found[row] |= names
-            rows: list[list[dict]] = [[] for _ in held]
-            for b, part, words, marks, found in parts:
-                for i in range(len(part)):
-                    lo, hi = words.bounds[i], words.bounds[i + 1]
-                    mine, spans = marks[lo:hi], []
-                    if mine.any():
-                        edge = np.flatnonzero(np.diff(np.r_[False, mine, False]))
-                        spans = np.stack([words.starts[lo + edge[::2]], words.ends[lo + edge[1::2] - 1]], 1).ravel() - part.offsets[i]
-                        spans = spans.tolist()
-                    rows[b].append({"words": int(hi - lo), "hits": int(mine.sum()), "spans": spans, "items": sorted(found.get(i, ()))})
+                    for s, e in automaton.stream(hashes.tolist(), names):
+                        for w in range(s, e):
+                            hits[b, row][first + w] = (int(bytes_[0, w]), int(bytes_[1, w]))
+                    items[b, row] |= names
             kind = pa.struct([("words", pa.int64()), ("spans", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
-            for batch, some in zip(held, rows, strict=True):
-                hits = pa.array([r.pop("hits") for r in some], pa.int64())
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(some, kind), hits], [*batch.schema.names, _FOUND, _FOUND + "_hits"])
+            for b, (batch, counts) in enumerate(zip(held, n_words, strict=True)):
+                rows = [
+                    {"words": n, "spans": _joined(hits[b, i]) if (b, i) in hits else [], "items": sorted(items[b, i]) if (b, i) in items else []}
+                    for i, n in enumerate(counts)
+                ]
+                n_hit = pa.array([len(hits[b, i]) if (b, i) in hits else 0 for i in range(len(counts))], pa.int64())
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, kind), n_hit], [*batch.schema.names, _FOUND, _FOUND + "_hits"])
 
         held, size = [], 0
         for batch in batches:
@@ -266,12 +277,7 @@ def _walk(automata: list, sieves, column: str) -> Callable[[Iterator[pa.RecordBa
     return run
 
 
-def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES
-) -> DataFrame:
-    """The rows of docs with `__found` (words; byte spans as start, end, ...; item ids) and `__found_hits` (words hit)."""
-    spark: SparkSession = docs.sparkSession
-    schema = T.StructType([*docs.schema.fields, T.StructField(_FOUND, _FOUND_TYPE), T.StructField(_FOUND + "_hits", T.LongType())])
+def _walker(spark: SparkSession, benchmark: DataFrame, window: int, shard_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     automata: list = []
     known: dict[int, dict[int, np.ndarray]] = defaultdict(dict)
     shortest = {}
@@ -279,7 +285,15 @@ def find_contamination(
         automata.append(spark.sparkContext.broadcast(automaton))
         known[q][k], shortest[k] = own, automaton.shortest
     sieves = spark.sparkContext.broadcast([Sieve(q, own, shortest) for q, own in sorted(known.items())])
-    return docs.mapInArrow(_walk(automata, sieves, "text"), schema)
+    return _walk(automata, sieves, "text")
+
+
+def find_contamination(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES
+) -> DataFrame:
+    """The rows of docs with `__found` (words; byte spans as start, end, ...; item ids) and `__found_hits` (words hit)."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(_FOUND, _FOUND_TYPE), T.StructField(_FOUND + "_hits", T.LongType())])
+    return docs.mapInArrow(_walker(docs.sparkSession, benchmark, window, shard_bytes), schema)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -296,20 +310,24 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_by
     )
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        spans = batch.column(batch.schema.get_field_index(_FOUND)).to_pylist()
-        texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-        for i, found in enumerate(spans):
-            if found["spans"]:
-                raw, at, kept = texts[i].encode(), 0, []
-                for a, b in zip(found["spans"][::2], found["spans"][1::2], strict=True):
-                    kept.append(raw[at:a])
-                    at = b
-                texts[i] = b"".join([*kept, raw[at:]]).decode()
-        names = batch.schema.names[:-2]
-        columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(j) for j, c in enumerate(names)]
-        yield pa.RecordBatch.from_arrays(columns, names)
+def _cut(batch: pa.RecordBatch, max_coverage: float) -> pa.RecordBatch:
+    """The rows of a batch with matches that are kept, without the matching spans."""
+    found, hits = batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
+    text = batch.schema.get_field_index("text")
+    cut = {}
+    for i, row in enumerate(found):
+        if row["spans"] and hits[i] <= max_coverage * row["words"]:
+            raw, at, kept = batch.column(text)[i].as_py().encode(), 0, []
+            for a, b in zip(row["spans"][::2], row["spans"][1::2], strict=True):
+                kept.append(raw[at:a])
+                at = b
+            cut[i] = b"".join([*kept, raw[at:]]).decode()
+    columns, names = batch.columns[:-2], batch.schema.names[:-2]
+    if cut:
+        columns[text] = pa.array([cut[i] if i in cut else t.as_py() for i, t in enumerate(columns[text])], columns[text].type)
+    out = pa.RecordBatch.from_arrays(columns, names)
+    keep = [n <= max_coverage * row["words"] for n, row in zip(hits, found, strict=True)]
+    return out if all(keep) else out.filter(pa.array(keep))
 
 
 def decontaminate(
@@ -321,9 +339,13 @@ def decontaminate(
 ) -> DataFrame:
     """docs without benchmark text: spans of at least a window are cut out of the text, and a document goes when
     more than `max_coverage` of its words were hit. Columns as given; a column n_chars follows the text."""
-    found = find_contamination(docs, benchmark, window, shard_bytes)
-    kept = found.where(F.col(_FOUND + "_hits") <= F.lit(max_coverage) * F.col(_FOUND)["words"])
-    out = kept.mapInArrow(_cut, docs.schema)
+    walk = _walker(docs.sparkSession, benchmark, window, shard_bytes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in walk(batches):
+            yield _cut(batch, max_coverage)
+
+    out = docs.mapInArrow(run, docs.schema)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(kind))
