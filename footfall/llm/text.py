@@ -109,7 +109,7 @@ _powers = _Kept()
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the hash base and of its inverse, modulo 2^64."""
     if not _powers.arrays or len(_powers.arrays[0]) < n:
-        size = max(n, SLICE_BYTES * 2)
+        size = max(n, SLICE_BYTES + 1)
         made = []
         for base in (_BASE, _INVERSE):
             steps = np.full(size, base, np.uint64)
