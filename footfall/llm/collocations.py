@@ -8,7 +8,8 @@ themselves are read from the texts in one more pass.
 Their exact numbers come from double-array tries of SHARD candidates at most, which is the bound of what is
 broadcast: language, then words, one state each. In a task numpy moves the states of all text positions of a
 slice at once, a level a step; the accepting states are binned and counted, and the sums of all tasks added. A
-few tries go with each scan of the texts, however many there are.
+task gives a row for each BLOCK of candidates, their numbers and counts packed; phrases are named once they are
+added up. A few tries go with each scan of the texts, however many there are.
 
 Levels are pruned by bitmaps of fixed size (2^BITS bits) over the frequent hashes; a full bitmap prunes less and
 loses nothing. Counts are combined in the tasks before they are shuffled, so a frequent word or phrase is few rows.
@@ -39,6 +40,7 @@ INSIDE = 50
 TOP = 2000
 SHARD = 1 << 18
 TRIES = 8
+BLOCK = 1 << 12
 DIGIT, DIGITS = 1024, 2
 BITS = 24
 
@@ -341,15 +343,41 @@ def _trie_of(row: pa.Table) -> Trie:
     return Trie(*texts, *(np.frombuffer(row[c][0].as_py(), np.int32) for c in ("base", "check", "accept")))
 
 
+_COUNTS = "trie int, block int, at binary, counts binary"
+
+
 def _count(tries) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What a task counts in its texts: for each trie and BLOCK of its candidates which of them it met, and how often."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = [np.zeros(len(t.phrase), np.int64) for t in tries.value]
         for tokens, names in _read(batches):
             for trie, total in zip(tries.value, totals, strict=True):
                 trie.count(tokens, names, total)
-        for trie, total in zip(tries.value, totals, strict=True):
+        for k, total in enumerate(totals):
             at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([trie.lang.take(pa.array(at)), trie.phrase.take(pa.array(at)), pa.array(total[at])], ["lang", "phrase", "c"])
+            blocks, first = np.unique(at // BLOCK, return_index=True)
+            parts = np.split(at, first[1:]) if len(at) else []
+            packed = [[x.tobytes() for x in some] for some in ([(p % BLOCK).astype(np.uint16) for p in parts], [total[p] for p in parts])]
+            columns = [np.full(len(blocks), k, np.int32), blocks.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *(pa.array(x, pa.binary()) for x in packed)], ["trie", "block", "at", "counts"])
+
+    return run
+
+
+def _add_up(tries) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The phrases of some blocks and the sums of all tasks; rows of a block are in one task, which holds 8 bytes a candidate."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for k, block, at, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                total = totals.setdefault((k, block), np.zeros(BLOCK, np.int64))
+                total[np.frombuffer(at, np.uint16)] += np.frombuffer(counts, np.int64)
+        for (k, block), total in totals.items():
+            trie, at = tries.value[k], np.flatnonzero(total)
+            named = pa.array(at + block * BLOCK)
+            yield pa.RecordBatch.from_arrays([trie.lang.take(named), trie.phrase.take(named), pa.array(total[at])], ["lang", "phrase", "f"])
 
     return run
 
@@ -370,8 +398,8 @@ def count_phrases(texts: DataFrame, candidates: DataFrame) -> DataFrame:
         made = [_trie_of(rows.slice(k, 1)) for k in range(len(rows))]
         if made:
             shared = context.broadcast(made)
-            sums = texts.mapInArrow(_count(shared), "lang string, phrase string, c long").groupBy("lang", "phrase").agg(F.sum("c").alias("f"))
-            counted.append(stored(sums, "counted"))
+            packed = texts.mapInArrow(_count(shared), _COUNTS).repartition("trie", "block")
+            counted.append(stored(packed.mapInArrow(_add_up(shared), "lang string, phrase string, f long"), "counted"))
             shared.destroy()
     out = candidates.sparkSession.createDataFrame([], "lang string, phrase string, f long")
     for part in counted:

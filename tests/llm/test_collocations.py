@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from footfall.llm import collocations
@@ -104,3 +105,27 @@ def test_exact_beyond_64_bits(spark):
         "a b": (10**13, 2 * 10**13, 10**6 * (10**13 - 7) ** 2 // (2 * 10**26)),
         "a b c": (10**13, 10**12 - 1, 10**6 * (10**12 - 2) ** 2 // (10**13 * (10**12 - 1))),
     }
+
+
+def test_a_task_gives_a_row_for_each_block_of_candidates(monkeypatch):
+    """Counts of two tasks, packed, add up to those of all occurrences; words repeat no phrase for each task."""
+    monkeypatch.setattr(collocations, "BLOCK", 16)
+    words = [f"w{k}" for k in range(9)]
+    pairs = sorted(f"{a} {b}" for a in words for b in words)
+    tries = [collocations.build_trie(pa.array(["en"] * len(some)), pa.array(some)) for some in (pairs[:40], pairs[40:])]
+    pick = random.Random(5)
+    texts = [[" ".join(pick.choices(words, k=200)) for _ in range(20)] for _ in range(2)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(["en"] * 20), pa.array(x)], ["lang", "text"]) for x in texts]
+
+    class Shared:
+        value = tries
+
+    packed = [b for x in batches for b in collocations._count(Shared)(iter([x]))]
+    assert sum(b.num_rows for b in packed) == 2 * (3 + 3)
+    found = Counter()
+    for b in collocations._add_up(Shared)(iter(packed)):
+        assert b.schema.names == ["lang", "phrase", "f"]
+        found.update(dict(zip(b["phrase"].to_pylist(), b["f"].to_pylist(), strict=True)))
+    each = [x.split() for some in texts for x in some]
+    assert found == Counter(f"{a} {b}" for x in each for a, b in zip(x, x[1:], strict=False))
+    assert [b.num_rows for b in collocations._count(Shared)(iter([]))] == [0, 0]
