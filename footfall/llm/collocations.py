@@ -41,6 +41,7 @@ TOP = 2000
 SHARD = 1 << 18
 TRIES = 8
 BLOCK = 1 << 12
+GROUPS, HELD = 1024, 1 << 18
 DIGIT, DIGITS = 1024, 2
 BITS = 24
 
@@ -178,11 +179,32 @@ def _screen(size: int, maps) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     return run
 
 
+_NAMES = "part int, lang string, phrase array<string>, h array<long>"
+
+
 def _name(maps) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The phrases whose hashes may be frequent; a task repeats few of them."""
+    """The phrases whose hashes may be frequent; a task repeats few of them. A row holds those of one language and one
+    of GROUPS parts of the hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << 20, np.uint64)  # at each place the last hash that fell there
+        held: list[tuple[pa.Array, pa.Array, np.ndarray]] = []
+
+        def packed() -> pa.RecordBatch:
+            langs, phrases, hashes = zip(*held, strict=True)
+            tongue, h = pa.concat_arrays(langs).dictionary_encode(), np.concatenate(hashes)
+            group = (h // np.uint64(2**64 // GROUPS)).astype(np.int64) * len(tongue.dictionary) + tongue.indices.to_numpy()
+            order = np.argsort(group, kind="stable")
+            found, first = np.unique(group[order], return_index=True)
+            bounds, at = pa.array([*first.tolist(), len(order)], pa.int32()), pa.array(order)
+            columns = [
+                pa.array((found // len(tongue.dictionary)).astype(np.int32)),
+                tongue.dictionary.take(pa.array(found % len(tongue.dictionary))),
+                pa.ListArray.from_arrays(bounds, pa.concat_arrays(phrases).take(at)),
+                pa.ListArray.from_arrays(bounds, pa.array(h.view(np.int64)).take(at)),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["part", "lang", "phrase", "h"])
+
         for tokens, names in _read(batches):
             for size in range(2, len(maps.value) + 1):
                 at = np.flatnonzero(_possible(tokens, size, maps.value))
@@ -193,14 +215,24 @@ def _name(maps) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]
                 fresh = seen[place] != keys
                 seen[place] = keys
                 at, keys = at[good][first[fresh]], keys[fresh]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.string()).take(pa.array(tokens.language[at])), tokens.phrases(at, size), pa.array(keys.view(np.int64))],
-                    ["lang", "phrase", "h"],
-                )
+                if len(at):
+                    held.append((pa.array(names, pa.string()).take(pa.array(tokens.language[at])), tokens.phrases(at, size), keys))
+            if sum(len(x[2]) for x in held) > HELD:
+                yield packed()
+                held.clear()
+        if held:
+            yield packed()
 
     return run
 
 
+def _once(group: pa.Table) -> pa.Table:
+    """Each phrase of a language and part of the hashes once."""
+    rows = pa.table([pc.list_flatten(group["phrase"]), pc.list_flatten(group["h"])], names=["phrase", "h"])
+    rows = rows.group_by(["phrase", "h"]).aggregate([])
+    return pa.table([pa.repeat(group["lang"][0], len(rows)), rows["phrase"], rows["h"]], names=["lang", "phrase", "h"])
+
+
 def _bitmap(hashes: DataFrame) -> np.ndarray:
     """2^BITS bits, set where a hash begins with that number."""
     at = f"shiftrightunsigned(h, {64 - BITS})"
@@ -426,7 +458,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = 3) -> t
         hashes.append(stored(counted.where(F.col("c") >= least).select("h"), "hashes"))
         maps = [*maps, _bitmap(hashes[-1])]
     shared = spark.sparkContext.broadcast(maps)
-    named = texts.mapInArrow(_name(shared), "lang string, phrase string, h long").distinct()
+    named = texts.mapInArrow(_name(shared), _NAMES).groupBy("part", "lang").applyInArrow(_once, "lang string, phrase string, h long")
     either = hashes[0]
     for more in hashes[1:]:
         either = either.unionByName(more)

@@ -129,3 +129,26 @@ def test_a_task_gives_a_row_for_each_block_of_candidates(monkeypatch):
     each = [x.split() for some in texts for x in some]
     assert found == Counter(f"{a} {b}" for x in each for a, b in zip(x, x[1:], strict=False))
     assert [b.num_rows for b in collocations._count(Shared)(iter([]))] == [0, 0]
+
+
+def test_a_task_names_phrases_in_one_row_for_each_part(monkeypatch):
+    monkeypatch.setattr(collocations, "GROUPS", 4)
+
+    class Shared:
+        value = [np.full(1 << (collocations.BITS - 6), 2**64 - 1, np.uint64)] * 3
+
+    texts = ["a b c d e f g. a b", "h i j a b c k"] * 20
+    batch = pa.RecordBatch.from_arrays([pa.array(["en", None] * 20), pa.array(texts)], ["lang", "text"])
+    packed = pa.Table.from_batches(list(collocations._name(Shared)(iter([batch]))))
+    assert packed.num_rows <= 4 * 2
+    found = set()
+    for k in range(len(packed)):
+        group = pa.concat_tables([packed.slice(k, 1)] * 2)
+        once = collocations._once(group).to_pylist()
+        assert len({(r["phrase"], r["h"]) for r in once}) == len(once)
+        found |= {(r["lang"], r["phrase"]) for r in once}
+    want = set()
+    for lang, pieces in (("en", ["a b c d e f g", "a b"]), ("und", ["h i j a b c k"])):
+        for words in map(str.split, pieces):
+            want |= {(lang, " ".join(words[i : i + n])) for n in (2, 3) for i in range(len(words) - n + 1)}
+    assert found == want
