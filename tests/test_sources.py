@@ -208,7 +208,7 @@ def test_day_partitions_are_pruned(spark, tmp_path):
 
 
 def test_the_export_is_laid_out_by_day_before_its_records_are_made(spark, tmp_path, monkeypatch):
-    """Rows are dealt and sorted while they are flat; nested records would be ten times as wide in that sort."""
+    """Rows are dealt and sorted while they are flat; nested records would be several times as wide in that sort."""
     numbers = itertools.count()
     monkeypatch.setattr(marts_module, "shared_folder", lambda s: f"{tmp_path}/shared/{next(numbers)}")
     rows = [
