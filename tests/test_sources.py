@@ -231,3 +231,26 @@ def test_the_export_is_laid_out_by_day_before_its_records_are_made(spark, tmp_pa
     assert sorted(map(str, marts.raw.collect())) == sorted(map(str, lazy.collect()))
     everything = shared_marts(spark, f"{tmp_path}/in/events.parquet", source, replace(cfg, every_row=True))
     assert everything.raw.count() == 320
+
+
+def test_of_shared_tables_only_the_export_is_dealt_by_day(spark, tmp_path, monkeypatch):
+    """The others hold the rows of a window, many times as wide; dealing them by day shuffled and sorted every one."""
+    numbers = itertools.count()
+    monkeypatch.setattr(marts_module, "shared_folder", lambda s: f"{tmp_path}/shared/{next(numbers)}")
+    rows = [
+        (k, None if k % 11 == 0 else datetime(2024, 1, 1 + k % 9, k % 24), None if k % 13 == 0 else k % 5,
+         ("view", "click", "signup", "error", "purchase", None)[k % 6], float(k), None if k % 17 == 0 else f'{{"k": {k % 100}}}')
+        for k in range(300)
+    ]
+    kinds = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(rows + rows[:20], kinds).write.parquet(f"{tmp_path}/in/events.parquet")
+    source = lambda keep: raw_events(spark, f"{tmp_path}/in", keep)
+    for cfg in (replace(W1, window_end=date(2024, 1, 5)), replace(W1, every_row=True)):
+        marts = shared_marts(spark, f"{tmp_path}/in/events.parquet", source, cfg)
+        lazy = marts_module.Marts(spark, readers.in_window(raw_events(spark, f"{tmp_path}/in"), cfg), cfg)
+        for name in ("stg_events", "session_core", "dim_users", "sessions_enriched", "fct_events"):
+            assert marts[name].dtypes == lazy[name].dtypes
+            assert sorted(map(str, marts[name].collect())) == sorted(map(str, lazy[name].collect()))
+    written = {p.parent for p in (tmp_path / "shared").rglob("*.parquet")}
+    assert {"stg_events", "sessions_enriched", "dim_users", "fct_events"} <= {p.name for p in written}
+    assert {p.parent.name for p in written if "=" in p.name} == {"export"}
