@@ -254,3 +254,26 @@ def test_of_shared_tables_only_the_export_is_dealt_by_day(spark, tmp_path, monke
     written = {p.parent for p in (tmp_path / "shared").rglob("*.parquet")}
     assert {"stg_events", "sessions_enriched", "dim_users", "fct_events"} <= {p.name for p in written}
     assert {p.parent.name for p in written if "=" in p.name} == {"export"}
+
+
+def test_shared_tables_are_written_without_what_their_columns_give(spark, tmp_path, monkeypatch):
+    """Keys are made of other columns; the hash of an event alone was most of the bytes of staged events."""
+    numbers = itertools.count()
+    monkeypatch.setattr(marts_module, "shared_folder", lambda s: f"{tmp_path}/shared/{next(numbers)}")
+    rows = [
+        (k, None if k % 11 == 0 else datetime(2024, 1, 1 + k % 9, k % 24, 0, 0, k), None if k % 13 == 0 else k % 5,
+         ("view", "click", "signup", "error", "purchase", None)[k % 6], float(k), None if k % 17 == 0 else f'{{"k": {k % 100}}}')
+        for k in range(200)
+    ]
+    kinds = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(rows + rows[:20], kinds).write.parquet(f"{tmp_path}/in/events.parquet")
+    cfg = replace(W1, every_row=True)
+    marts = shared_marts(spark, f"{tmp_path}/in/events.parquet", lambda keep: raw_events(spark, f"{tmp_path}/in", keep), cfg)
+    lazy = marts_module.Marts(spark, raw_events(spark, f"{tmp_path}/in"), cfg)
+    given = {"export": {"user_pseudo_id"}, "stg_events": {"event_key", "session_key"}, "session_core": {"session_key"}, "sessions_enriched": {"session_key"}}
+    for name in ("stg_events", "session_core", "sessions_enriched"):
+        assert marts[name].dtypes == lazy[name].dtypes
+        assert sorted(map(str, marts[name].collect())) == sorted(map(str, lazy[name].collect()))
+    for name, keys in given.items():
+        stored = [p for p in (tmp_path / "shared").glob(f"*/{name}") if p.is_dir()]
+        assert len(stored) == 1 and not keys & set(spark.read.parquet(str(stored[0])).columns)
