@@ -11,9 +11,10 @@ from footfall.config import EngineConfig
 from footfall.functions.columns import param_float, param_int, param_string, surrogate_key
 from footfall.operators.gaps import assign_gap_sessions
 from footfall.plans import marts as marts_module
+from footfall.plans.checks import CHECKS, run_checks
 from footfall.plans.layer import metric_layer
 from footfall.plans.marts import PUBLIC_TABLES, build_marts, shared_folder, shared_marts
-from footfall.queries import comparable, queries
+from footfall.queries import ALL, comparable, queries
 from footfall.sources import readers, writers
 from footfall.sources.driver_tables import W1, raw_events
 from footfall.sources.schema import PUBLIC_COLUMNS
@@ -277,3 +278,25 @@ def test_shared_tables_are_written_without_what_their_columns_give(spark, tmp_pa
     for name, keys in given.items():
         stored = [p for p in (tmp_path / "shared").glob(f"*/{name}") if p.is_dir()]
         assert len(stored) == 1 and not keys & set(spark.read.parquet(str(stored[0])).columns)
+
+
+@pytest.mark.parametrize("kind", ["not_null", "accepted_values", "accepted_range", "expression_is_true", "relationships"])
+def test_row_rules_write_no_events_in_context(spark, tmp_path, monkeypatch, kind):
+    """They read them once, and few of their columns; references read them again and again."""
+    numbers = itertools.count()
+    monkeypatch.setattr(marts_module, "shared_folder", lambda s: f"{tmp_path}/shared/{next(numbers)}")
+    rows = [
+        (k, None if k % 11 == 0 else datetime(2024, 1, 1 + k % 9, k % 24), None if k % 13 == 0 else k % 5,
+         ("view", "click", "signup", "error", "purchase", None)[k % 6], float(k), None if k % 17 == 0 else f'{{"k": {k % 100}}}')
+        for k in range(100)
+    ]
+    kinds = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(rows + rows[:20], kinds).write.parquet(f"{tmp_path}/in/events.parquet")
+    name = next(n for n in queries() if n.startswith("k0") and n.endswith(kind))
+    got = queries()[name](spark, f"{tmp_path}/in").collect()
+    written = {p.parent.name for p in (tmp_path / "shared").rglob("*.parquet")}
+    assert {"stg_events", "session_core", "dim_users", "sessions_enriched"} <= written
+    assert ("fct_events" in written) == (kind == "relationships")
+    lazy = marts_module.Marts(spark, raw_events(spark, f"{tmp_path}/in"), ALL)
+    wanted = run_checks(lazy, [c for c in CHECKS if c.kind == kind]).where(F.col("kind") == kind)
+    assert len(got) > 3 and sorted(map(str, got)) == sorted(map(str, wanted.collect()))
