@@ -8,7 +8,8 @@ hash, the leftmost of equals. Equal strings have equal anchors at equal places,
 anchor need comparing, and all strings of an anchor lie in its context: LENGTH - GRAM bytes before it to
 LENGTH bytes from it. Documents are dealt by id and text to blocks of about BLOCK_BYTES, so rows that lack or
 share an id are spread; places are ordered by (id, block, offset). A block reports each distinct
-(anchor, context) once, so that copies are summed up before the shuffle. Sorted by anchor, context and place,
+(anchor, context) once, so that copies are summed up before the shuffle. A block is hashed in pieces of
+PIECE_BYTES, long texts too: an anchor depends on its string alone. Sorted by anchor, context and place,
 the reports show in one streaming pass which contexts are whole copies of an earlier one, which anchors are
 unique, and which anchors have different contexts. Only the last need their bytes.
 
@@ -45,6 +46,7 @@ from footfall.llm.text import BYTE_CODES, Hasher, mix, slices
 LENGTH, GRAM = 100, 32
 BEFORE = LENGTH - GRAM
 BLOCK_BYTES = 1 << 22
+PIECE_BYTES = 1 << 19
 BATCH_CONTEXTS = 4096
 HOT = 50_000
 
@@ -180,29 +182,45 @@ class Block:
 
 def anchors_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of all anchors, ascending."""
-    n = len(data)
-    if n < LENGTH:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    h, power, width = BYTE_CODES[data], 0x9E3779B97F4A7C15, 1
-    while width < GRAM:
-        h = h[:-width] * np.uint64(power) + h[width:]
-        power, width = power * power % (1 << 64), width * 2
-    h = mix(h)
-    # The place in the low bits makes the leftmost of equal hashes the smallest.
-    bits = np.uint64(max(24, int(n).bit_length()))
-    low = (np.uint64(1) << bits) - np.uint64(1)
-    least = (h & ~low) | np.arange(len(h), dtype=np.uint64)
-    span, width = LENGTH - GRAM + 1, 1
-    while width * 2 <= span:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    least = np.minimum(least[: n - LENGTH + 1], least[span - width :][: n - LENGTH + 1])
-    starts = np.ones(len(least), bool)  # strings that end in their document
-    for at in offsets[1:-1].tolist():
-        starts[max(0, at - LENGTH + 1) : at] = False
-    anchor = (least & low).astype(np.int64)[starts]
-    anchor = anchor[np.r_[True, anchor[1:] != anchor[:-1]]] if len(anchor) else anchor
-    return anchor, h[anchor]
+    places, hashes, last = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], -1
+    # The place in the low bits makes the leftmost of equal hashes the smallest; a piece has fewer than 2^24.
+    low = np.uint64((1 << 24) - 1)
+    span = LENGTH - GRAM + 1
+    for begin in range(0, len(data) - LENGTH + 1, PIECE_BYTES):  # strings that begin in the piece
+        part = data[begin : begin + PIECE_BYTES + LENGTH - 1]
+        h, power, width = BYTE_CODES[part], 0x9E3779B97F4A7C15, 1
+        while width < GRAM:
+            h = h[:-width] * np.uint64(power) + h[width:]
+            power, width = power * power % (1 << 64), width * 2
+        h = mix(h)
+        least, width = (h & ~low) | np.arange(len(h), dtype=np.uint64), 1
+        while width * 2 <= span:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
+        count = len(part) - LENGTH + 1
+        least = np.minimum(least[:count], least[span - width :][:count])
+        starts = np.ones(count, bool)  # strings that end in their document
+        first, stop = np.searchsorted(offsets[1:-1], (begin + 1, begin + len(part)))
+        for at in (offsets[1:-1][first:stop] - begin).tolist():
+            starts[max(0, at - LENGTH + 1) : at] = False
+        anchor = (least & low).astype(np.int64)[starts]
+        if not len(anchor):
+            continue
+        anchor = anchor[np.r_[anchor[0] + begin != last, anchor[1:] != anchor[:-1]]]
+        places.append(anchor + begin)
+        hashes.append(h[anchor])
+        last = places[-1][-1] if len(anchor) else last
+    return np.concatenate(places), np.concatenate(hashes)
+
+
+def _hashes(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Hashes of the contexts, both ends of which ascend."""
+    out = np.empty(len(lo), np.uint64)
+    cuts = np.searchsorted(lo, np.arange(0, len(data) + PIECE_BYTES, PIECE_BYTES)).tolist()
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if a < b:
+            out[a:b] = Hasher(data[lo[a] : hi[b - 1]]).ranges(lo[a:b] - lo[a], hi[a:b] - lo[a])
+    return out
 
 
 def _reports(table: pa.Table) -> pa.Table:
@@ -210,7 +228,7 @@ def _reports(table: pa.Table) -> pa.Table:
     block = Block(table)
     at, h = anchors_of(block.data, block.offsets)
     lo, hi = block.contexts(at) if len(at) else (at, at)
-    ctx = mix(Hasher(block.data).ranges(lo, hi) + (at - lo).astype(np.uint64)) if len(at) else h
+    ctx = mix(_hashes(block.data, lo, hi) + (at - lo).astype(np.uint64)) if len(at) else h
     order = np.lexsort((at, ctx, h))
     at, h, ctx = at[order], h[order], ctx[order]
     fresh = np.r_[True, (h[1:] != h[:-1]) | (ctx[1:] != ctx[:-1])] if len(at) else np.empty(0, bool)
@@ -283,10 +301,9 @@ def _fetch(left: pa.Table, right: pa.Table) -> pa.Table:
         return pa.table({k: pa.array([], v) for k, v in empty.items()})
     block, at = Block(left), right.column("at").to_numpy()
     lo, hi = block.contexts(at)
-    size = hi - lo
-    index = np.repeat(lo - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
-    data = pa.py_buffer(block.data[index].tobytes())
-    offsets = pa.py_buffer(np.r_[0, np.cumsum(size)].astype(np.int32).tobytes())
+    data = memoryview(block.data)
+    data = pa.py_buffer(b"".join([data[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]))
+    offsets = pa.py_buffer(np.r_[0, np.cumsum(hi - lo)].astype(np.int32).tobytes())
     return pa.table(
         [right.column("h"), right.column("doc"), right.column("block"), right.column("at"), pa.array(at - lo), pa.Array.from_buffers(pa.binary(), len(at), [None, offsets, data])],
         list(empty),
@@ -428,25 +445,27 @@ def _marks(block: Block, ranges: pa.Table) -> np.ndarray:
         lo, hi = block.contexts(start[whole]) if whole.any() else (start[:0], start[:0])
         np.add.at(edge, np.r_[start[~whole], lo], 1)
         np.add.at(edge, np.r_[stop[~whole], hi], -1)
-    return np.cumsum(edge[:-1]) > 0
+    return np.cumsum(edge[:-1], dtype=np.int32, out=edge[:-1]) > 0
 
 
 def _digest(left: pa.Table, right: pa.Table) -> pa.Table:
     block = Block(left)
     gone = _marks(block, right)
-    total = np.r_[0, np.cumsum(gone)]
-    begins = gone & ~np.r_[False, gone[:-1]] if len(gone) else gone
-    inner = block.offsets[:-1][np.diff(block.offsets) > 0]
-    begins[inner] = gone[inner]
-    runs = np.r_[0, np.cumsum(begins)]
     lo, hi = block.offsets[:-1], block.offsets[1:]
+    filled = hi > lo
+    begins, ends = gone.copy(), gone.copy()  # first and last bytes of the runs, which never cross documents
+    begins[1:] &= ~gone[:-1]
+    ends[:-1] &= ~gone[1:]
+    begins[lo[filled]], ends[hi[filled] - 1] = gone[lo[filled]], gone[hi[filled] - 1]
+    begins, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    runs, total = np.searchsorted(begins, block.offsets), np.r_[0, np.cumsum(ends - begins)]
     kept = [hashlib.sha256(block.data[a:b][~gone[a:b]].tobytes()).hexdigest() for a, b in zip(lo, hi, strict=True)]
     return pa.table(
         {
             "doc_id": pa.array(block.ids, pa.int64()),
             "n_bytes": hi - lo,
-            "n_removed": total[hi] - total[lo],
-            "n_spans": runs[hi] - runs[lo],
+            "n_removed": np.diff(total[runs]),
+            "n_spans": np.diff(runs),
             "kept_sha256": pa.array(kept, pa.string()),
         }
     )

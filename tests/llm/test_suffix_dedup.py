@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,6 +74,37 @@ def test_many_rows_without_or_with_one_id(spark, docs, rows, monkeypatch, hot):
     assert out == sorted(want[k] for k in range(len(made)))
 
 
+def bundle(texts):
+    """A block of these texts."""
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array([0] * len(texts), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "block", "text"])
+    return pa.Table.from_batches(list(suffix_dedup._bundle(iter([batch]))))
+
+
+@pytest.mark.parametrize("piece", [1, 70, 1000])
+def test_pieces_of_a_block_give_its_reports(odd_rows, rows, monkeypatch, piece):
+    table = bundle([(t or "")[:3000] for _, t, *_ in odd_rows] + [t or "" for _, t in rows[:10]])
+    whole = suffix_dedup._reports(table)
+    assert len(whole) > 100
+    monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", piece)
+    assert suffix_dedup._reports(table).equals(whole)
+
+
+@pytest.mark.parametrize("texts", [1, 500])
+def test_memory_of_a_block(texts):
+    """A task's arrays stay a small multiple of its block, be it many texts or one long one."""
+    data, n = np.random.default_rng(6).integers(97, 123, suffix_dedup.BLOCK_BYTES, np.uint8).tobytes().decode(), suffix_dedup.BLOCK_BYTES // texts
+    table = bundle([data[k * n : (k + 1) * n] for k in range(texts)])
+    found = suffix_dedup._reports(table)
+    starts = np.arange(0, n * texts - 100, 70)
+    ranges = pa.table({"block": np.zeros(len(starts), np.int64), "start": starts, "stop": starts + 20})
+    for step in (lambda: suffix_dedup._reports(table), lambda: suffix_dedup._fetch(table, found), lambda: suffix_dedup._digest(table, ranges)):
+        tracemalloc.start()
+        step()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 20 * suffix_dedup.BLOCK_BYTES
+
+
 def test_texts(docs, rows):
     kept = {r["doc_id"]: bytes(r["text"]) for r in suffix_dedup.dedup(docs).collect()}
     want = repeated_bytes(rows)
