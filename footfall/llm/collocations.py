@@ -2,17 +2,18 @@
 
 Candidates are found level by level and are Apriori-safe: a phrase can be frequent only if its words are, and a
 triple only if both its pairs are. Each level counts 64-bit hashes of the phrases that may be frequent; those whose
-hash reaches LEAST go on. A hash counts at least what each of its phrases does, so none is lost; the phrases
-themselves are read from the texts in one more pass.
+hash reaches LEAST go on. A hash counts at least what each of its phrases does, so none is lost.
 
-Their exact numbers come from double-array tries of SHARD candidates at most, which is the bound of what is
-broadcast: language, then words, one state each. In a task numpy moves the states of all text positions of a
-slice at once, a level a step; the accepting states are binned and counted, and the sums of all tasks added. A
-task gives a row for each BLOCK of candidates, their numbers and counts packed; phrases are named once they are
-added up. A few tries go with each scan of the texts, however many there are.
+One more scan, however many candidates there are, names the phrases that the levels leave: a task gives each once
+for about HELD of them, with how often it stood there, packed by language and part of the hashes. Such a part holds
+all that the tasks met of its phrases. It is one group, which makes double-array tries of SHARD candidates at most:
+language, then words, one state each. numpy moves the states of all phrases of a slice at once, a level a step; the
+accepting states are binned and counted, packed by BLOCK candidates and added up. So no task and no broadcast holds
+all candidates, and the work grows with the texts, not with texts times tries.
 
-Levels are pruned by bitmaps of fixed size (2^BITS bits) over the frequent hashes; a full bitmap prunes less and
-loses nothing. Counts are combined in the tasks before they are shuffled, so a frequent word or phrase is few rows.
+Levels are pruned by bitmaps over the frequent hashes, of 2^BITS bits and for many hashes up to 2^MORE times as many;
+a full bitmap prunes less and loses nothing. Counts are combined in the tasks before they are shuffled, so a frequent
+word or phrase is few rows.
 
 Defined results: null texts count as empty; a null language is `und`; empty tables give no row; repeated rows
 count each time; ids and other columns play no part; a text without words counts nothing.
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from footfall.llm.tables import stored, stored_alone
-from footfall.llm.text import LOWER_CODES, Hasher, Slice, mix, slices
+from footfall.llm.text import LOWER_CODES, SLICE_BYTES, Hasher, Slice, mix, slices
 
 LEAST = 10
 INSIDE = 50
@@ -41,9 +42,9 @@ TOP = 2000
 SHARD = 1 << 18
 TRIES = 8
 BLOCK = 1 << 12
-GROUPS, HELD = 1024, 1 << 18
+GROUPS, HELD = 1024, 1 << 19
 DIGIT, DIGITS = 1024, 2
-BITS = 24
+BITS, MORE = 24, 2
 
 # The bytes that end a piece, and those that part words.
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -62,7 +63,8 @@ class Tokens:
     """The words of a slice: their language's number, whether the next one follows in the same piece, and, worked out
     where they are asked for, hashes (of word and language) and the words as a dictionary."""
 
-    def __init__(self, part: Slice, languages: np.ndarray, names: list[str]) -> None:
+    def __init__(self, part: Slice, languages: np.ndarray, names: list[str], times: np.ndarray | None = None) -> None:
+        """times: where the texts are phrases, how often each stands."""
         self._part, self._names = part, names
         inside = np.zeros(len(part.data) + 2, bool)
         inside[1:-1] = _WORD[part.data]
@@ -78,6 +80,10 @@ class Tokens:
         self.follows[:-1] = ending[1:] == ending[:-1]
         last = bounds[1:][np.diff(bounds) > 0] - 1
         self.follows[last] = False
+        self.times = None
+        if times is not None:
+            self.times = np.zeros(len(self.starts), np.int64)
+            self.times[bounds[:-1][np.diff(bounds) > 0]] = times[np.diff(bounds) > 0]
 
     def __len__(self) -> int:
         return len(self.starts)
@@ -102,13 +108,15 @@ class Tokens:
         return pc.binary_join_element_wise(*parts, " ")
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Tokens, list[str]]]:
-    """Tokens of slices of (lang, text), and the names of the languages."""
+def _read(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[tuple[Tokens, list[str]]]:
+    """Tokens of slices of (lang, text) or (lang, phrase, times), and the names of the languages."""
     for batch in batches:
+        times = batch.column(2).to_numpy() if batch.num_columns > 2 else None
         coded = batch.column(0).fill_null("und").dictionary_encode()
         names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        for part in slices(batch.column(1)):
-            yield Tokens(part, codes[part.first : part.last], names), names
+        for part in slices(batch.column(1), limit):
+            here = slice(part.first, part.last)
+            yield Tokens(part, codes[here], names, None if times is None else times[here]), names
 
 
 def _keys(tokens: Tokens, size: int) -> np.ndarray:
@@ -129,8 +137,13 @@ def _together(tokens: Tokens, size: int) -> np.ndarray:
     return out
 
 
+def _bits(n: int) -> int:
+    """How many bits number n things."""
+    return max(n - 1, 0).bit_length()
+
+
 def _has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = keys >> np.uint64(64 - BITS)
+    at = keys >> np.uint64(64 - _bits(len(bits) << 6))
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
@@ -179,47 +192,62 @@ def _screen(size: int, maps) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     return run
 
 
-_NAMES = "part int, lang string, phrase array<string>, h array<long>"
+_NAMES = "part int, lang string, phrase array<string>, h array<long>, times array<int>"
+
+
+def _unseen() -> np.ndarray:
+    """At each place a hash that falls elsewhere."""
+    out = np.arange(1 << 20, dtype=np.uint64)
+    out ^= np.uint64(1)
+    return out
 
 
 def _name(maps) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The phrases whose hashes may be frequent; a task repeats few of them. A row holds those of one language and one
-    of GROUPS parts of the hashes."""
+    """The phrases whose hashes may be frequent, and how often each stands in as many texts of a task as hold about HELD of
+    them. A row holds those of one language and one of GROUPS parts of the hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << 20, np.uint64)  # at each place the last hash that fell there
+        seen = _unseen()  # at each place the last hash that fell there
         held: list[tuple[pa.Array, pa.Array, np.ndarray]] = []
+        stood: list[tuple[np.ndarray, np.ndarray]] = []
 
         def packed() -> pa.RecordBatch:
-            langs, phrases, hashes = zip(*held, strict=True)
-            tongue, h = pa.concat_arrays(langs).dictionary_encode(), np.concatenate(hashes)
+            tongue, phrase = (pa.concat_arrays([x[k] for x in held]) for k in (0, 1))
+            h, chosen = np.unique(np.concatenate([x[2] for x in held]), return_index=True)
+            held.clear()
+            times = np.zeros(len(h), np.int32)
+            for keys, counts in stood:
+                times[np.searchsorted(h, keys)] += counts
+            stood.clear()
+            tongue = tongue.take(pa.array(chosen)).dictionary_encode()
             group = (h // np.uint64(2**64 // GROUPS)).astype(np.int64) * len(tongue.dictionary) + tongue.indices.to_numpy()
             order = np.argsort(group, kind="stable")
             found, first = np.unique(group[order], return_index=True)
-            bounds, at = pa.array([*first.tolist(), len(order)], pa.int32()), pa.array(order)
+            bounds = pa.array([*first.tolist(), len(order)], pa.int32())
             columns = [
                 pa.array((found // len(tongue.dictionary)).astype(np.int32)),
                 tongue.dictionary.take(pa.array(found % len(tongue.dictionary))),
-                pa.ListArray.from_arrays(bounds, pa.concat_arrays(phrases).take(at)),
-                pa.ListArray.from_arrays(bounds, pa.array(h.view(np.int64)).take(at)),
+                pa.ListArray.from_arrays(bounds, phrase.take(pa.array(chosen[order]))),
+                *(pa.ListArray.from_arrays(bounds, pa.array(x[order])) for x in (h.view(np.int64), times)),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["part", "lang", "phrase", "h"])
+            return pa.RecordBatch.from_arrays(columns, ["part", "lang", "phrase", "h", "times"])
 
-        for tokens, names in _read(batches):
+        for tokens, names in _read(batches, SLICE_BYTES // 4):
             for size in range(2, len(maps.value) + 1):
                 at = np.flatnonzero(_possible(tokens, size, maps.value))
                 keys = _keys(tokens, size)[at]
                 good = _has(maps.value[size - 1], keys)
-                keys, first = np.unique(keys[good], return_index=True)
+                keys, first, counts = np.unique(keys[good], return_index=True, return_counts=True)
+                stood.append((keys, counts.astype(np.int32)))
                 place = (keys & np.uint64(len(seen) - 1)).astype(np.int64)
                 fresh = seen[place] != keys
                 seen[place] = keys
                 at, keys = at[good][first[fresh]], keys[fresh]
                 if len(at):
                     held.append((pa.array(names, pa.string()).take(pa.array(tokens.language[at])), tokens.phrases(at, size), keys))
-            if sum(len(x[2]) for x in held) > HELD:
+            if sum(len(x[2]) for x in held) > HELD or sum(len(x[0]) for x in stood) > 4 * HELD:
                 yield packed()
-                held.clear()
+                seen = _unseen()
         if held:
             yield packed()
 
@@ -234,11 +262,12 @@ def _once(group: pa.Table) -> pa.Table:
 
 
 def _bitmap(hashes: DataFrame) -> np.ndarray:
-    """2^BITS bits, set where a hash begins with that number."""
-    at = f"shiftrightunsigned(h, {64 - BITS})"
+    """2^BITS bits or, for many hashes, up to 2^MORE times as many, set where a hash begins with that number."""
+    bits = min(max(_bits(16 * hashes.count()), BITS), BITS + MORE)
+    at = f"shiftrightunsigned(h, {64 - bits})"
     words = hashes.selectExpr(f"shiftright({at}, 6) as word", f"shiftleft(1L, cast({at} & 63 as int)) as bit")
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(1 << (BITS - 6), np.uint64)
+    out = np.zeros(1 << (bits - 6), np.uint64)
     out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return out
 
@@ -273,7 +302,7 @@ class Trie:
         return states
 
     def count(self, tokens: Tokens, names: list[str], into: np.ndarray) -> None:
-        """Add the occurrences of all phrases in the texts to `into`."""
+        """Add the occurrences of all phrases in the texts to `into`; where the texts are phrases, those of whole texts."""
         langs = pc.index_in(pa.array(names, pa.string()), value_set=self.languages).fill_null(-1).to_numpy() + 1
         found = pc.index_in(tokens.coded.dictionary, value_set=self.words).fill_null(-1).to_numpy()
         start = self.step(np.ones(len(langs), np.int64), langs)
@@ -281,12 +310,16 @@ class Trie:
         first = np.stack([self.word(np.full(len(found), s), found) for s in start]) if len(start) else np.zeros((1, 0), np.int64)
         index = tokens.coded.indices.to_numpy()
         state = first[tokens.language, index]
-        at = np.flatnonzero((state > 0) & tokens.follows)
+        at = np.flatnonzero((state > 0) & tokens.follows & (True if tokens.times is None else tokens.times > 0))
         state = state[at]
         for level in (1, 2):
             state = self.word(state, found[index[at + level]])
             hits = self.accept[state]
-            into += np.bincount(hits[hits >= 0], minlength=len(into))
+            if tokens.times is None:
+                into += np.bincount(hits[hits >= 0], minlength=len(into))
+            else:
+                whole = (hits >= 0) & ~tokens.follows[at + level]
+                into += np.bincount(hits[whole], tokens.times[at[whole]], len(into)).astype(np.int64)
             alive = (state > 0) & tokens.follows[at + level]
             at, state = at[alive], state[alive]
 
@@ -359,22 +392,6 @@ def build_trie(lang: pa.Array, phrase: pa.Array) -> Trie:
     return Trie(tongues.dictionary, words.dictionary, lang, phrase, *double_array(symbols))
 
 
-_TRIE = "shard long, languages array<string>, words array<string>, lang array<string>, phrase array<string>, base binary, check binary, accept binary"
-
-
-def _build(group: pa.Table) -> pa.Table:
-    """One row: the trie of a shard's candidates (shard, lang, phrase)."""
-    made = build_trie(*(group[c].cast(pa.string()).combine_chunks() for c in ("lang", "phrase")))
-    texts = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (made.languages, made.words, made.lang, made.phrase)]
-    arrays = [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (made.base, made.check, made.accept)]
-    return pa.table([group["shard"].combine_chunks()[:1], *texts, *arrays], names=[x.split()[0] for x in _TRIE.split(", ")])
-
-
-def _trie_of(row: pa.Table) -> Trie:
-    texts = [row[c].combine_chunks().flatten().cast(pa.string()) for c in ("languages", "words", "lang", "phrase")]
-    return Trie(*texts, *(np.frombuffer(row[c][0].as_py(), np.int32) for c in ("base", "check", "accept")))
-
-
 _COUNTS = "trie int, block int, at binary, counts binary"
 
 
@@ -414,29 +431,40 @@ def _add_up(tries) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
     return run
 
 
-def count_phrases(texts: DataFrame, candidates: DataFrame) -> DataFrame:
-    """lang, phrase, f for those of the candidates (lang, phrase) that texts (lang, text) hold. Phrases with the same first
-    word go to one trie, so that a position lives on in one of them; those of a word with very many go to several."""
-    context = texts.sparkSession.sparkContext
-    shards = 4 * candidates.count() // (3 * SHARD) + 1
-    begun = candidates.withColumn("first", F.substring_index("phrase", " ", 1))
-    parts = begun.groupBy("lang", "first").agg((F.floor(8 * F.count("*") / SHARD) + 1).alias("parts"))
-    part = F.pmod(F.xxhash64("phrase"), F.col("parts"))
-    dealt = begun.join(parts, ["lang", "first"]).withColumn("shard", F.pmod(F.xxhash64("lang", "first", part), F.lit(shards)))
-    tries = stored(dealt.select("shard", "lang", "phrase").groupBy("shard").applyInArrow(_build, _TRIE), "tries")
-    counted = []
-    for first in range(0, shards, TRIES):
-        rows = tries.where(F.col("shard").between(first, first + TRIES - 1)).toArrow().combine_chunks()
-        made = [_trie_of(rows.slice(k, 1)) for k in range(len(rows))]
-        if made:
-            shared = context.broadcast(made)
-            packed = texts.mapInArrow(_count(shared), _COUNTS).repartition("trie", "block")
-            counted.append(stored(packed.mapInArrow(_add_up(shared), "lang string, phrase string, f long"), "counted"))
-            shared.destroy()
-    out = candidates.sparkSession.createDataFrame([], "lang string, phrase string, f long")
-    for part in counted:
-        out = out.unionByName(part)
-    return out
+@dataclass
+class _Held:
+    """Tries that a task has made itself, where others take theirs from a broadcast."""
+
+    value: list[Trie]
+
+
+def _tally(least: int) -> Callable[[pa.Table], pa.Table]:
+    def run(group: pa.Table) -> pa.Table:
+        """lang, phrase, f of one language and part of the hashes: the phrases whose hash was met `least` times or more."""
+        phrase, h, times = (pc.list_flatten(group[c]).combine_chunks() for c in ("phrase", "h", "times"))
+        keys, at = np.unique(h.to_numpy(), return_inverse=True)
+        often = np.bincount(at, times.to_numpy()) >= least
+        named, lang = _once(group), group["lang"][0]
+        named = named["phrase"].filter(pc.is_in(named["h"], pa.array(keys[often]))).cast(pa.string()).combine_chunks()
+        named, good = named.take(pc.sort_indices(named)), pa.array(often[at])
+        met = [phrase.filter(good).cast(pa.string()), times.filter(good)]
+        met = pa.RecordBatch.from_arrays([pa.repeat(lang, len(met[0])).cast(pa.string()), *met], ["lang", "phrase", "times"])
+        found = [pa.table([pa.array([], pa.string()), pa.array([], pa.string()), pa.array([], pa.int64())], names=["lang", "phrase", "f"])]
+        for first in range(0, len(named), TRIES * SHARD):
+            shards = [named.slice(k, SHARD) for k in range(first, min(first + TRIES * SHARD, len(named)), SHARD)]
+            tries = _Held([build_trie(pa.repeat(lang, len(x)).cast(pa.string()), x) for x in shards])
+            found += map(pa.Table.from_batches, ([x] for x in _add_up(tries)(_count(tries)(iter([met])))))
+        return pa.concat_tables(found)
+
+    return run
+
+
+def count_phrases(texts: DataFrame, maps, least: int) -> DataFrame:
+    """lang, phrase, f for the phrases that the bitmaps leave and texts (lang, text) hold `least` times or more, in one scan
+    of the texts: tasks name what they meet, and a trie of each part of the hashes counts it, so that no task holds all
+    candidates."""
+    met = texts.mapInArrow(_name(maps), _NAMES).groupBy("part", "lang")
+    return met.applyInArrow(_tally(least), "lang string, phrase string, f long").where(F.col("f") >= least)
 
 
 # --- mining ---------------------------------------------------------------------------------------------------
@@ -448,22 +476,18 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = 3) -> t
     spark = docs.sparkSession
     texts = docs.select(F.col("lang").cast("string").alias("lang"), "text")
     words = texts.mapInArrow(_count_words, "lang string, phrase string, h long, c long")
-    words = stored(words.groupBy("lang", "phrase").agg(F.sum("c").alias("f"), F.first("h").alias("h")), "words")
+    words = words.groupBy("lang", "phrase").agg(F.sum("c").alias("f"), F.first("h").alias("h"))
+    # Rare words are one row of each language, without phrase.
+    often = F.when(F.col("f") >= least, F.col("phrase")).alias("phrase")
+    words = stored(words.groupBy("lang", often).agg(F.sum("f").alias("f"), F.first("h").alias("h")), "words")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = words.where(F.col("f") >= least)
-    hashes, maps = [], [_bitmap(frequent)]
+    frequent = words.where("phrase is not null")
+    maps = [_bitmap(frequent)]
     for size in range(2, longest + 1):
         shared = spark.sparkContext.broadcast(maps)
         counted = texts.mapInArrow(_screen(size, shared), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-        hashes.append(stored(counted.where(F.col("c") >= least).select("h"), "hashes"))
-        maps = [*maps, _bitmap(hashes[-1])]
-    shared = spark.sparkContext.broadcast(maps)
-    named = texts.mapInArrow(_name(shared), _NAMES).groupBy("part", "lang").applyInArrow(_once, "lang string, phrase string, h long")
-    either = hashes[0]
-    for more in hashes[1:]:
-        either = either.unionByName(more)
-    candidates = stored(named.join(either.distinct(), "h", "left_semi").select("lang", "phrase"), "candidates")
-    counted = count_phrases(texts, candidates).where(F.col("f") >= least)
+        maps = [*maps, _bitmap(stored(counted.where(F.col("c") >= least).select("h"), "hashes"))]
+    counted = count_phrases(texts, spark.sparkContext.broadcast(maps), least)
     size = F.size(F.split("phrase", " ")).alias("size")
     found = frequent.select("lang", "phrase", F.lit(1).alias("size"), "f").unionByName(counted.select("lang", "phrase", size, "f"))
     return found, totals

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from footfall.llm import collocations
@@ -152,3 +153,52 @@ def test_a_task_names_phrases_in_one_row_for_each_part(monkeypatch):
         for words in map(str.split, pieces):
             want |= {(lang, " ".join(words[i : i + n])) for n in (2, 3) for i in range(len(words) - n + 1)}
     assert found == want
+
+
+def test_texts_are_scanned_as_often_for_many_candidates(spark, odd_texts, monkeypatch):
+    """Candidates for many tries take no more scans of the texts than those for one."""
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(odd_texts)], "doc_id long, lang string, text string").repartition(3)
+    scans, scan = [], type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda *args, **more: scans.append(1) or scan(*args, **more))
+    monkeypatch.setattr(collocations, "TRIES", 1)
+    out = []
+    for shard in (1 << 18, 20):
+        monkeypatch.setattr(collocations, "SHARD", shard)
+        out.append((got(collocations.report(df)), len(scans)))
+        scans.clear()
+    assert out[0] == out[1] and len(out[0][0]) > 50
+
+
+def test_counts_of_tasks_and_windows_add_up_over_tries(monkeypatch):
+    """A task gives its phrases several times over; a pair that stands in a triple is not counted with it again."""
+    for name, value in (("GROUPS", 2), ("HELD", 40), ("SHARD", 7), ("TRIES", 2)):
+        monkeypatch.setattr(collocations, name, value)
+
+    class Shared:
+        value = [np.full(1 << (collocations.BITS - 6), 2**64 - 1, np.uint64)] * 3
+
+    pick, rows, want = random.Random(3), [], Counter()
+    for _ in range(2):
+        texts = [" ".join(pick.choices("abcdefg", k=30)) for _ in range(12)]
+        # a slice for each text
+        batches = [pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([x])], ["lang", "text"]) for x in texts]
+        rows += collocations._name(Shared)(iter(batches))
+        for words in map(str.split, texts):
+            want.update(" ".join(words[i : i + n]) for n in (2, 3) for i in range(len(words) - n + 1))
+    assert len(rows) > 4
+    packed = pa.Table.from_batches(rows)
+    found = [r for part in (0, 1) for r in collocations._tally(3)(packed.filter(pc.equal(packed["part"], part))).to_pylist()]
+    assert {r["lang"] for r in found} == {"en"} and len({r["phrase"] for r in found}) == len(found) > 50
+    assert {r["phrase"]: r["f"] for r in found} == {p: f for p, f in want.items() if f >= 3}
+
+
+def test_a_bitmap_has_room_for_many_hashes(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "BITS", 10)
+    monkeypatch.setattr(collocations, "MORE", 4)
+    rng = np.random.default_rng(2)
+    keys, others = rng.integers(0, 2**64, (2, 1000), np.uint64)
+    bits = collocations._bitmap(spark.createDataFrame(pa.table({"h": keys.view(np.int64)}).to_pandas()))
+    assert collocations._has(bits, keys).all() and collocations._has(bits, others).mean() < 0.2
+    assert len(bits) == 1 << (14 - 6)
+    few = collocations._bitmap(spark.createDataFrame([(int(x),) for x in keys[:3].view(np.int64)], "h long"))
+    assert len(few) == 1 << (10 - 6) and collocations._has(few, keys[:3]).all()
